@@ -32,15 +32,27 @@ def one_of(values: Sequence[str], chooser: str) -> str:
 
 @dataclass(frozen=True)
 class Pick:
-    """Rows whose key leaves one of the residues, unless another pick has them."""
+    """Rows whose key leaves one of the residues, unless another pick has them.
+
+    ``rows`` reads the columns that ``with_residues`` adds.
+    """
 
     modulus: int
     residues: tuple[int, ...]
     unless: Pick | None = None
 
-    def rows(self, key: str) -> str:
-        hit = f"pmod({key}, {self.modulus}) IN ({', '.join(map(str, self.residues))})"
-        return f"({hit} AND NOT {self.unless.rows(key)})" if self.unless else f"({hit})"
+    def rows(self) -> str:
+        hit = f"_mod_{self.modulus} IN ({', '.join(map(str, self.residues))})"
+        return f"({hit} AND NOT {self.unless.rows()})" if self.unless else f"({hit})"
+
+
+def with_residues(df: DataFrame, key: str, moduli: Sequence[int]) -> DataFrame:
+    """Add the residues of the key once, for all picks after it.
+
+    Spelled out in every pick they would swell the generated code beyond what
+    the JVM compiles.
+    """
+    return df.withColumns({f"_mod_{m}": F.expr(f"CAST(pmod({key}, {m}) AS INT)") for m in moduli})
 
 
 @dataclass(frozen=True)
@@ -59,20 +71,20 @@ class Fault:
     damage: str
     logged_column: str | None = None
 
-    def branch(self, key: str, column: str) -> str:
-        return f"WHEN {self.pick.rows(key)} THEN {self.damage.format(value=column)}"
+    def branch(self, column: str) -> str:
+        return f"WHEN {self.pick.rows()} THEN {self.damage.format(value=column)}"
 
-    def entry(self, key: str) -> str:
+    def entry(self) -> str:
         """The answer-key entry of a row, NULL for rows not picked."""
         where = literal(self.logged_column or ", ".join(self.columns))
         what = literal(self.error_type)
         return (
-            f"CASE WHEN {self.pick.rows(key)} "
+            f"CASE WHEN {self.pick.rows()} "
             f"THEN named_struct('column', {where}, 'error_type', {what}) END"
         )
 
 
-def inject(df: DataFrame, key: str, faults: Sequence[Fault]) -> DataFrame:
+def inject(df: DataFrame, faults: Sequence[Fault]) -> DataFrame:
     """Damage the picked rows, in one projection.
 
     Where faults of one call meet in a column, the first in the list wins;
@@ -80,7 +92,7 @@ def inject(df: DataFrame, key: str, faults: Sequence[Fault]) -> DataFrame:
     """
     damaged = {
         column: F.expr(
-            f"CASE {' '.join(f.branch(key, column) for f in faults if column in f.columns)} "
+            f"CASE {' '.join(f.branch(column) for f in faults if column in f.columns)} "
             f"ELSE {column} END"
         )
         for column in dict.fromkeys(c for f in faults for c in f.columns)
@@ -90,7 +102,6 @@ def inject(df: DataFrame, key: str, faults: Sequence[Fault]) -> DataFrame:
 
 def write_in_formats(
     df: DataFrame,
-    key: str,
     columns: Mapping[str, str],
     formats: Sequence[tuple[Pick, str]],
     otherwise: str,
@@ -102,7 +113,7 @@ def write_in_formats(
 
     def written(source: str) -> str:
         branches = [
-            f"WHEN {pick.rows(key)} THEN date_format({source}, {literal(pattern)})"
+            f"WHEN {pick.rows()} THEN date_format({source}, {literal(pattern)})"
             for pick, pattern in formats
         ]
         usual = f"date_format({source}, {literal(otherwise)})"
@@ -111,32 +122,32 @@ def write_in_formats(
     return df.withColumns({new: F.expr(written(source)) for new, source in columns.items()})
 
 
-def log_faults(df: DataFrame, key: str, faults: Sequence[Fault]) -> DataFrame:
+def log_faults(df: DataFrame, faults: Sequence[Fault]) -> DataFrame:
     """Add the array of answer-key entries that each row carries."""
-    entries = ", ".join(f.entry(key) for f in faults if f.error_type)
+    entries = ", ".join(f.entry() for f in faults if f.error_type)
     return df.withColumn(PLANTED, F.expr(f"array_compact(array({entries}))"))
 
 
-def add_copies(df: DataFrame, key: str, pick: Pick, as_column: str = "copy") -> DataFrame:
+def add_copies(df: DataFrame, pick: Pick, as_column: str = "copy") -> DataFrame:
     """Append an exact copy of the picked rows: 0 marks originals, 1 copies.
 
     Rows are doubled in place, which reads the input once; a union of the
     table and its picked rows would read it twice.
     """
-    numbers = f"CASE WHEN {pick.rows(key)} THEN array(0, 1) ELSE array(0) END"
+    numbers = f"CASE WHEN {pick.rows()} THEN array(0, 1) ELSE array(0) END"
     return df.withColumn(as_column, F.explode(F.expr(numbers)))
 
 
-def append_copies(df: DataFrame, key: str, pick: Pick) -> DataFrame:
+def append_copies(df: DataFrame, pick: Pick) -> DataFrame:
     """The same rows as ``add_copies`` by a union, for inputs that are cheap to
     read twice."""
-    copies = df.filter(pick.rows(key)).withColumn("copy", F.lit(1))
+    copies = df.filter(pick.rows()).withColumn("copy", F.lit(1))
     return df.withColumn("copy", F.lit(0)).unionByName(copies)
 
 
-def faults_per_row(df: DataFrame, key: str, faults: Sequence[Fault]) -> DataFrame:
+def faults_per_row(df: DataFrame, faults: Sequence[Fault]) -> DataFrame:
     """How many rows carry 0, 1, 2, ... of the given faults."""
-    carried = " + ".join(f"CAST({f.pick.rows(key)} AS INT)" for f in faults)
+    carried = " + ".join(f"CAST({f.pick.rows()} AS INT)" for f in faults)
     return df.groupBy(F.expr(carried).alias("faults")).agg(
         F.count(F.lit(1)).alias("row_count")
     )

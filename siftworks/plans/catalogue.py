@@ -551,8 +551,8 @@ def reconcile_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _damaged(df: DataFrame, planted: list[faults.Fault], *columns: str) -> DataFrame:
     """All rows after one kind of damage, and which fault each carries."""
     return (
-        df.transform(faults.inject, feed.EVENT, planted)
-        .transform(faults.log_faults, feed.EVENT, planted)
+        df.transform(faults.inject, planted)
+        .transform(faults.log_faults, planted)
         .select(
             feed.EVENT, *columns, F.array_join("planted.error_type", ",").alias("planted")
         )
@@ -610,8 +610,8 @@ def inject_text_noise(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def inject_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Good rows and their copies, appended by a union."""
-    good = _good_text(spark, sf_dir).select(feed.EVENT, *a.RAW_COLUMNS)
-    return faults.append_copies(good, feed.EVENT, feed.COPIED_ROWS)
+    good = faults.append_copies(_good_text(spark, sf_dir), feed.COPIED_ROWS)
+    return good.select(feed.EVENT, *a.RAW_COLUMNS, "copy")
 
 
 def _times_damaged(spark: SparkSession, sf_dir: str, planted: list[faults.Fault]) -> DataFrame:
@@ -643,9 +643,7 @@ def raw_row_number(spark: SparkSession, sf_dir: str) -> DataFrame:
 def fault_allocation(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows by how many structural faults they carry: at most one, but for the
     slot that is to fail two rules."""
-    return faults.faults_per_row(
-        _table(spark, sf_dir, "events"), feed.EVENT, feed.STRUCTURAL_FAULTS
-    )
+    return faults.faults_per_row(_good(spark, sf_dir), feed.STRUCTURAL_FAULTS)
 
 
 @query

@@ -19,6 +19,7 @@ from siftworks.operators.faults import (
     inject,
     log_faults,
     one_of,
+    with_residues,
     write_in_formats,
 )
 from siftworks.operators.numbering import number_rows
@@ -189,6 +190,10 @@ FORMAT_FAULTS = [
 
 COPIED_ROWS = _slot(40, 41)
 
+# Every modulus that a pick above uses.
+MODULI = [97, 100, 10, 12]
+RESIDUES = [f"_mod_{m}" for m in MODULI]
+
 TIME_FAULTS = [*NEGATIVE_STAY_FAULTS, *EXTREME_STAY_FAULTS, *FUTURE_DATE_FAULTS]
 VALUE_FAULTS = [*MISSING_FAULTS, *INVALID_CODE_FAULTS, *MALFORMED_CODE_FAULTS, *EDGE_FAULTS]
 NOISE_FAULTS = [*DECIMAL_SUFFIX_FAULTS, *LOWERCASE_FAULTS, *TEXT_FAULTS]
@@ -200,17 +205,19 @@ STRUCTURAL_FAULTS = [f for f in [*TIME_FAULTS, *VALUE_FAULTS] if f.error_type]
 def good_attendances(events: DataFrame) -> DataFrame:
     """One faultless attendance per event, with its times as timestamps."""
     arrival = "CAST(ts AS TIMESTAMP_NTZ)"
+    number = f"CAST({EVENT} AS STRING)"
     stay = f"(20 + ({EVENT} * 7919) % 881) * 60 + ({EVENT} * 31) % 60"
-    return events.selectExpr(
+    return events.transform(with_residues, EVENT, MODULI).selectExpr(
         EVENT,
-        f"format_string('ATT%06d', {EVENT}) AS attendance_id",
-        "format_string('PSN%07d', 1000000 + user_id) AS pseudo_patient_id",
+        *RESIDUES,
+        f"concat('ATT', lpad({number}, greatest(6, length({number})), '0')) AS attendance_id",
+        "concat('PSN', CAST(1000000 + user_id AS STRING)) AS pseudo_patient_id",
         f"{arrival} AS arrival",
         f"timestampadd(SECOND, {stay}, {arrival}) AS departure",
         f"CAST(1 + ({EVENT} * 13) % 5 AS STRING) AS triage_category",
         f"{one_of(a.COMPLAINTS, f'{EVENT} * 17')} AS presenting_complaint",
         f"{one_of(a.DISPOSITIONS, f'{EVENT} * 29')} AS disposition",
-        "format_string('E8%04d', 1000 + (user_id * 37) % 9000) AS gp_practice_code",
+        "concat('E8', CAST(1000 + (user_id * 37) % 9000 AS STRING)) AS gp_practice_code",
     )
 
 
@@ -218,11 +225,10 @@ def as_text(attendances: DataFrame, mixed_formats: bool = True) -> DataFrame:
     """Times written as text, so that every raw column is text."""
     return write_in_formats(
         attendances,
-        EVENT,
         {"arrival_time": "arrival", "departure_time": "departure"},
         MIXED_FORMATS if mixed_formats else [],
         a.TIMESTAMP_FORMATS[0],
-    ).select(EVENT, *a.RAW_COLUMNS)
+    ).select(EVENT, *RESIDUES, *a.RAW_COLUMNS)
 
 
 def _place(copy: str) -> str:
@@ -240,12 +246,12 @@ def messy_feed(events: DataFrame) -> DataFrame:
     logged = [*TIME_FAULTS, *VALUE_FAULTS, *FORMAT_FAULTS, *NOISE_FAULTS]
     return (
         good_attendances(events)
-        .transform(inject, EVENT, TIME_FAULTS)
+        .transform(inject, TIME_FAULTS)
         .transform(as_text)
-        .transform(inject, EVENT, VALUE_FAULTS)
-        .transform(inject, EVENT, NOISE_FAULTS)
-        .transform(log_faults, EVENT, logged)
-        .transform(add_copies, EVENT, COPIED_ROWS)
+        .transform(inject, VALUE_FAULTS)
+        .transform(inject, NOISE_FAULTS)
+        .transform(log_faults, logged)
+        .transform(add_copies, COPIED_ROWS)
         .withColumns(
             {"feed_order": F.expr(_place("copy")), "source_row": F.expr(f"{EVENT} * 2 + copy")}
         )
@@ -270,7 +276,7 @@ def with_duplicate_entry(feed: DataFrame) -> DataFrame:
     return feed.withColumn(
         "planted",
         F.expr(
-            f"CASE WHEN {COPIED_ROWS.rows(EVENT)} AND feed_order > {_place('(1 - copy)')} "
+            f"CASE WHEN {COPIED_ROWS.rows()} AND feed_order > {_place('(1 - copy)')} "
             "THEN concat(planted, array(named_struct("
             "'column', '(entire row)', 'error_type', 'duplicate_row'))) ELSE planted END"
         ),
