@@ -28,6 +28,7 @@ from siftworks.plans import cleaning, expectations, run
 from siftworks.sources import attendance_feed as feed
 from siftworks.sources import tables, text_csv
 from siftworks.sources.work_dir import new_folder
+from siftworks.streaming import arrivals
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -712,3 +713,16 @@ def expectation_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return expectations.expectation_report(
         _raw(spark, sf_dir), feed.FEED_ORDER, feed.ROW_ID, _rules()
     )
+
+
+@query
+def arrivals_cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The feed as landed CSV files, cleaned by the streaming job."""
+    folder = new_folder(spark, "arrivals_cleaned")
+    text_csv.write_text_csv(_raw(spark, sf_dir).select(*a.RAW_COLUMNS), f"{folder}/in")
+    arrivals.clean_arrivals(
+        spark, f"{folder}/in", f"{folder}/out", f"{folder}/checkpoint", _rules()
+    ).awaitTermination()
+    return _reasons_as_text(
+        tables.read_outcomes(spark, f"{folder}/out").select(*a.CLEAN_COLUMNS, rules.REASONS)
+    )

@@ -708,6 +708,7 @@ def all_oracles() -> dict[str, str]:
             SELECT error_type, count(*) AS row_count FROM entries GROUP BY 1""",
         # Whole jobs
         "cleaning_chain": f"WITH {JUDGED} SELECT {CLEAN}, failure_reasons FROM judged",
+        "arrivals_cleaned": f"WITH {JUDGED} SELECT {CLEAN}, failure_reasons FROM judged",
         "full_run": f"""WITH {_pairs()}
             SELECT * FROM ({_unpivot(STAGES)}) UNION ALL
             SELECT * FROM ({_unpivot(SUMMARY)})""",

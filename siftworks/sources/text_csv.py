@@ -17,7 +17,7 @@ SOURCE_ROW = "source_row"
 SOURCE_ORDER = [SOURCE_FILE, SOURCE_BLOCK, SOURCE_ROW]
 
 
-def _text_schema(columns: Sequence[str]) -> T.StructType:
+def text_schema(columns: Sequence[str]) -> T.StructType:
     return T.StructType([T.StructField(c, T.StringType()) for c in columns])
 
 
@@ -38,7 +38,7 @@ def read_text_csv(
     adds the file, block and row that a row came from, to order rows by;
     ``source_row`` is unique.
     """
-    schema = _text_schema(columns)
+    schema = text_schema(columns)
     if corrupt_column:
         schema = schema.add(CORRUPT, T.StringType())
     df = (
