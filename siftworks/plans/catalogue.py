@@ -27,6 +27,7 @@ from siftworks.operators import (
 from siftworks.plans import cleaning, expectations, run
 from siftworks.sources import attendance_feed as feed
 from siftworks.sources import tables, text_csv
+from siftworks.sources.answer_key import read_answer_key, write_answer_key
 from siftworks.sources.work_dir import new_folder
 from siftworks.streaming import arrivals
 
@@ -90,6 +91,14 @@ def scan_csv_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return text_csv.read_text_csv(spark, folder, a.RAW_COLUMNS)
 
 
+@query
+def scan_answer_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The answer key written as CSV and scanned back as text."""
+    folder = new_folder(spark, "scan_answer_key")
+    write_answer_key(feed.planted_faults(_raw(spark, sf_dir)), folder)
+    return read_answer_key(spark, folder)
+
+
 @query
 def load_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The clean table, replaced whole and read back."""
@@ -669,6 +678,17 @@ def cleaning_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _reasons_as_text(_tagged(spark, sf_dir).select(*a.CLEAN_COLUMNS, rules.REASONS))
 
 
+@query
+def cleaned_from_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The clean rows of the CSV feed, deduplicated by position in its files."""
+    folder = new_folder(spark, "cleaned_from_csv")
+    text_csv.write_text_csv(_raw(spark, sf_dir).select(*a.RAW_COLUMNS), folder)
+    scanned = text_csv.read_text_csv(spark, folder, a.RAW_COLUMNS, with_position=True)
+    return cleaning.clean_rows(
+        scanned, text_csv.SOURCE_ORDER, text_csv.SOURCE_ROW, _rules()
+    )
+
+
 def _run(spark: SparkSession, sf_dir: str, purpose: str) -> run.Run:
     return run.full_run(
         _raw(spark, sf_dir),

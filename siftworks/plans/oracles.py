@@ -480,6 +480,9 @@ def all_oracles() -> dict[str, str]:
         # CSV knows no difference between empty and missing.
         "scan_csv_text": f"""WITH {FEED} SELECT
             {', '.join(f"nullif({c}, '') AS {c}" for c in RAW.split(', '))} FROM feed""",
+        "scan_answer_key": f"""WITH {KEYED} SELECT
+            cast(raw_row_number AS varchar) AS raw_row_number, attendance_id, "column",
+            error_type, expected_action FROM entries""",
         "load_roundtrip": f"WITH {JUDGED} SELECT * FROM clean",
         "report_sink": f"WITH {JUDGED} {REPORT}",
         # Projections
@@ -708,6 +711,7 @@ def all_oracles() -> dict[str, str]:
             SELECT error_type, count(*) AS row_count FROM entries GROUP BY 1""",
         # Whole jobs
         "cleaning_chain": f"WITH {JUDGED} SELECT {CLEAN}, failure_reasons FROM judged",
+        "cleaned_from_csv": f"WITH {JUDGED} SELECT * FROM clean",
         "arrivals_cleaned": f"WITH {JUDGED} SELECT {CLEAN}, failure_reasons FROM judged",
         "full_run": f"""WITH {_pairs()}
             SELECT * FROM ({_unpivot(STAGES)}) UNION ALL
