@@ -22,19 +22,23 @@ _ISO_SHAPE = r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}\z"
 
 
 def separators(fmt: str) -> str | None:
-    """A LIKE pattern that every text in this format fits, in lower case.
+    """A regular expression that every text in this format matches.
 
-    It holds the literal characters of the format in their order; None for
-    formats with optional sections or characters that LIKE treats specially.
+    It asks for the literal characters of the format in their order, in either
+    case as the formatter does, and needs no backtracking.  None for formats
+    with optional sections.
     """
     pieces = fmt.split("'")
-    if len(pieces) % 2 == 0 or "" in pieces[1::2] or not fmt.isascii() or set(fmt) & set("[]%_\\"):
+    if len(pieces) % 2 == 0 or "" in pieces[1::2] or not fmt.isascii() or set(fmt) & set("[]"):
         return None
-    pattern = ""
-    for quoted, piece in zip((i % 2 == 1 for i in range(len(pieces))), pieces):
+    pattern = "^"
+    for place, piece in enumerate(pieces):
+        quoted = place % 2 == 1
         for ch in piece:
-            letter = ch.isalpha() and not quoted
-            pattern += ("" if pattern.endswith("%") else "%") if letter else ch.lower()
+            if ch.isalpha() and not quoted:
+                continue
+            either = ch.lower() + ch.upper() if ch.isalpha() else ch if ch.isdigit() else f"\\{ch}"
+            pattern += f"[^{either}]*[{either}]"
     return pattern
 
 
@@ -42,7 +46,7 @@ def _read_as(c: Column, fmt: str) -> Column:
     """The instant of a text that is taken as UTC, NULL if it does not fit."""
     instant = F.try_to_timestamp(F.concat(c, F.lit(" Z")), F.lit(f"{fmt} X"))
     pattern = separators(fmt)
-    return F.when(c.ilike(pattern), instant) if pattern else instant
+    return F.when(c.rlike(pattern), instant) if pattern else instant
 
 
 def parse_timestamp(c: Column, formats: Sequence[str]) -> Column:

@@ -99,6 +99,17 @@ def later_occurrences(df: DataFrame, key: str, row_number: str) -> DataFrame:
     return keyed.join(firsts, row_number, "left_anti")
 
 
+def repeated_keys(df: DataFrame, key: str) -> DataFrame:
+    """The keys that occur more than once, one row each."""
+    return (
+        df.filter(F.col(key).isNotNull())
+        .groupBy(key)
+        .agg(F.count(F.lit(1)).alias("_n"))
+        .filter(F.col("_n") > 1)
+        .select(key)
+    )
+
+
 def duplicate_counts(df: DataFrame, key: str) -> DataFrame:
     """Rows in, rows out and the difference; rows without a key are kept."""
     per_key = df.groupBy(key).agg(F.count(F.lit(1)).alias("n"))

@@ -14,6 +14,18 @@ def is_small(dim: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
     return dim.limit(max_rows + 1).count() <= max_rows
 
 
+def _salted(
+    df: DataFrame, wanted: Column, entries: DataFrame, row_id: str, salts: int
+) -> tuple[DataFrame, DataFrame]:
+    """Both sides with a salt: each row gets one, each entry a copy per salt."""
+    spread = F.pmod(F.xxhash64(row_id), F.lit(salts)).cast("int")
+    copies = F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
+    return (
+        df.withColumns({"_key": wanted, "_salt": spread}),
+        entries.withColumn("_salt", copies),
+    )
+
+
 def lookup(
     df: DataFrame,
     wanted: Column,
@@ -33,15 +45,34 @@ def lookup(
     ``salts`` tasks, and each dimension row is copied to all of them.
     """
     entries = dim.select(F.col(key).alias("_key"), F.col(value).alias(as_column))
-    rows = df.withColumn("_key", wanted)
-    if as_column in df.columns:
-        rows = rows.drop(as_column)
     if is_small(entries, max_broadcast_rows):
+        rows = df.withColumn("_key", wanted)
         return rows.join(F.broadcast(entries), "_key", "left").drop("_key")
-    spread = F.pmod(F.xxhash64(row_id), F.lit(salts)).cast("int")
-    copies = F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
-    return (
-        rows.withColumn("_salt", spread)
-        .join(entries.withColumn("_salt", copies), ["_key", "_salt"], "left")
-        .drop("_key", "_salt")
-    )
+    rows, copied = _salted(df, wanted, entries, row_id, salts)
+    return rows.join(copied, ["_key", "_salt"], "left").drop("_key", "_salt")
+
+
+def members(
+    df: DataFrame,
+    wanted: Column,
+    keys: DataFrame,
+    key: str,
+    row_id: str,
+    outside: bool = False,
+    max_broadcast_rows: int = BROADCAST_ROWS,
+    salts: int = 64,
+) -> DataFrame:
+    """The rows whose value is among the keys, or with ``outside`` is not.
+
+    A missing value is neither inside nor outside, as with ``isin``.  Small
+    key sets are broadcast and large ones joined with a salt, as in
+    ``lookup``; the keys may repeat.
+    """
+    how = "left_anti" if outside else "left_semi"
+    present = df.filter(wanted.isNotNull())
+    entries = keys.select(F.col(key).alias("_key")).distinct()
+    if is_small(entries, max_broadcast_rows):
+        rows = present.withColumn("_key", wanted)
+        return rows.join(F.broadcast(entries), "_key", how).drop("_key")
+    rows, copied = _salted(present, wanted, entries, row_id, salts)
+    return rows.join(copied, ["_key", "_salt"], how).drop("_key", "_salt")

@@ -255,6 +255,20 @@ def domain_violations_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def domain_violations_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers outside the domain of all ordering customers: a large domain,
+    held in a table."""
+    return lookup.members(
+        _table(spark, sf_dir, "customer"),
+        F.col("c_custkey"),
+        _table(spark, sf_dir, "orders"),
+        "o_custkey",
+        "c_custkey",
+        outside=True,
+    ).select("c_custkey", "c_name")
+
+
 @query
 def null_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows that miss a time or a patient after blanks became NULL."""
@@ -499,6 +513,14 @@ def duplicate_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def rows_of_repeated_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All rows whose key occurs more than once, first occurrences included."""
+    raw = _raw(spark, sf_dir).select(a.KEY, feed.ROW_ID)
+    repeated = dedupe.repeated_keys(raw, a.KEY)
+    return lookup.members(raw, F.col(a.KEY), repeated, a.KEY, feed.ROW_ID)
+
+
 @query
 def duplicate_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedupe.duplicate_counts(_raw(spark, sf_dir), a.KEY)

@@ -520,6 +520,8 @@ def all_oracles() -> dict[str, str]:
             WHERE triage_category NOT IN ('1', '2', '3', '4', '5') GROUP BY 1""",
         "domain_violations_lineitem": """SELECT l_orderkey, l_linenumber, l_returnflag
             FROM lineitem WHERE l_returnflag NOT IN ('A', 'N')""",
+        "domain_violations_join": """SELECT c_custkey, c_name FROM customer
+            WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)""",
         "null_check": f"""WITH {NULLIFIED}
             SELECT source_row, pseudo_patient_id, arrival_time, departure_time FROM nullified
             WHERE pseudo_patient_id IS NULL OR arrival_time IS NULL
@@ -615,6 +617,9 @@ def all_oracles() -> dict[str, str]:
             PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) = 1""",
         "duplicate_rows": f"""WITH {KEYED}
             SELECT raw_row_number, attendance_id FROM numbered WHERE occurrence > 1""",
+        "rows_of_repeated_keys": f"""WITH {FEED} SELECT attendance_id, source_row FROM feed
+            WHERE attendance_id IN (
+              SELECT attendance_id FROM feed GROUP BY 1 HAVING count(*) > 1)""",
         "duplicate_count": f"""WITH {FEED} SELECT count(*) AS rows_in,
             count(DISTINCT attendance_id) AS rows_out,
             count(*) - count(DISTINCT attendance_id) AS duplicates_removed FROM feed""",

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from siftworks import attendance as a
 from siftworks.operators import kpi, reconcile, report
-from siftworks.operators.dedupe import collapse_copies
+from siftworks.operators.dedupe import NullKeys, collapse_copies
 from siftworks.operators.rules import REASONS, Rule, is_clean, tag_failures
 from siftworks.plans.cleaning import keep_original, normalised
 from siftworks.sources import tables
@@ -71,11 +71,15 @@ def stage_counts(tagged: DataFrame) -> DataFrame:
 
 
 def collapsed_and_tagged(
-    raw: DataFrame, order_by: Sequence[str], row_id: str, rules: Sequence[Rule]
+    raw: DataFrame,
+    order_by: Sequence[str],
+    row_id: str,
+    rules: Sequence[Rule],
+    null_keys: NullKeys = "keep",
 ) -> DataFrame:
     return (
         raw.transform(normalised)
-        .transform(collapse_copies, [a.KEY], order_by, row_id)
+        .transform(collapse_copies, [a.KEY], order_by, row_id, null_keys=null_keys)
         .transform(tag_failures, rules)
     )
 
@@ -87,10 +91,12 @@ def full_run(
     rules: Sequence[Rule],
     folder: str,
     truth: DataFrame | None = None,
+    null_keys: NullKeys = "keep",
 ) -> Run:
     """Clean, judge and store the feed, write the report, note the stages.
 
-    ``truth`` holds (attendance_id, reason) pairs to reconcile against.
+    ``truth`` holds (attendance_id, reason) pairs to reconcile against.  Rows
+    without a key are all kept, or collapsed to one.
     """
     spark = raw.sparkSession
     run = Run(spark, folder, rules)
@@ -105,7 +111,7 @@ def full_run(
     timed(
         "clean_and_store",
         lambda: tables.write_outcomes(
-            collapsed_and_tagged(source, order_by, row_id, rules), run.attendances
+            collapsed_and_tagged(source, order_by, row_id, rules, null_keys), run.attendances
         ),
     )
     timed("report", lambda: write_report_csv(run.dq_report(), run.report_path))

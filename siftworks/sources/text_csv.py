@@ -36,7 +36,8 @@ def read_text_csv(
     ``_corrupt_record``.  Line breaks inside quotes need ``multi_line``, which
     makes every file one task, so it is off by default.  ``with_position``
     adds the file, block and row that a row came from, to order rows by;
-    ``source_row`` is unique.
+    ``source_row`` is unique, and as it follows from the split of the files it
+    is the same when a lost task is run again.
     """
     schema = text_schema(columns)
     if corrupt_column:

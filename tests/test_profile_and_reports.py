@@ -138,6 +138,24 @@ def test_lookup_is_the_same_by_broadcast_and_by_salted_shuffle(spark, max_broadc
     assert got == {i: names.get("hot" if i % 3 == 0 else str(i % 50)) for i in range(900)}
 
 
+@pytest.mark.parametrize("max_broadcast_rows", [100, 1])
+def test_members_and_outsiders(spark, max_broadcast_rows):
+    rows = spark.createDataFrame(
+        [(i, k) for i, k in enumerate(["hot"] * 50 + ["a", "b", None])], "id int, k string"
+    )
+    keys = spark.createDataFrame([("hot",), ("hot",), ("b",), (None,)], "key string")
+
+    def ids_of(**options):
+        found = lookup.members(
+            rows, F.col("k"), keys, "key", "id", max_broadcast_rows=max_broadcast_rows, **options
+        )
+        assert found.columns == ["id", "k"]
+        return sorted(r["id"] for r in found.collect())
+
+    assert ids_of() == [*range(50), 51]
+    assert ids_of(outside=True) == [50]
+
+
 def stays(spark):
     rows = [
         ("1", "2025-01-01 10:00:00", f"2025-01-01 {10 + h:02d}:{m:02d}:00")

@@ -160,3 +160,13 @@ def test_result_does_not_depend_on_the_partitioning(spark, run, tmp_path):
     columns = [*a.CLEAN_COLUMNS, REASONS, "copies"]
     mine, its = run.outcomes().select(columns), other.outcomes().select(columns)
     assert mine.exceptAll(its).count() == its.exceptAll(mine).count() == 0
+
+
+def test_rows_without_a_key_in_a_run(spark, tmp_path):
+    rows = [attendance(attendance_id=m, n=i) for i, m in enumerate(["-", None, "n/a", "A1", "A1"])]
+    source = raw(spark, rows, "n int")
+    rules = a.reject_rules()
+    kept = full_run(source, ["n"], "n", rules, str(tmp_path / "kept"))
+    one = full_run(source, ["n"], "n", rules, str(tmp_path / "one"), null_keys="collapse")
+    assert tuple(kept.stage_counts().first()) == (5, 4, 1, 4, 0)
+    assert tuple(one.stage_counts().first()) == (5, 2, 3, 2, 0)
