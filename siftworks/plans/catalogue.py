@@ -394,7 +394,7 @@ def null_profile_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stage_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = _raw(spark, sf_dir).select(*a.RAW_COLUMNS, *feed.FEED_ORDER)
     return run.stage_counts(
-        run.collapsed_and_tagged(raw, feed.FEED_ORDER, feed.ROW_ID, _rules())
+        run.tagged_and_collapsed(raw, feed.FEED_ORDER, feed.ROW_ID, _rules())
     )
 
 

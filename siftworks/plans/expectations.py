@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -11,18 +10,30 @@ from pyspark.sql import functions as F
 from siftworks import attendance as a
 from siftworks.functions.text import has_decimal_suffix, is_padded
 from siftworks.operators.rules import Rule, any_violated
-from siftworks.plans.cleaning import blanks_to_null, checked_rows, normalised, standard_text
+from siftworks.plans.cleaning import (
+    blanks_to_null,
+    deduplicated,
+    fixed_codes,
+    parsed_times,
+    standard_text,
+)
 
 
-def _lines(df: DataFrame, side: str, measures: Mapping[str, Column]) -> DataFrame:
-    """One aggregate over the rows, as (check, expected, actual) lines."""
-    other = "actual" if side == "expected" else "expected"
-    row = df.agg(*[m.cast("bigint").alias(f"m{i}") for i, m in enumerate(measures.values())])
+def _lines(df: DataFrame, measures: Mapping[str, Mapping[str, Column]]) -> DataFrame:
+    """All measures in one aggregate, as (check, expected, actual) lines."""
+    wanted = [(check, side, m) for check, sides in measures.items() for side, m in sides.items()]
+    row = df.agg(*[m.cast("bigint").alias(f"m{i}") for i, (_, _, m) in enumerate(wanted)])
+    found = {(check, side): f"m{i}" for i, (check, side, _) in enumerate(wanted)}
+
+    def value(check: str, side: str) -> Column:
+        name = found.get((check, side))
+        return (F.col(name) if name else F.lit(None).cast("bigint")).alias(side)
+
     lines = [
-        F.struct(F.lit(check).alias("check"), F.col(f"m{i}").alias(side))
-        for i, check in enumerate(measures)
+        F.struct(F.lit(check).alias("check"), value(check, "expected"), value(check, "actual"))
+        for check in measures
     ]
-    return row.select(F.inline(F.array(*lines))).withColumn(other, F.lit(None).cast("bigint"))
+    return row.select(F.inline(F.array(*lines)))
 
 
 def _values(column: str) -> Column:
@@ -37,7 +48,8 @@ def expectation_report(
     """Per check: the count that the planted faults call for, the count that
     cleaning arrives at, and whether they agree.
 
-    ``feed`` is a damaged feed with its ``planted`` faults and copies.
+    ``feed`` is a damaged feed with its ``planted`` faults and copies.  It is
+    read twice, for the counts before and after deduplication.
     """
     planted = F.col("planted.error_type")
     original = F.col("copy") == 0
@@ -67,14 +79,13 @@ def expectation_report(
         **{f"rows failing {r.name}": F.count_if(original & carries(r.name)) for r in rules},
     }
     complaint = F.col("presenting_complaint")
-    after_case = {
-        "padded complaints after trimming": F.count_if(is_padded(complaint)),
-        "complaint values, missing included": _values("presenting_complaint"),
-        "disposition values, missing included": _values("disposition"),
-        "complaints outside the list": F.count_if(~complaint.isin(*a.COMPLAINTS)),
-    }
-    after_fixes = {
+    cased = F.col("_complaint")
+    before_dedupe = {
         "rows read": F.count(F.lit(1)),
+        "padded complaints after trimming": F.count_if(is_padded(cased)),
+        "complaint values, missing included": _values("_complaint"),
+        "disposition values, missing included": _values("_disposition"),
+        "complaints outside the list": F.count_if(~cased.isin(*a.COMPLAINTS)),
         "arrivals missing after parsing": F.count_if(F.col("arrival_time").isNull()),
         "departures missing after parsing": F.count_if(F.col("departure_time").isNull()),
         "triage codes ending in .0": F.count_if(has_decimal_suffix(F.col("triage_category"))),
@@ -90,15 +101,22 @@ def expectation_report(
         "quarantined rows": F.count_if(any_violated(rules)),
         **{f"rows failing {r.name}": F.count_if(r.violated()) for r in rules},
     }
-    raw = feed.select(*a.RAW_COLUMNS, *dict.fromkeys([*order_by, row_id]))
-    parts = [
-        _lines(feed, "expected", expected),
-        _lines(raw.transform(blanks_to_null).transform(standard_text), "actual", after_case),
-        _lines(raw.transform(normalised), "actual", after_fixes),
-        _lines(checked_rows(raw, order_by, row_id), "actual", after_dedupe),
-    ]
+    cleaned = (
+        feed.transform(blanks_to_null)
+        .transform(standard_text)
+        .withColumns({"_complaint": complaint, "_disposition": F.col("disposition")})
+        .transform(parsed_times)
+        .transform(fixed_codes)
+    )
+    kept = deduplicated(cleaned, order_by, row_id)
+    from_feed = {
+        check: {"expected": m, **({"actual": before_dedupe[check]} if check in before_dedupe else {})}
+        for check, m in expected.items()
+    }
+    from_kept = {check: {"actual": m} for check, m in after_dedupe.items()}
     return (
-        reduce(DataFrame.unionByName, parts)
+        _lines(cleaned, from_feed)
+        .unionByName(_lines(kept, from_kept))
         .groupBy("check")
         .agg(F.max("expected").alias("expected"), F.max("actual").alias("actual"))
         .withColumn("ok", F.col("expected").eqNullSafe(F.col("actual")))

@@ -17,7 +17,7 @@ from siftworks import attendance as a
 from siftworks.operators import kpi, reconcile, report
 from siftworks.operators.dedupe import NullKeys, collapse_copies
 from siftworks.operators.rules import REASONS, Rule, is_clean, tag_failures
-from siftworks.plans.cleaning import keep_original, normalised
+from siftworks.plans.cleaning import ORIGINAL, keep_original, normalised
 from siftworks.sources import tables
 from siftworks.sources.text_csv import write_report_csv
 
@@ -70,17 +70,24 @@ def stage_counts(tagged: DataFrame) -> DataFrame:
     )
 
 
-def collapsed_and_tagged(
+def tagged_and_collapsed(
     raw: DataFrame,
     order_by: Sequence[str],
     row_id: str,
     rules: Sequence[Rule],
     null_keys: NullKeys = "keep",
 ) -> DataFrame:
+    """Judged rows, one per attendance, with the number of their copies.
+
+    The rules look at one row at a time, so they judge before the shuffle: the
+    untouched text then travels with the failing rows only.
+    """
     return (
-        raw.transform(normalised)
-        .transform(collapse_copies, [a.KEY], order_by, row_id, null_keys=null_keys)
+        raw.transform(keep_original)
+        .transform(normalised)
         .transform(tag_failures, rules)
+        .withColumn(ORIGINAL, F.when(~is_clean(), F.col(ORIGINAL)))
+        .transform(collapse_copies, [a.KEY], order_by, row_id, null_keys=null_keys)
     )
 
 
@@ -107,11 +114,11 @@ def full_run(
         run.seconds[stage] = time.perf_counter() - start
 
     columns = [*a.RAW_COLUMNS, *dict.fromkeys([*order_by, row_id])]
-    source = raw.select(*columns).transform(keep_original)
     timed(
         "clean_and_store",
         lambda: tables.write_outcomes(
-            collapsed_and_tagged(source, order_by, row_id, rules, null_keys), run.attendances
+            tagged_and_collapsed(raw.select(*columns), order_by, row_id, rules, null_keys),
+            run.attendances,
         ),
     )
     timed("report", lambda: write_report_csv(run.dq_report(), run.report_path))
@@ -137,7 +144,8 @@ def found_reasons(tagged: DataFrame) -> DataFrame:
 
 
 def run_metrics(run: Run) -> DataFrame:
-    """Per stage: rows in and out, and seconds where the stage was timed."""
+    """Per stage: rows in and out, seconds where it was timed, and the time of
+    the run, as the runs of a folder append to one table."""
     n = {c: F.col(c) for c in ("rows_read", "rows_deduplicated", "rows_clean", "rows_quarantined")}
     flows = [
         ("read", n["rows_read"], n["rows_read"], None),
@@ -155,4 +163,6 @@ def run_metrics(run: Run) -> DataFrame:
         )
         for stage, rows_in, rows_out, seconds in flows
     ]
-    return run.stage_counts().select(F.inline(F.array(*lines)))
+    return run.stage_counts().select(
+        F.inline(F.array(*lines)), F.current_timestamp().alias("run_at")
+    )

@@ -134,6 +134,8 @@ def test_quarantined_rows_keep_the_original_text(run):
     shown = run.quarantined().filter("original.arrival_time = '5/3/2024 14:30'")
     assert shown.count() > 0
     assert shown.filter("arrival_time IS NOT NULL").count() == 0
+    assert run.quarantined().filter("original IS NULL").count() == 0
+    assert run.outcomes().filter("outcome = 'clean' AND original IS NOT NULL").count() == 0
 
 
 def test_one_side_is_read_without_the_other(run):
