@@ -39,3 +39,10 @@ def test_entry(spark):
     df = entry.entry(spark)
     assert df.columns == ["reason", "count", "pct_of_input"]
     assert df.count() == 7
+
+
+@pytest.mark.parametrize("scale", ["0.001", "0.01", "0.1"])
+def test_the_rules_find_exactly_the_planted_faults(spark, scale):
+    found = QUERIES["reconcile_summary"](spark, f"/root/testdata/sf{scale}").first()
+    assert found["only_found"] == found["only_truth"] == 0
+    assert found["matched"] == found["truth_keys"] == found["found_keys"] > 0
