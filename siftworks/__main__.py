@@ -24,7 +24,7 @@ from siftworks.sources.answer_key import read_answer_key, true_reasons, write_an
 
 def feed(spark: SparkSession, events: str, raw: str, key: str) -> None:
     """Write the rows in feed order and what was planted in them."""
-    messy = attendance_feed.messy_feed(spark.read.parquet(events))
+    messy = attendance_feed.messy_feed(attendance_feed.read_events(spark, events))
     text_csv.write_text_csv(
         messy.orderBy(*attendance_feed.FEED_ORDER).select(*a.RAW_COLUMNS), raw
     )

@@ -57,7 +57,7 @@ def _raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _good(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return feed.good_attendances(spark.read.parquet(f"{sf_dir}/events.parquet"))
+    return feed.good_attendances(feed.read_events(spark, f"{sf_dir}/events.parquet"))
 
 
 def _checked(spark: SparkSession, sf_dir: str) -> DataFrame:

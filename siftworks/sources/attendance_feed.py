@@ -25,6 +25,7 @@ from siftworks.operators.faults import (
 from siftworks.operators.numbering import number_rows
 
 EVENT = "event_id"
+EVENT_SCHEMA = "event_id bigint, ts timestamp_ntz, user_id bigint"
 
 # All events of the given tables lie in this year.
 FEED_YEAR = 2024
@@ -258,8 +259,14 @@ def messy_feed(events: DataFrame) -> DataFrame:
     )
 
 
+def read_events(spark: SparkSession, path: str) -> DataFrame:
+    """The columns of ``events`` that attendances are made of; with the schema
+    given, no job has to look it up in the files first."""
+    return spark.read.schema(EVENT_SCHEMA).parquet(path)
+
+
 def read_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return messy_feed(spark.read.parquet(f"{sf_dir}/events.parquet"))
+    return messy_feed(read_events(spark, f"{sf_dir}/events.parquet"))
 
 
 def numbered_feed(feed: DataFrame) -> DataFrame:
