@@ -1,8 +1,8 @@
 """Time the headline queries: one JSON line.
 
-Each query runs once to warm up and is then timed over ``BENCH_REPEATS`` runs,
-planning included; the median counts.  Results go to a sink that reads every
-row and keeps none.
+All queries run once to warm up the JVM; then each is timed over
+``BENCH_REPEATS`` rounds, planning included, and the median counts.  Results go
+to a sink that reads every row and keeps none.
 """
 
 from __future__ import annotations
@@ -68,10 +68,10 @@ def main() -> None:
         all_queries()[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
         return time.perf_counter() - start
 
-    seconds = {}
     for name in names:
         run(name)
-        seconds[name] = round(statistics.median(run(name) for _ in range(repeats)), 3)
+    rounds = [{name: run(name) for name in names} for _ in range(repeats)]
+    seconds = {n: round(statistics.median(r[n] for r in rounds), 3) for n in names}
     spark.stop()
     print(
         json.dumps(
