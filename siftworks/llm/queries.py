@@ -6,14 +6,22 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from siftworks.llm import line_dedup, mixing, quality_rules
+from siftworks.llm import byte_bpe, line_dedup, mixing, quality_rules, topk_search, warc
 from siftworks.llm.frames import table
 
 
+def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return byte_bpe.bpe_digest(table(spark, sf_dir, "documents"))
+
+
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.line_dedup_digest(table(spark, sf_dir, "documents"))
 
 
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.warc_digest(table(spark, sf_dir, "pages"))
+
+
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixing_digest(table(spark, sf_dir, "documents"))
 
@@ -24,11 +32,18 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk_search.topk_digest(table(spark, sf_dir, "embeddings"))
+
+
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op2_byte_bpe": op2_byte_bpe,
         "op3_line_dedup": op3_line_dedup,
+        "op4_warc": op4_warc,
         "op6_mixing": op6_mixing,
         "op9_quality_rules": op9_quality_rules,
+        "op10_topk_search": op10_topk_search,
     }
 
 
@@ -36,4 +51,5 @@ def all_oracles() -> dict[str, str]:
     return {
         "op3_line_dedup": line_dedup.ORACLE,
         "op6_mixing": mixing.ORACLE,
+        "op10_topk_search": topk_search.ORACLE,
     }
