@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from siftworks.llm import line_dedup, mixing, quality_rules
+from siftworks.llm import byte_bpe, line_dedup, mixing, near_dedup, quality_rules
 from siftworks.llm.frames import stored, table
 
 
@@ -18,14 +18,30 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return line_dedup.without_repeated_lines(docs)
 
 
+def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of copies."""
+    return near_dedup.one_of_each(docs)
+
+
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents as often as the mix takes them."""
     return mixing.mixed_documents(docs)
 
 
-STAGES = [("quality_rules", quality), ("line_dedup", lines), ("mixing", mixture)]
+def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of what is left."""
+    return byte_bpe.encoded_documents(docs)
+
+
+STAGES = [
+    ("quality_rules", quality),
+    ("line_dedup", lines),
+    ("near_dedup", near_copies),
+    ("mixing", mixture),
+    ("byte_bpe", tokens),
+]
 
-# Learned rules have no SQL.
+# Learned rules, sketches and byte-pair merges have no SQL.
 ORACLE_SQL = None
 
 

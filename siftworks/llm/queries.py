@@ -6,7 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from siftworks.llm import byte_bpe, line_dedup, mixing, quality_rules, topk_search, warc
+from siftworks.llm import (
+    byte_bpe,
+    line_dedup,
+    mixing,
+    near_dedup,
+    quality_rules,
+    topk_search,
+    warc,
+)
 from siftworks.llm.frames import table
 
 
@@ -26,6 +34,10 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixing_digest(table(spark, sf_dir, "documents"))
 
 
+def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_dedup_digest(table(spark, sf_dir, "documents"))
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_digest(
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
@@ -42,6 +54,7 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_line_dedup": op3_line_dedup,
         "op4_warc": op4_warc,
         "op6_mixing": op6_mixing,
+        "op8_near_dedup": op8_near_dedup,
         "op9_quality_rules": op9_quality_rules,
         "op10_topk_search": op10_topk_search,
     }
