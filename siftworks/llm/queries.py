@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from siftworks.llm import (
     byte_bpe,
     line_dedup,
+    lm_scoring,
     mixing,
     near_dedup,
     quality_rules,
@@ -18,6 +19,10 @@ from siftworks.llm import (
 from siftworks.llm.frames import table
 
 
+def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scoring.lm_digest(table(spark, sf_dir, "documents"))
+
+
 def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.bpe_digest(table(spark, sf_dir, "documents"))
 
@@ -50,6 +55,7 @@ def op10_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_lm_scoring": op1_lm_scoring,
         "op2_byte_bpe": op2_byte_bpe,
         "op3_line_dedup": op3_line_dedup,
         "op4_warc": op4_warc,
