@@ -8,11 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 from siftworks.llm import (
     byte_bpe,
+    language_id,
     line_dedup,
     lm_scoring,
     mixing,
     near_dedup,
     quality_rules,
+    sanitise,
     topk_search,
     warc,
 )
@@ -35,10 +37,18 @@ def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.warc_digest(table(spark, sf_dir, "pages"))
 
 
+def op5_sanitise(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sanitise.sanitise_digest(table(spark, sf_dir, "documents"))
+
+
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixing_digest(table(spark, sf_dir, "documents"))
 
 
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.language_digest(table(spark, sf_dir, "documents"))
+
+
 def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_dedup_digest(table(spark, sf_dir, "documents"))
 
@@ -59,7 +69,9 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_byte_bpe": op2_byte_bpe,
         "op3_line_dedup": op3_line_dedup,
         "op4_warc": op4_warc,
+        "op5_sanitise": op5_sanitise,
         "op6_mixing": op6_mixing,
+        "op7_language_id": op7_language_id,
         "op8_near_dedup": op8_near_dedup,
         "op9_quality_rules": op9_quality_rules,
         "op10_topk_search": op10_topk_search,
