@@ -182,6 +182,8 @@ class Encoder:
 
     def _block(self, tokens: list[str], row_tokens: list[int]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of consecutive pre-tokens, and how many of them each row has."""
+        if not tokens:
+            return np.zeros(0, np.int64), np.zeros(len(row_tokens), np.int64)
         data = "".join(tokens).encode()
         buffer = words.padded(np.frombuffer(data, np.uint8), 0, len(data))
         chars = np.fromiter(map(len, tokens), np.int64, len(tokens))

@@ -355,7 +355,7 @@ def score(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
                     base = np.log10(c + 0.1) - whole
                 else:
                     given = of_unknown = inside = base = np.full(len(t.h), np.log10(0.1) - whole)
-                sums = lambda x, on: np.bincount(t.row[on], x[on], minlength=t.rows)  # noqa: E731, B023
+                sums = lambda x, on: np.bincount(t.row[on], x[on], minlength=t.rows).astype(float)  # noqa: E731, B023
                 if model:
                     out = np.flatnonzero(~known)
                     score = sums(given + inside, known)
