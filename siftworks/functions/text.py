@@ -27,11 +27,11 @@ def canonical_case(c: Column, values: Sequence[str]) -> Column:
 
 def strip_decimal_suffix(c: Column) -> Column:
     """Drop one trailing ``.0``: ``3.0`` becomes ``3``, ``3.00`` stays."""
-    return F.regexp_replace(c, r"\.0$", "")
+    return F.regexp_replace(c, r"\.0\z", "")
 
 
 def has_decimal_suffix(c: Column) -> Column:
-    return c.rlike(r"\.0$")
+    return c.rlike(r"\.0\z")
 
 
 def code_flag(c: Column, pattern: str) -> Column:

@@ -1,78 +1,35 @@
-"""Left lookup of values in a dimension table, and membership checks."""
+"""Left lookup of values in a dimension table, and membership checks.
+
+All joins are plain: Spark broadcasts a side by its size in bytes and splits the
+partitions of hot values on the side of the rows.  No job runs while a query is built.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# A dimension of up to this many rows is sent to every executor.
-BROADCAST_ROWS = 100_000
-
-
-def is_small(dim: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    """Whether the table has at most ``max_rows`` rows; runs a short job."""
-    return dim.limit(max_rows + 1).count() <= max_rows
-
-
-def _salted(
-    df: DataFrame, wanted: Column, entries: DataFrame, row_id: str, salts: int
-) -> tuple[DataFrame, DataFrame]:
-    """Both sides with a salt: each row gets one, each entry a copy per salt."""
-    spread = F.pmod(F.xxhash64(row_id), F.lit(salts)).cast("int")
-    copies = F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
-    return (
-        df.withColumns({"_key": wanted, "_salt": spread}),
-        entries.withColumn("_salt", copies),
-    )
-
 
 def lookup(
-    df: DataFrame,
-    wanted: Column,
-    dim: DataFrame,
-    key: str,
-    value: str,
-    row_id: str,
-    as_column: str,
-    max_broadcast_rows: int = BROADCAST_ROWS,
-    salts: int = 64,
+    df: DataFrame, wanted: Column, dim: DataFrame, key: str, value: str, as_column: str
 ) -> DataFrame:
     """Add the dimension's value for each row, NULL when there is none.
 
-    ``dim`` must hold each key once.  A small one is broadcast, after its rows
-    have been counted.  A large one is joined by shuffle on the key and a salt
-    taken from the unique ``row_id``: the rows of a hot value then spread over
-    ``salts`` tasks, and each dimension row is copied to all of them.
+    ``dim`` must hold each key once.
     """
     entries = dim.select(F.col(key).alias("_key"), F.col(value).alias(as_column))
-    if is_small(entries, max_broadcast_rows):
-        rows = df.withColumn("_key", wanted)
-        return rows.join(F.broadcast(entries), "_key", "left").drop("_key")
-    rows, copied = _salted(df, wanted, entries, row_id, salts)
-    return rows.join(copied, ["_key", "_salt"], "left").drop("_key", "_salt")
+    return df.withColumn("_key", wanted).join(entries, "_key", "left").drop("_key")
 
 
 def members(
-    df: DataFrame,
-    wanted: Column,
-    keys: DataFrame,
-    key: str,
-    row_id: str,
-    outside: bool = False,
-    max_broadcast_rows: int = BROADCAST_ROWS,
-    salts: int = 64,
+    df: DataFrame, wanted: Column, keys: DataFrame, key: str, outside: bool = False
 ) -> DataFrame:
     """The rows whose value is among the keys, or with ``outside`` is not.
 
-    A missing value is neither inside nor outside, as with ``isin``.  Small
-    key sets are broadcast and large ones joined with a salt, as in
-    ``lookup``; the keys may repeat.
+    A missing value is neither inside nor outside, as with ``isin``; the keys
+    may repeat.
     """
     how = "left_anti" if outside else "left_semi"
-    present = df.filter(wanted.isNotNull())
-    entries = keys.select(F.col(key).alias("_key")).distinct()
-    if is_small(entries, max_broadcast_rows):
-        rows = present.withColumn("_key", wanted)
-        return rows.join(F.broadcast(entries), "_key", how).drop("_key")
-    rows, copied = _salted(present, wanted, entries, row_id, salts)
-    return rows.join(copied, ["_key", "_salt"], how).drop("_key", "_salt")
+    entries = keys.select(F.col(key).alias("_key"))
+    rows = df.filter(wanted.isNotNull()).withColumn("_key", wanted)
+    return rows.join(entries, "_key", how).drop("_key")

@@ -15,21 +15,23 @@ def number_rows(
     span: int,
     then_by: Sequence[str],
     as_column: str,
-    buckets: int | None = None,
+    buckets: int = 256,
 ) -> DataFrame:
     """Number the rows from 1 in the order of ``spread_by``, then ``then_by``.
 
     ``spread_by`` is a hash-like bigint in [0, span).  It is cut into equal
     ranges; the rows of the ranges before give each range its offset, and each
-    range is numbered by itself.  The only broadcast is one row per range
-    (``buckets``, by default four per shuffle partition), whatever the number
-    of rows.  The input is read twice, for the counts and for the numbers, so
-    it must be a stored table or derived from one without chance.
+    range is numbered by itself.  The job chooses ``buckets`` by its data, so
+    that the rows of one range sort in a task.  Values outside the span are
+    numbered in order like all others, at the cost of the first or last range,
+    and NULL comes first.  The input is read twice, for the counts and for the
+    numbers, so it must be a stored table or derived from one without chance.
     """
-    if buckets is None:
-        buckets = 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     width = -(-span // buckets)
-    ranged = df.withColumn("_range", F.floor(F.col(spread_by) / F.lit(width)).cast("int"))
+    inside = F.floor(F.col(spread_by) / F.lit(width))
+    nth = F.greatest(F.lit(-1), F.least(F.lit(buckets), inside)).cast("int")
+    # greatest() and least() pass over NULL, which needs a range of its own.
+    ranged = df.withColumn("_range", F.when(F.col(spread_by).isNull(), -2).otherwise(nth))
     before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         ranged.groupBy("_range")
@@ -39,7 +41,7 @@ def number_rows(
     within = Window.partitionBy("_range").orderBy(spread_by, *then_by)
     return (
         ranged.withColumn("_place", F.row_number().over(within))
-        .join(F.broadcast(offsets), "_range")
+        .join(F.broadcast(offsets), "_range")  # buckets + 3 rows at most
         .withColumn(as_column, F.col("_offset") + F.col("_place"))
         .drop("_range", "_place", "_offset")
     )

@@ -61,23 +61,29 @@ def _written(column: str, mixed: bool = True) -> str:
       ELSE strftime({column}, '%Y-%m-%dT%H:%M:%S') END"""
 
 
-NEGATIVE = "CASE WHEN slot IN (3, 4) THEN arrival - to_minutes(5 + event_id % 595) ELSE {} END"
-EXTREME = """CASE slot WHEN 8 THEN arrival + to_minutes(3000 + (event_id * 7919) % 17000)
+NEGATIVE = (
+    "CASE WHEN slot IN (3, 4) THEN arrival - to_minutes(1 + event_id // 97 * 13 % 2000) ELSE {} END"
+)
+EXTREME = """CASE slot WHEN 8 THEN arrival + to_minutes(2882 + (event_id * 131) % 40000)
       WHEN 25 THEN arrival + to_minutes(2880) WHEN 26 THEN arrival + to_minutes(2881)
       ELSE {} END"""
-FUTURE = "CASE WHEN slot = 7 THEN {0} + to_days(3652) ELSE {0} END"
+LATER = "to_years(cast(1 + event_id % 7 AS int))"
+FUTURE = "CASE WHEN slot = 7 THEN {0} + " + LATER + " ELSE {0} END"
 
 MARKER = f"{WRITTEN}[event_id % 5 + 1]"
 INVALID = "['0', '6', '9', '99', 'X', '-1'][event_id % 6 + 1]"
-MALFORMED = """CASE event_id % 4 WHEN 0 THEN gp_practice_code[1:4]
-      WHEN 1 THEN gp_practice_code || '9'
-      WHEN 2 THEN cast(100000 + event_id % 900000 AS varchar) ELSE 'GPPRAC' END"""
+MALFORMED = """CASE event_id // 97 % 4
+      WHEN 0 THEN gp_practice_code[1:event_id % 6] || gp_practice_code[event_id % 6 + 2:]
+      WHEN 1 THEN cast(event_id % 10 AS varchar) || gp_practice_code[2:]
+      WHEN 2 THEN gp_practice_code[1:3] || ' ' || gp_practice_code[5:]
+      ELSE gp_practice_code[1:5] || 'O' END"""
 
 
 def _untidy(column: str, kind: str, value: str) -> str:
     return (
-        f"CASE {kind} WHEN 0 THEN upper({value}) WHEN 1 THEN lower({value}) "
-        f"ELSE '  ' || {value} || ' ' END"
+        f"CASE {kind} WHEN 0 THEN {value}[1:2] || upper({value}[3:]) "
+        f"WHEN 1 THEN lower({value}[1:1]) || {value}[2:] "
+        f"ELSE {value} || repeat(' ', cast(1 + event_id % 4 AS int)) END"
     )
 
 
@@ -94,7 +100,7 @@ FEED = f"""{GOOD},
 timed AS (
   SELECT * REPLACE (
     {FUTURE.format('arrival')} AS arrival,
-    CASE WHEN slot = 7 THEN departure + to_days(3652)
+    CASE WHEN slot = 7 THEN departure + {LATER}
       WHEN slot IN (3, 4) THEN {NEGATIVE.format('departure')}
       ELSE {EXTREME.format('departure')} END AS departure)
   FROM good),
@@ -521,7 +527,8 @@ def all_oracles() -> dict[str, str]:
         "domain_violations_lineitem": """SELECT l_orderkey, l_linenumber, l_returnflag
             FROM lineitem WHERE l_returnflag NOT IN ('A', 'N')""",
         "domain_violations_join": """SELECT c_custkey, c_name FROM customer
-            WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)""",
+            WHERE c_custkey NOT IN
+              (SELECT o_custkey FROM orders WHERE o_orderpriority = '1-URGENT')""",
         "null_check": f"""WITH {NULLIFIED}
             SELECT source_row, pseudo_patient_id, arrival_time, departure_time FROM nullified
             WHERE pseudo_patient_id IS NULL OR arrival_time IS NULL

@@ -49,10 +49,12 @@ def _noise(modulus: int, residue: int, *not_in_slots: int) -> Pick:
 
 
 def _untidy(kind: str) -> str:
-    """Upper case, lower case, or stray spaces."""
+    """What the list lookup has to see through: a tail in capitals, only the
+    first letter small, or blanks on one side, as many as the row says."""
     return (
-        f"CASE {kind} WHEN 0 THEN upper({{value}}) WHEN 1 THEN lower({{value}}) "
-        "ELSE concat('  ', {value}, ' ') END"
+        f"CASE {kind} WHEN 0 THEN concat(left({{value}}, 2), upper(substring({{value}}, 3))) "
+        "WHEN 1 THEN concat(lower(left({value}, 1)), substring({value}, 2)) "
+        f"ELSE concat({{value}}, repeat(' ', CAST(1 + {EVENT} % 4 AS INT))) END"
     )
 
 
@@ -88,15 +90,18 @@ INVALID_CODE_FAULTS = [
     )
 ]
 
-# Too short, too long, digits only, letters only.
+# What the pattern has to refuse: a character too few anywhere, a digit in place
+# of the letter, a blank inside, a letter among the digits, one of each in turn.
 MALFORMED_CODE_FAULTS = [
     Fault(
         "malformed_gp_code",
         ("gp_practice_code",),
         _slot(10, 11),
-        f"CASE pmod({EVENT}, 4) WHEN 0 THEN substring({{value}}, 1, 4) "
-        "WHEN 1 THEN concat({value}, '9') "
-        f"WHEN 2 THEN CAST(100000 + {EVENT} % 900000 AS STRING) ELSE 'GPPRAC' END",
+        f"CASE ({EVENT} div 97) % 4 "
+        f"WHEN 0 THEN overlay({{value}} PLACING '' FROM CAST(1 + {EVENT} % 6 AS INT) FOR 1) "
+        f"WHEN 1 THEN overlay({{value}} PLACING CAST({EVENT} % 10 AS STRING) FROM 1 FOR 1) "
+        "WHEN 2 THEN overlay({value} PLACING ' ' FROM 4 FOR 1) "
+        "ELSE overlay({value} PLACING 'O' FROM 6 FOR 1) END",
     )
 ]
 
@@ -112,18 +117,19 @@ NEGATIVE_STAY_FAULTS = [
         "departure_before_arrival",
         ("departure",),
         _slot(3, 4),
-        _stay(f"-(5 + {EVENT} % 595)"),
+        _stay(f"-(1 + ({EVENT} div 97) * 13 % 2000)"),
         "departure_time",
     )
 ]
 
-# Long stays, and two at the limit: just allowed, and just not.
+# From a minute before the arrival to a day and a half; stays from the limit up to
+# a month; and two at the limit: just allowed, and just not.
 EXTREME_STAY_FAULTS = [
     Fault(
         "extreme_length_of_stay",
         ("departure",),
         _slot(8),
-        _stay(f"3000 + ({EVENT} * 7919) % 17000"),
+        _stay(f"{a.LONGEST_STAY_MINUTES + 2} + ({EVENT} * 131) % 40000"),
         "departure_time",
     ),
     Fault(None, ("departure",), _slot(25), _stay(f"{a.LONGEST_STAY_MINUTES}")),
@@ -141,7 +147,8 @@ FUTURE_DATE_FAULTS = [
         "future_dated_attendance",
         ("arrival", "departure"),
         _slot(7),
-        "timestampadd(DAY, 3652, {value})",
+        # Whole years ahead, so the date stays plausible in all but its year.
+        f"timestampadd(YEAR, CAST(1 + {EVENT} % 7 AS INT), {{value}})",
         "arrival_time",
     )
 ]
@@ -269,9 +276,11 @@ def read_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return messy_feed(read_events(spark, f"{sf_dir}/events.parquet"))
 
 
-def numbered_feed(feed: DataFrame) -> DataFrame:
+def numbered_feed(feed: DataFrame, buckets: int = 256) -> DataFrame:
     """The feed with ``raw_row_number`` from 1 in feed order."""
-    return number_rows(feed, "feed_order", ORDER_SPAN, ["source_row"], "raw_row_number")
+    return number_rows(
+        feed, "feed_order", ORDER_SPAN, ["source_row"], "raw_row_number", buckets
+    )
 
 
 def with_duplicate_entry(feed: DataFrame) -> DataFrame:

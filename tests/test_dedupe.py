@@ -115,3 +115,12 @@ def test_row_numbers_with_ties(spark):
     numbered = number_rows(df, "place", 10, ["id"], "n").collect()
     assert sorted((r["n"], r["id"]) for r in numbered)[:3] == [(1, 99), (2, 0), (3, 1)]
     assert len({r["n"] for r in numbered}) == 21
+
+
+@pytest.mark.parametrize("buckets", [1, 4, 100])
+def test_row_numbers_of_missing_negative_and_large_values(spark, buckets):
+    places = [5, None, -3, 1, 2**40, None, 99, -(2**40), 100, 0]
+    df = spark.createDataFrame(list(enumerate(places)), "id int, place bigint")
+    numbered = number_rows(df, "place", 100, ["id"], "n", buckets).collect()
+    order = sorted(range(len(places)), key=lambda i: (places[i] is not None, places[i] or 0, i))
+    assert {r["id"]: r["n"] for r in numbered} == {i: n for n, i in enumerate(order, 1)}

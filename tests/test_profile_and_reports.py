@@ -122,33 +122,48 @@ def test_reconciliation_by_label(spark):
     }
 
 
-@pytest.mark.parametrize("max_broadcast_rows", [100, 1])
-def test_lookup_is_the_same_by_broadcast_and_by_salted_shuffle(spark, max_broadcast_rows):
+@pytest.fixture(params=["10m", "-1"])
+def broadcast_limit(request, spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", request.param)
+    yield
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_large_keys_are_joined_as_they_are(spark):
+    """No job while the query is built, no copies of the dimension, no forced hint."""
+    keys = spark.range(200_000).withColumn("key", F.col("id").cast("string"))
+    tracker = spark.sparkContext.statusTracker()
+    before = tracker.getJobIdsForGroup(None)
+    for df in (
+        lookup.members(keys, F.col("key"), keys, "key"),
+        lookup.lookup(keys, F.col("key"), keys, "key", "id", "found"),
+    ):
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        assert "Generate" not in plan and "ResolvedHint" not in plan and "strategy=" not in plan
+    assert tracker.getJobIdsForGroup(None) == before
+
+
+def test_lookup_is_the_same_by_broadcast_and_by_shuffle(spark, broadcast_limit):
     rows = spark.range(900).select(
         F.col("id"),
         F.when(F.col("id") % 3 == 0, "hot").otherwise((F.col("id") % 50).cast("string")).alias("k"),
     )
     dim = spark.createDataFrame([("hot", "H"), ("1", "one"), ("49", "x")], "key string, v string")
-    found = lookup.lookup(
-        rows, F.col("k"), dim, "key", "v", "id", "name", max_broadcast_rows, salts=8
-    )
+    found = lookup.lookup(rows, F.col("k"), dim, "key", "v", "name")
     names = {"hot": "H", "1": "one", "49": "x"}
     assert found.columns == ["id", "k", "name"]
     got = {r["id"]: r["name"] for r in found.collect()}
     assert got == {i: names.get("hot" if i % 3 == 0 else str(i % 50)) for i in range(900)}
 
 
-@pytest.mark.parametrize("max_broadcast_rows", [100, 1])
-def test_members_and_outsiders(spark, max_broadcast_rows):
+def test_members_and_outsiders(spark, broadcast_limit):
     rows = spark.createDataFrame(
         [(i, k) for i, k in enumerate(["hot"] * 50 + ["a", "b", None])], "id int, k string"
     )
     keys = spark.createDataFrame([("hot",), ("hot",), ("b",), (None,)], "key string")
 
     def ids_of(**options):
-        found = lookup.members(
-            rows, F.col("k"), keys, "key", "id", max_broadcast_rows=max_broadcast_rows, **options
-        )
+        found = lookup.members(rows, F.col("k"), keys, "key", **options)
         assert found.columns == ["id", "k"]
         return sorted(r["id"] for r in found.collect())
 
