@@ -9,10 +9,11 @@ candidates, and links are pairs whose sets of shingles have a Jaccard similarity
 least 0.8, counted exactly.
 
 Texts with the same words (blanks and A-Z case aside) are one node.  Within a bucket all
-nodes are first compared with one hub, the node of most bucket mates; buckets that then
-still hold several components compare all pairs of nodes of different components.  No
-link between nodes that share a bucket is lost, and a group of copies of one text costs
-one comparison per copy.
+nodes are first compared with one hub, the node of most bucket mates.  In buckets that
+then still hold several groups, the nodes outside the largest one are compared with all
+others, pair by pair where they are few, else in blocks of bounded size from which only
+links return.  No link between groups that share a bucket is lost, and a group of copies
+of one text costs one comparison per copy.
 
 Defined cases: null text counts as empty; texts without words are copies of each other;
 texts of fewer than five words have one shingle, all their words; class_id is the
@@ -23,6 +24,7 @@ rows of their own; an empty table gives no rows; other columns pass through.
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -36,6 +38,9 @@ THRESHOLD = 0.8
 # A pair of similarity 0.8 misses all bands with probability (1 - 0.8^6)^40 = 5e-6.
 BANDS = 40
 ROWS = 6
+# Buckets of up to FEW nodes are compared pair by pair, others in blocks.
+FEW = 16
+BLOCK_NODES = 256
 
 
 def shingles(buffer: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -180,25 +185,100 @@ def jaccard_counts(left, right) -> tuple[np.ndarray, np.ndarray]:
 
 
 def verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
-    """The pairs (a, b) of nodes that are similar; joins are plain, for adaptive
+    """The pairs (a, b, ...) of nodes that are similar; joins are plain, for adaptive
     execution to split where a node has many candidates."""
     left = texts.select(F.col("node").alias("a"), F.col("text").alias("text_a"))
     right = texts.select(F.col("node").alias("b"), F.col("text").alias("text_b"))
-    joined = pairs.select("a", "b").join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b")
+    joined = pairs.join(left, "a").join(right, "b").select(*pairs.columns, "text_a", "text_b")
+    kept = len(pairs.columns)
 
     def check(batches):
         for batch in batches:
-            _, of_a = words.utf8(batch.column(2))
-            _, of_b = words.utf8(batch.column(3))
+            _, of_a = words.utf8(batch.column(kept))
+            _, of_b = words.utf8(batch.column(kept + 1))
             for i, j in words.pieces(of_a + of_b):
-                both, either = jaccard_counts(batch.column(2).slice(i, j - i), batch.column(3).slice(i, j - i))
+                part = batch.slice(i, j - i)
+                both, either = jaccard_counts(part.column(kept), part.column(kept + 1))
                 alike = pa.array(both >= threshold * either - 1e-9)
-                part = pa.RecordBatch.from_arrays(
-                    [batch.column(k).slice(i, j - i) for k in (0, 1)], names=["a", "b"]
-                )
-                yield part.filter(alike)
+                yield part.select(list(range(kept))).filter(alike)
+
+    return joined.mapInArrow(check, pairs.schema)
+
+
+def block_links(
+    entries: DataFrame, texts: DataFrame, threshold: float, block: int = BLOCK_NODES
+) -> DataFrame:
+    """Links (a, b) between nodes of different groups that share a bucket.
 
-    return joined.mapInArrow(check, pairs.select("a", "b").schema)
+    ``entries``: (bucket, node, label).  The nodes outside a bucket's largest group are
+    compared with all nodes of the bucket, in blocks against blocks: a task holds two
+    blocks of bounded size, and no pair is a row unless it is a link.  Of the links of
+    two blocks only those are returned that join groups.
+    """
+    groups = entries.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("k"))
+    shape = groups.groupBy("bucket").agg(
+        F.sum("k").alias("n"), F.max(F.struct("k", "label")).alias("main")
+    )
+    parts = lambda n: F.ceil(n / F.lit(block)).cast("int")
+    placed = (
+        entries.join(shape, "bucket")
+        .withColumns(
+            {"of_all": parts(F.col("n")), "of_rest": parts(F.col("n") - F.col("main.k")), "h": F.xxhash64("node")}
+        )
+        .withColumn("rest", F.col("label") != F.col("main.label"))
+        .select("bucket", "node", "label", "rest", "of_all", "of_rest", "h")
+        .join(texts, "node")
+    )
+    each = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    everyone = placed.select(
+        "bucket", F.pmod("h", "of_all").cast("int").alias("x"), each("of_rest").alias("y"), "node", "label", "text"
+    )
+    others = placed.filter("rest").select(
+        "bucket", each("of_all").alias("x"), F.pmod("h", "of_rest").cast("int").alias("y"), "node", "label", "text"
+    )
+    keys = ["bucket", "x", "y"]
+    others = others.toDF(*others.columns)  # columns of their own, as both sides have one source
+
+    def compare(left, right):
+        found = []
+        if len(left) and len(right):
+            found = _links_between(left, right, threshold)
+        return pd.DataFrame(found, columns=["a", "b"])
+
+    return everyone.groupBy(*keys).cogroup(others.groupBy(*keys)).applyInPandas(compare, "a binary, b binary")
+
+
+def _links_between(left: pd.DataFrame, right: pd.DataFrame, threshold: float) -> list[tuple[bytes, bytes]]:
+    parent: dict[bytes, bytes] = {}
+
+    def root(x: bytes) -> bytes:
+        while (up := parent.setdefault(x, x)) != x:
+            parent[x] = x = parent[up]
+        return x
+
+    sides = []
+    for frame in (left, right):
+        data, offsets = words.utf8(pa.array(frame["text"], pa.large_string()))
+        row, h, _, _ = shingles(words.padded(data, offsets[0], offsets[-1], lower=True), offsets - offsets[0])
+        sides.append((row, h, np.bincount(row, minlength=len(frame))))
+    (row_a, h_a, size_a), (row_b, h_b, size_b) = sides
+    order = np.argsort(h_a, kind="stable")
+    row_a, h_a = row_a[order], h_a[order]
+    links = []
+    ends = np.searchsorted(row_b, np.arange(len(right) + 1))
+    for j in range(len(right)):
+        own = h_b[ends[j] : ends[j + 1]]
+        lo, hi = np.searchsorted(h_a, own, "left"), np.searchsorted(h_a, own, "right")
+        n = hi - lo
+        at = np.repeat(lo - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
+        both = np.bincount(row_a[at], minlength=len(left))
+        alike = both >= threshold * (size_a + size_b[j] - both) - 1e-9
+        for i in np.flatnonzero(alike & (both > 0)).tolist():
+            a, b = root(left["label"].iloc[i]), root(right["label"].iloc[j])
+            if a != b:
+                parent[b] = a
+                links.append((left["node"].iloc[i], right["node"].iloc[j]))
+    return links
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -228,7 +308,7 @@ def components(edges: DataFrame) -> DataFrame:
         # Large star: larger neighbours go to the smallest one.
         large = (
             both.join(lowest(both), "u").filter(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v"))
-        ).distinct()
+        )
         # Small star: a node and its smaller neighbours go to the smallest one.
         small = large.join(lowest(large), "u")
         again = (
@@ -251,14 +331,12 @@ def node_classes(docs: DataFrame, sketched: DataFrame, threshold: float = THRESH
         mates.groupBy("node").agg(F.sum(F.col("n") - 1).alias("degree")), "node"
     )
     hubs = ranked.groupBy("bucket").agg(F.max(F.struct("degree", "node")).alias("hub"))
-    sided = lambda x, y: (F.least(x, y).alias("a"), F.greatest(x, y).alias("b"))
-    first = (
+    hub_pairs = (
         mates.join(hubs, "bucket")
         .filter(F.col("node") != F.col("hub.node"))
-        .select(*sided(F.col("node"), F.col("hub.node")))
+        .select(F.col("node").alias("a"), F.col("hub.node").alias("b"), F.col("hub.degree").alias("degree"))
         .distinct()
     )
-    first = stored(first, "near-pairs")
     wanted = mates.select("node").distinct()
     texts = stored(
         with_node(docs.select("text"), "text", "node")
@@ -267,28 +345,35 @@ def node_classes(docs: DataFrame, sketched: DataFrame, threshold: float = THRESH
         .agg(F.any_value("text").alias("text")),
         "near-texts",
     )
-    links = stored(verified(first, texts, threshold), "near-links")
-    stars = components(links)
-    rooted = mates.join(stars, "node", "left").select(
-        "bucket", "node", F.coalesce("root", "node").alias("root")
+    links = stored(verified(hub_pairs, texts, threshold), "near-links")
+    # Known so far: a node belongs with the greatest hub that it is linked to.
+    sides = F.explode(F.array("a", "b"))
+    labels = (
+        links.select(sides.alias("node"), "degree", F.col("b").alias("hub"))
+        .groupBy("node")
+        .agg(F.max(F.struct("degree", "hub")).alias("hub"))
+        .select("node", F.col("hub.hub").alias("label"))
+    )
+    labelled = mates.join(labels, "node", "left").select(
+        "bucket", "node", F.coalesce("label", "node").alias("label"), "n"
     )
-    mixed = rooted.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
+    mixed = labelled.groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi"))
     open_ = stored(
-        rooted.join(mixed.filter(F.col("lo") != F.col("hi")).select("bucket"), "bucket", "left_semi"),
+        labelled.join(mixed.filter(F.col("lo") != F.col("hi")).select("bucket"), "bucket", "left_semi"),
         "near-open",
     )
-    other = open_.select("bucket", F.col("node").alias("node_b"), F.col("root").alias("root_b"))
+    # Few mates: pair by pair, at most FEW / 2 pairs for each entry.  More: in blocks.
+    few = open_.filter(F.col("n") <= FEW)
+    other = few.select("bucket", F.col("node").alias("b"), F.col("label").alias("label_b"))
     rest = (
-        open_.join(other, "bucket")
-        .filter((F.col("node") < F.col("node_b")) & (F.col("root") != F.col("root_b")))
-        .select(F.col("node").alias("a"), F.col("node_b").alias("b"))
+        few.join(other, "bucket")
+        .filter((F.col("node") < F.col("b")) & (F.col("label") != F.col("label_b")))
+        .select(F.col("node").alias("a"), "b")
         .distinct()
-        .join(first, ["a", "b"], "left_anti")
-    )
-    more = stored(verified(rest, texts, threshold), "near-links")
-    return components(
-        stars.select(F.col("node").alias("a"), F.col("root").alias("b")).union(more.select("a", "b"))
     )
+    many = open_.filter(F.col("n") > FEW).select("bucket", "node", "label")
+    more = verified(rest, texts, threshold).union(block_links(many, texts, threshold))
+    return components(links.select("a", "b").union(more))
 
 
 def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
