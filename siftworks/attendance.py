@@ -9,10 +9,12 @@ from __future__ import annotations
 from siftworks.operators.rules import (
     Rule,
     is_missing,
+    is_present,
     lasts_longer_than,
     not_in,
     outside_period,
     precedes,
+    unless,
 )
 
 # --- Fixed values: they must equal the published ones for equal results ------
@@ -63,6 +65,7 @@ TRIAGE_CODES = ["1", "2", "3", "4", "5"]
 GP_CODE_PATTERN = r"^[A-Z]\d{5}\z"
 
 UNKNOWN = "Unknown"
+MALFORMED_LINE = "malformed_line"
 LONGEST_STAY_MINUTES = 48 * 60
 BREACH_MINUTES = 240
 
@@ -86,8 +89,7 @@ EXPECTED_ACTIONS = {
     "mixed_date_format": "fix (parse into one timestamp format)",
 }
 
-# --- Layout -----------------------------------------------------------------
-
+# Names of the columns, of the answer key's too.
 KEY = "attendance_id"
 
 RAW_COLUMNS = [
@@ -116,12 +118,15 @@ def reject_rules(
     year: int = 2025,
     longest_stay_minutes: int = LONGEST_STAY_MINUTES,
     null_triage_fails: bool = False,
+    malformed_line: str | None = None,
 ) -> list[Rule]:
     """The seven reject rules, in the order in which reasons are listed.
 
-    A missing triage code passes unless ``null_triage_fails`` is set.
+    A missing triage code passes unless ``null_triage_fails`` is set.  With
+    ``malformed_line``, the column that holds a line whose fields could not be told
+    apart, such a row has that one reason, as none of its values can be trusted.
     """
-    return [
+    rules = [
         Rule("missing_arrival_time", is_missing("arrival_time")),
         Rule("missing_departure_time", is_missing("departure_time")),
         Rule("departure_before_arrival", precedes("departure_time", "arrival_time")),
@@ -141,3 +146,7 @@ def reject_rules(
         ),
         Rule("missing_patient_id", is_missing("pseudo_patient_id")),
     ]
+    if malformed_line is None:
+        return rules
+    malformed = is_present(malformed_line)
+    return [Rule(MALFORMED_LINE, malformed), *[unless(malformed, r) for r in rules]]

@@ -17,16 +17,22 @@ def _key_is_null(key: Sequence[str]) -> Column:
     return reduce(lambda a, b: a | b, [F.col(c).isNull() for c in key])
 
 
-def _groups(key: Sequence[str], row_id: str | None, null_keys: NullKeys) -> list[Column]:
+def _groups(
+    key: Sequence[str], row_id: str | None, null_keys: NullKeys, alone: Column | None = None
+) -> list[Column]:
     """The grouping columns: the key, and for rows without one their own id.
 
     The id makes every keyless row its own group, so they all survive and
-    spread over the cluster instead of meeting in one task.
+    spread over the cluster instead of meeting in one task.  So are the rows
+    for which ``alone`` holds.
     """
     columns = [F.col(c) for c in key]
-    if null_keys == "collapse":
+    apart = F.lit(False) if alone is None else alone
+    if null_keys == "keep":
+        apart = apart | _key_is_null(key)
+    elif alone is None:
         return columns
-    return [*columns, F.when(_key_is_null(key), F.col(row_id))]
+    return [*columns, F.when(apart, F.col(row_id))]
 
 
 def keep_first(
@@ -35,6 +41,7 @@ def keep_first(
     order_by: Sequence[str],
     row_id: str | None = None,
     null_keys: NullKeys = "keep",
+    alone: Column | None = None,
 ) -> DataFrame:
     """The first row of each key in the given order.
 
@@ -45,13 +52,14 @@ def keep_first(
 
     ``null_keys``: ``keep`` leaves rows without a key alone (in the same pass
     when ``row_id`` names a unique column, else by a second branch over the
-    input); ``collapse`` treats NULL as one more key value.
+    input); ``collapse`` treats NULL as one more key value.  Rows for which
+    ``alone`` holds are compared with none; that needs ``row_id``.
     """
     if null_keys == "keep" and row_id is None:
         keyed = keep_first(df.filter(~_key_is_null(key)), key, order_by, null_keys="collapse")
         return keyed.unionByName(df.filter(_key_is_null(key)))
     order = [*order_by, *([row_id] if row_id and row_id not in order_by else [])]
-    window = Window.partitionBy(*_groups(key, row_id, null_keys)).orderBy(*order)
+    window = Window.partitionBy(*_groups(key, row_id, null_keys, alone)).orderBy(*order)
     return (
         df.withColumn("_position", F.row_number().over(window))
         .filter(F.col("_position") == 1)

@@ -50,9 +50,11 @@ def with_residues(df: DataFrame, key: str, moduli: Sequence[int]) -> DataFrame:
     """Add the residues of the key once, for all picks after it.
 
     Spelled out in every pick they would swell the generated code beyond what
-    the JVM compiles.
+    the JVM compiles.  A key that is no whole number is hashed.
     """
-    return df.withColumns({f"_mod_{m}": F.expr(f"CAST(pmod({key}, {m}) AS INT)") for m in moduli})
+    whole = dict(df.dtypes)[key] in ("tinyint", "smallint", "int", "bigint")
+    number = key if whole else f"xxhash64({key})"
+    return df.withColumns({f"_mod_{m}": F.expr(f"CAST(pmod({number}, {m}) AS INT)") for m in moduli})
 
 
 @dataclass(frozen=True)

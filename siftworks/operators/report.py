@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from siftworks.functions.shares import percent
@@ -21,20 +21,29 @@ def reasons_listed(quarantined: DataFrame) -> DataFrame:
     )
 
 
+def rule_counts(rules: Sequence[Rule]) -> list[Column]:
+    """Aggregates over all checked rows, clean ones too: their number as ``total``
+    and the failures of each rule under its name.  Nothing is exploded, and each
+    task sends one row."""
+    return [
+        F.count(F.lit(1)).alias("total"),
+        *[F.count_if(r.violated()).alias(r.name) for r in rules],
+    ]
+
+
 def failure_report(
     checked: DataFrame, rules: Sequence[Rule], include_zero: bool = False
 ) -> DataFrame:
-    """Per rule: rows that break it and their share of all checked rows.
-
-    ``checked`` holds all rows, clean ones too, before or after tagging.  One
-    global aggregate finds the total and every count, so nothing is exploded
-    and each task sends one row.  Rules that no row breaks are left out unless
-    asked for.
-    """
-    counted = checked.agg(
-        F.count(F.lit(1)).alias("total"),
-        *[F.count_if(r.violated()).alias(r.name) for r in rules],
-    )
+    """Per rule: rows that break it and their share of all checked rows, from the
+    rows before or after tagging."""
+    return report_from_counts(checked.agg(*rule_counts(rules)), rules, include_zero)
+
+
+def report_from_counts(
+    counted: DataFrame, rules: Sequence[Rule], include_zero: bool = False
+) -> DataFrame:
+    """The report from one row of ``rule_counts``.  Rules that no row breaks are left
+    out unless asked for."""
     lines = F.array(
         *[F.struct(F.lit(r.name).alias("reason"), F.col(r.name).alias("count")) for r in rules]
     )

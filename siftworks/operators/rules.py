@@ -33,6 +33,15 @@ def is_missing(column: str) -> Callable[[], Column]:
     return lambda: F.col(column).isNull()
 
 
+def is_present(column: str) -> Callable[[], Column]:
+    return lambda: F.col(column).isNotNull()
+
+
+def unless(excused: Callable[[], Column], rule: Rule) -> Rule:
+    """The rule, for rows that are not excused from it."""
+    return Rule(rule.name, lambda: ~excused() & rule.violated())
+
+
 def precedes(earlier: str, later: str) -> Callable[[], Column]:
     """Both are present and the first lies strictly before the second."""
     return lambda: F.col(earlier) < F.col(later)

@@ -392,9 +392,7 @@ def null_profile_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def stage_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = _raw(spark, sf_dir).select(*a.RAW_COLUMNS, *feed.FEED_ORDER)
-    return run.stage_counts(
-        run.tagged_and_collapsed(raw, feed.FEED_ORDER, feed.ROW_ID, _rules())
-    )
+    return run.stage_counts(raw, feed.FEED_ORDER, feed.ROW_ID, _rules())
 
 
 @query
@@ -694,6 +692,50 @@ def fault_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return profile.frequencies(entries, "error_type")
 
 
+# --- Faults in given tables -------------------------------------------------
+
+
+def _damaged_table(
+    spark: SparkSession, sf_dir: str, table: str, key: str, planted: list[faults.Fault]
+) -> DataFrame:
+    """Key, damaged column and fault of all rows of a given table."""
+    column = planted[0].columns[0]
+    moduli = sorted({f.pick.modulus for f in planted})
+    return (
+        faults.with_residues(_table(spark, sf_dir, table).select(key, column), key, moduli)
+        .transform(faults.inject, planted)
+        .transform(faults.log_faults, planted)
+        .select(key, column, F.array_join("planted.error_type", ",").alias("planted"))
+    )
+
+
+@query
+def damaged_customer_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    planted = [
+        faults.Fault("lower_case", ("c_name",), faults.Pick(11, (2,)), "lower({value})"),
+        faults.Fault("padded", ("c_name",), faults.Pick(13, (5, 6)), "concat(' ', {value}, '  ')"),
+    ]
+    return _damaged_table(spark, sf_dir, "customer", "c_custkey", planted)
+
+
+@query
+def damaged_order_priorities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    planted = [
+        faults.Fault("number_only", ("o_orderpriority",), faults.Pick(17, (3,)), "left({value}, 1)"),
+        faults.Fault("missing", ("o_orderpriority",), faults.Pick(7, (0,)), "NULL"),
+    ]
+    return _damaged_table(spark, sf_dir, "orders", "o_orderkey", planted)
+
+
+@query
+def damaged_document_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    planted = [
+        faults.Fault("region_added", ("lang",), faults.Pick(5, (1,)), "concat({value}, '-XX')"),
+        faults.Fault("upper_case", ("lang",), faults.Pick(3, (2,)), "upper({value})"),
+    ]
+    return _damaged_table(spark, sf_dir, "documents", "doc_id", planted)
+
+
 # --- Whole jobs -------------------------------------------------------------
 
 
@@ -708,9 +750,42 @@ def cleaned_from_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The clean rows of the CSV feed, deduplicated by position in its files."""
     folder = new_folder(spark, "cleaned_from_csv")
     text_csv.write_text_csv(_raw(spark, sf_dir).select(*a.RAW_COLUMNS), folder)
-    scanned = text_csv.read_text_csv(spark, folder, a.RAW_COLUMNS, with_position=True)
+    scanned = text_csv.read_text_csv(
+        spark, folder, a.RAW_COLUMNS, corrupt_column=True, with_position=True
+    )
     return cleaning.clean_rows(
-        scanned, text_csv.SOURCE_ORDER, text_csv.SOURCE_ROW, _rules()
+        scanned,
+        text_csv.SOURCE_ORDER,
+        text_csv.SOURCE_ROW,
+        _rules(malformed_line=text_csv.CORRUPT),
+    )
+
+
+@query
+def malformed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The feed as lines of text, some cut short and some with a field too many,
+    through the full job: outcome and reasons per row, malformed lines whole."""
+    folder = new_folder(spark, "malformed_lines")
+    fields = F.concat_ws(",", *[F.coalesce(F.col(c), F.lit("")) for c in a.RAW_COLUMNS])
+    raw = _raw(spark, sf_dir).filter(F.col("copy") == 0)
+    line = (
+        F.when(F.col("_mod_97").isin(50, 51), F.concat(fields, F.lit(",one more")))
+        .when(F.col("_mod_97") == 52, F.regexp_replace(fields, ",[^,]*,[^,]*$", ""))
+        .otherwise(fields)
+    )
+    raw.select(line.alias("value")).write.text(f"{folder}/in")
+    scanned = text_csv.read_text_csv(
+        spark, f"{folder}/in", a.RAW_COLUMNS, corrupt_column=True, with_position=True, header=False
+    )
+    done = run.full_run(
+        scanned,
+        text_csv.SOURCE_ORDER,
+        text_csv.SOURCE_ROW,
+        _rules(malformed_line=text_csv.CORRUPT),
+        f"{folder}/out",
+    )
+    return _reasons_as_text(
+        done.outcomes().select(a.KEY, "outcome", rules.REASONS, F.col("original.line").alias("line"))
     )
 
 
@@ -749,14 +824,28 @@ def full_run(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def run_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows in and out of the stages; the seconds stay in the stored table."""
     done = _run(spark, sf_dir, "run_metrics")
-    return spark.read.parquet(done.metrics_path)
+    stages = spark.read.parquet(done.metrics_path).filter(F.col("rows_in").isNotNull())
+    return stages.select("stage", "rows_in", "rows_out")
 
 
 @query
 def expectation_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """From the two files that a job is given: the raw feed and its answer key."""
+    folder = new_folder(spark, "expectation_report")
+    messy = _raw(spark, sf_dir)
+    text_csv.write_text_csv(messy.select(*a.RAW_COLUMNS), f"{folder}/raw")
+    write_answer_key(feed.planted_faults(messy), f"{folder}/key")
+    events = feed.read_events(spark, f"{sf_dir}/events.parquet")
+    copied = F.when((F.col(feed.EVENT) % 97).isin(40, 41), 2).otherwise(1)
     return expectations.expectation_report(
-        _raw(spark, sf_dir), feed.FEED_ORDER, feed.ROW_ID, _rules()
+        text_csv.read_text_csv(spark, f"{folder}/raw", a.RAW_COLUMNS, with_position=True),
+        text_csv.SOURCE_ORDER,
+        text_csv.SOURCE_ROW,
+        _rules(),
+        read_answer_key(spark, f"{folder}/key"),
+        events.agg(F.sum(copied).cast("bigint").alias("rows")),
     )
 
 
@@ -766,7 +855,11 @@ def arrivals_cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = new_folder(spark, "arrivals_cleaned")
     text_csv.write_text_csv(_raw(spark, sf_dir).select(*a.RAW_COLUMNS), f"{folder}/in")
     arrivals.clean_arrivals(
-        spark, f"{folder}/in", f"{folder}/out", f"{folder}/checkpoint", _rules()
+        spark,
+        f"{folder}/in",
+        f"{folder}/out",
+        f"{folder}/checkpoint",
+        _rules(malformed_line=text_csv.CORRUPT),
     ).awaitTermination()
     return _reasons_as_text(
         tables.read_outcomes(spark, f"{folder}/out").select(*a.CLEAN_COLUMNS, rules.REASONS)

@@ -10,15 +10,28 @@ from pyspark.sql import functions as F
 from siftworks import attendance as a
 from siftworks.operators import normalise as n
 from siftworks.operators.dedupe import NullKeys, keep_first
-from siftworks.operators.rules import Rule, passing, tag_failures
+from siftworks.operators.rules import Rule, passing
+from siftworks.sources.text_csv import CORRUPT
 
 ORIGINAL = "original"
 
 
 def keep_original(raw: DataFrame, columns: Sequence[str] = a.RAW_COLUMNS) -> DataFrame:
     """Carry the untouched text along, so that a quarantined row still shows
-    the value that could not be read."""
-    return raw.withColumn(ORIGINAL, F.struct(*columns))
+    the value that could not be read, and a malformed line is there whole."""
+    line = F.col(CORRUPT) if CORRUPT in raw.columns else F.lit(None).cast("string")
+    return raw.withColumn(ORIGINAL, F.struct(*columns, line.alias("line")))
+
+
+def without_malformed_values(raw: DataFrame) -> DataFrame:
+    """No value of a malformed line counts: its fields may stand in wrong columns.
+
+    That goes for the key too, so no good row is taken for its copy.
+    """
+    if CORRUPT not in raw.columns:
+        return raw
+    good = F.col(CORRUPT).isNull()
+    return raw.withColumns({c: F.when(good, F.col(c)) for c in a.RAW_COLUMNS})
 
 
 def blanks_to_null(raw: DataFrame) -> DataFrame:
@@ -50,7 +63,8 @@ def fixed_codes(df: DataFrame) -> DataFrame:
 def normalised(raw: DataFrame) -> DataFrame:
     """All row-wise steps; further columns pass through."""
     return (
-        raw.transform(blanks_to_null)
+        raw.transform(without_malformed_values)
+        .transform(blanks_to_null)
         .transform(standard_text)
         .transform(parsed_times)
         .transform(fixed_codes)
@@ -60,7 +74,9 @@ def normalised(raw: DataFrame) -> DataFrame:
 def deduplicated(
     df: DataFrame, order_by: Sequence[str], row_id: str | None, null_keys: NullKeys = "keep"
 ) -> DataFrame:
-    return keep_first(df, [a.KEY], order_by, row_id, null_keys)
+    """The first row of each attendance; malformed lines are copies of nothing."""
+    alone = F.col(CORRUPT).isNotNull() if CORRUPT in df.columns else None
+    return keep_first(df, [a.KEY], order_by, row_id, null_keys, alone)
 
 
 def checked_rows(raw: DataFrame, order_by: Sequence[str], row_id: str | None) -> DataFrame:
@@ -68,12 +84,6 @@ def checked_rows(raw: DataFrame, order_by: Sequence[str], row_id: str | None) ->
     return raw.transform(normalised).transform(deduplicated, order_by, row_id)
 
 
-def tagged_rows(
-    raw: DataFrame, order_by: Sequence[str], row_id: str | None, rules: Sequence[Rule]
-) -> DataFrame:
-    return checked_rows(raw, order_by, row_id).transform(tag_failures, rules)
-
-
 def clean_rows(
     raw: DataFrame, order_by: Sequence[str], row_id: str | None, rules: Sequence[Rule]
 ) -> DataFrame:

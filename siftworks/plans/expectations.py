@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -43,45 +44,55 @@ def _values(column: str) -> Column:
 
 
 def expectation_report(
-    feed: DataFrame, order_by: Sequence[str], row_id: str, rules: Sequence[Rule]
+    raw: DataFrame,
+    order_by: Sequence[str],
+    row_id: str,
+    rules: Sequence[Rule],
+    key: DataFrame,
+    expected_rows: DataFrame | None = None,
 ) -> DataFrame:
-    """Per check: the count that the planted faults call for, the count that
-    cleaning arrives at, and whether they agree.
+    """Per check: the count that the answer key calls for, the count that cleaning
+    arrives at, and whether they agree.
 
-    ``feed`` is a damaged feed with its ``planted`` faults and copies.  It is
-    read twice, for the counts before and after deduplication.
+    ``raw`` is the raw feed and ``key`` its answer key, as they are read from files;
+    ``expected_rows`` has the number of rows that the feed ought to have, where it is
+    known.  What one check expects may be made up of several counts, such as the rows
+    read less the duplicates in the key: they are added.
     """
-    planted = F.col("planted.error_type")
-    original = F.col("copy") == 0
-    rejected = F.arrays_overlap(planted, F.array(*[F.lit(r.name) for r in rules]))
-    none = F.lit(0)
-
-    def carries(error_type: str) -> Column:
-        return F.array_contains(planted, error_type)
-
-    expected = {
-        "rows read": F.count_if(original) + F.count_if(~original),
+    names = [r.name for r in rules]
+    error = F.col("error_type")
+    entries = lambda kind: F.count_if(error == kind)
+    n, none = F.count(F.lit(1)), F.lit(0)
+    deduplicated_rows = [
+        "rows after deduplication",
+        "distinct attendances after deduplication",
+        "clean rows",
+    ]
+    from_key = {
+        "arrivals missing after parsing": entries("missing_arrival_time"),
+        "departures missing after parsing": entries("missing_departure_time"),
+        "codes flagged missing": entries("missing_gp_code"),
+        "codes flagged malformed": entries("malformed_gp_code"),
+        **{check: -entries("duplicate_row") for check in deduplicated_rows},
+    }
+    from_rejects = {
+        "clean rows": -n,
+        "quarantined rows": n,
+        **{f"rows failing {r}": F.count_if(F.array_contains("kinds", r)) for r in names},
+    }
+    from_rows = {
         "padded complaints after trimming": none,
         "complaint values, missing included": F.lit(len(a.COMPLAINTS) + 1),
         "disposition values, missing included": F.lit(len(a.DISPOSITIONS) + 1),
         "complaints outside the list": none,
-        "arrivals missing after parsing": F.count_if(carries("missing_arrival_time")),
-        "departures missing after parsing": F.count_if(carries("missing_departure_time")),
         "triage codes ending in .0": none,
-        "codes flagged missing": F.count_if(carries("missing_gp_code")),
-        "codes flagged malformed": F.count_if(carries("malformed_gp_code")),
         "complaints missing after filling": none,
         "dispositions missing after filling": none,
-        "rows after deduplication": F.count_if(original),
-        "distinct attendances after deduplication": F.count_if(original),
-        "clean rows": F.count_if(original & ~rejected),
-        "quarantined rows": F.count_if(original & rejected),
-        **{f"rows failing {r.name}": F.count_if(original & carries(r.name)) for r in rules},
+        **{check: n for check in deduplicated_rows},
     }
     complaint = F.col("presenting_complaint")
     cased = F.col("_complaint")
     before_dedupe = {
-        "rows read": F.count(F.lit(1)),
         "padded complaints after trimming": F.count_if(is_padded(cased)),
         "complaint values, missing included": _values("_complaint"),
         "disposition values, missing included": _values("_disposition"),
@@ -95,29 +106,46 @@ def expectation_report(
         "dispositions missing after filling": F.count_if(F.col("disposition").isNull()),
     }
     after_dedupe = {
-        "rows after deduplication": F.count(F.lit(1)),
+        "rows after deduplication": n,
         "distinct attendances after deduplication": F.count_distinct(a.KEY),
         "clean rows": F.count_if(~any_violated(rules)),
         "quarantined rows": F.count_if(any_violated(rules)),
         **{f"rows failing {r.name}": F.count_if(r.violated()) for r in rules},
     }
+    if expected_rows is not None:
+        before_dedupe["rows read"] = n
     cleaned = (
-        feed.transform(blanks_to_null)
+        raw.transform(blanks_to_null)
         .transform(standard_text)
         .withColumns({"_complaint": complaint, "_disposition": F.col("disposition")})
         .transform(parsed_times)
         .transform(fixed_codes)
     )
     kept = deduplicated(cleaned, order_by, row_id)
-    from_feed = {
-        check: {"expected": m, **({"actual": before_dedupe[check]} if check in before_dedupe else {})}
-        for check, m in expected.items()
+    rejects = key.filter(error.isin(*names)).groupBy(a.KEY).agg(F.collect_set(error).alias("kinds"))
+
+    def side(name: str, measures: Mapping[str, Column]) -> dict[str, dict[str, Column]]:
+        return {check: {name: m} for check, m in measures.items()}
+
+    both = {
+        check: {
+            **({"expected": from_rows[check]} if check in from_rows else {}),
+            **({"actual": before_dedupe[check]} if check in before_dedupe else {}),
+        }
+        for check in {**from_rows, **before_dedupe}
     }
-    from_kept = {check: {"actual": m} for check, m in after_dedupe.items()}
+    lines = [
+        _lines(cleaned, both),
+        _lines(kept, side("actual", after_dedupe)),
+        _lines(key, side("expected", from_key)),
+        _lines(rejects, side("expected", from_rejects)),
+    ]
+    if expected_rows is not None:
+        only = expected_rows.columns[0]
+        lines.append(_lines(expected_rows, side("expected", {"rows read": F.max(only)})))
     return (
-        _lines(cleaned, from_feed)
-        .unionByName(_lines(kept, from_kept))
+        reduce(DataFrame.unionByName, lines)
         .groupBy("check")
-        .agg(F.max("expected").alias("expected"), F.max("actual").alias("actual"))
+        .agg(F.sum("expected").alias("expected"), F.sum("actual").alias("actual"))
         .withColumn("ok", F.col("expected").eqNullSafe(F.col("actual")))
     )

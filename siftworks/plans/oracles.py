@@ -724,6 +724,38 @@ def all_oracles() -> dict[str, str]:
         # Whole jobs
         "cleaning_chain": f"WITH {JUDGED} SELECT {CLEAN}, failure_reasons FROM judged",
         "cleaned_from_csv": f"WITH {JUDGED} SELECT * FROM clean",
+        "damaged_customer_names": """SELECT c_custkey,
+            CASE WHEN c_custkey % 11 = 2 THEN lower(c_name)
+              WHEN c_custkey % 13 IN (5, 6) THEN ' ' || c_name || '  ' ELSE c_name END AS c_name,
+            concat_ws(',', CASE WHEN c_custkey % 11 = 2 THEN 'lower_case' END,
+              CASE WHEN c_custkey % 13 IN (5, 6) THEN 'padded' END) AS planted FROM customer""",
+        "damaged_order_priorities": """SELECT o_orderkey,
+            CASE WHEN o_orderkey % 17 = 3 THEN o_orderpriority[1:1]
+              WHEN o_orderkey % 7 = 0 THEN NULL ELSE o_orderpriority END AS o_orderpriority,
+            concat_ws(',', CASE WHEN o_orderkey % 17 = 3 THEN 'number_only' END,
+              CASE WHEN o_orderkey % 7 = 0 THEN 'missing' END) AS planted FROM orders""",
+        "damaged_document_languages": """SELECT doc_id,
+            CASE WHEN doc_id % 5 = 1 THEN lang || '-XX' WHEN doc_id % 3 = 2 THEN upper(lang)
+              ELSE lang END AS lang,
+            concat_ws(',', CASE WHEN doc_id % 5 = 1 THEN 'region_added' END,
+              CASE WHEN doc_id % 3 = 2 THEN 'upper_case' END) AS planted FROM documents""",
+        "malformed_lines": f"""WITH {JUDGED}
+            SELECT CASE WHEN f.slot NOT IN (50, 51, 52) THEN j.attendance_id END AS attendance_id,
+              CASE WHEN f.slot NOT IN (50, 51, 52) AND failure_reasons = '' THEN 'clean'
+                ELSE 'quarantined' END AS outcome,
+              CASE WHEN f.slot IN (50, 51, 52) THEN 'malformed_line' ELSE failure_reasons END
+                AS failure_reasons,
+              CASE WHEN f.slot IN (50, 51) THEN f.line || ',one more'
+                WHEN f.slot = 52 THEN regexp_replace(f.line, ',[^,]*,[^,]*$', '') END AS line
+            FROM judged j JOIN (SELECT attendance_id, slot, concat_ws(',',
+                {', '.join(f"coalesce({c}, '')" for c in RAW.split(', '))}) AS line
+              FROM feed WHERE copy = 0) f ON j.attendance_id = f.attendance_id""",
+        "run_metrics": f"""WITH {JUDGED}, n AS ({STAGES})
+            SELECT 'read' AS stage, rows_read AS rows_in, rows_read AS rows_out FROM n
+            UNION ALL SELECT 'deduplicate', rows_read, rows_deduplicated FROM n
+            UNION ALL SELECT 'keep_clean', rows_deduplicated, rows_clean FROM n
+            UNION ALL SELECT 'quarantine', rows_deduplicated, rows_quarantined FROM n
+            UNION ALL SELECT 'load', rows_clean, rows_clean FROM n""",
         "arrivals_cleaned": f"WITH {JUDGED} SELECT {CLEAN}, failure_reasons FROM judged",
         "full_run": f"""WITH {_pairs()}
             SELECT * FROM ({_unpivot(STAGES)}) UNION ALL

@@ -10,16 +10,29 @@ import time
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siftworks import attendance as a
 from siftworks.operators import kpi, reconcile, report
 from siftworks.operators.dedupe import NullKeys, collapse_copies
 from siftworks.operators.rules import REASONS, Rule, is_clean, tag_failures
-from siftworks.plans.cleaning import ORIGINAL, keep_original, normalised
+from siftworks.plans.cleaning import ORIGINAL, deduplicated, keep_original, normalised
 from siftworks.sources import tables
-from siftworks.sources.text_csv import write_report_csv
+from siftworks.sources.text_csv import CORRUPT, write_report_csv
+
+TIMES = ("arrival_time", "departure_time")
+# The stored table, spelled out: it can be read when it has no rows, and no file is
+# opened to learn its columns.
+STORED = ", ".join(
+    [
+        *[f"{c} {'timestamp_ntz' if c in TIMES else 'string'}" for c in a.CLEAN_COLUMNS],
+        f"{CORRUPT} string",
+        f"{REASONS} array<string>",
+        f"{ORIGINAL} struct<{', '.join(f'{c}: string' for c in [*a.RAW_COLUMNS, 'line'])}>",
+        f"{tables.OUTCOME} string",
+    ]
+)
 
 
 @dataclass
@@ -39,55 +52,90 @@ class Run:
     def report_path(self) -> str:
         return f"{self.folder}/dq_report"
 
+    @property
+    def counts_path(self) -> str:
+        return f"{self.folder}/counts"
+
     @property
     def metrics_path(self) -> str:
         return f"{self.folder}/run_metrics"
 
     def outcomes(self) -> DataFrame:
-        return tables.read_outcomes(self.spark, self.attendances)
+        return tables.read_outcomes(self.spark, self.attendances, STORED)
 
     def clean(self) -> DataFrame:
-        return tables.read_clean(self.spark, self.attendances).select(*a.CLEAN_COLUMNS)
+        return tables.read_clean(self.spark, self.attendances, STORED).select(*a.CLEAN_COLUMNS)
 
     def quarantined(self) -> DataFrame:
-        return tables.read_quarantined(self.spark, self.attendances)
+        return tables.read_quarantined(self.spark, self.attendances, STORED)
+
+    def counts(self) -> DataFrame:
+        """One stored row: rows at every stage, and failures of every rule."""
+        return self.spark.read.parquet(self.counts_path)
 
     def stage_counts(self) -> DataFrame:
-        return stage_counts(self.outcomes())
+        return self.counts().select(*STAGE_COUNTS)
+
+    def dq_report(self, include_zero: bool = False) -> DataFrame:
+        return report.report_from_counts(self.counts(), self.rules, include_zero)
 
-    def dq_report(self) -> DataFrame:
-        return report.failure_report(self.outcomes(), self.rules)
 
+STAGE_COUNTS = [
+    "rows_read",
+    "rows_deduplicated",
+    "duplicates_removed",
+    "rows_clean",
+    "rows_quarantined",
+]
 
-def stage_counts(tagged: DataFrame) -> DataFrame:
-    """One row: rows read, kept and judged, from tagged rows with ``copies``."""
-    return tagged.agg(
-        F.coalesce(F.sum("copies"), F.lit(0)).alias("rows_read"),
-        F.count(F.lit(1)).alias("rows_deduplicated"),
-        F.coalesce(F.sum(F.col("copies") - 1), F.lit(0)).alias("duplicates_removed"),
+
+def _stage_counts(rows_read: Column) -> list[Column]:
+    """Aggregates over kept rows, given how many were read."""
+    kept = F.count(F.lit(1))
+    return [
+        rows_read.cast("bigint").alias("rows_read"),
+        kept.alias("rows_deduplicated"),
+        (rows_read - kept).cast("bigint").alias("duplicates_removed"),
         F.count_if(is_clean()).alias("rows_clean"),
         F.count_if(~is_clean()).alias("rows_quarantined"),
-    )
+    ]
 
 
-def tagged_and_collapsed(
+def stage_counts(
+    raw: DataFrame, order_by: Sequence[str], row_id: str, rules: Sequence[Rule]
+) -> DataFrame:
+    """One row: rows read, kept and judged, without storing them.
+
+    The rules look at one row at a time, so they judge before the shuffle: only the
+    key, the order and the reasons of a row travel.
+    """
+    narrow = dict.fromkeys([a.KEY, *order_by, row_id])
+    judged = normalised(raw).transform(tag_failures, rules).select(*narrow, REASONS)
+    kept = collapse_copies(judged, [a.KEY], order_by, row_id)
+    return kept.agg(*_stage_counts(F.coalesce(F.sum("copies"), F.lit(0))))
+
+
+def tagged_and_deduplicated(
     raw: DataFrame,
     order_by: Sequence[str],
     row_id: str,
     rules: Sequence[Rule],
     null_keys: NullKeys = "keep",
 ) -> DataFrame:
-    """Judged rows, one per attendance, with the number of their copies.
+    """Judged rows, one per attendance, as they are stored.
 
-    The rules look at one row at a time, so they judge before the shuffle: the
-    untouched text then travels with the failing rows only.
+    Judged before the shuffle: the untouched text then travels with the failing
+    rows only.
     """
+    if CORRUPT not in raw.columns:
+        raw = raw.withColumn(CORRUPT, F.lit(None).cast("string"))
     return (
         raw.transform(keep_original)
         .transform(normalised)
         .transform(tag_failures, rules)
         .withColumn(ORIGINAL, F.when(~is_clean(), F.col(ORIGINAL)))
-        .transform(collapse_copies, [a.KEY], order_by, row_id, null_keys=null_keys)
+        .transform(deduplicated, order_by, row_id, null_keys)
+        .select(*a.CLEAN_COLUMNS, CORRUPT, REASONS, ORIGINAL)
     )
 
 
@@ -99,29 +147,41 @@ def full_run(
     folder: str,
     truth: DataFrame | None = None,
     null_keys: NullKeys = "keep",
+    breach_minutes: int = a.BREACH_MINUTES,
+    include_zero: bool = False,
 ) -> Run:
     """Clean, judge and store the feed, write the report, note the stages.
 
     ``truth`` holds (attendance_id, reason) pairs to reconcile against.  Rows
-    without a key are all kept, or collapsed to one.
+    without a key are all kept, or collapsed to one.  A feed without rows gives an
+    empty table and counts of zero.
     """
     spark = raw.sparkSession
     run = Run(spark, folder, rules)
+    began = time.perf_counter()
 
     def timed(stage: str, work) -> None:
         start = time.perf_counter()
         work()
         run.seconds[stage] = time.perf_counter() - start
 
-    columns = [*a.RAW_COLUMNS, *dict.fromkeys([*order_by, row_id])]
-    timed(
-        "clean_and_store",
-        lambda: tables.write_outcomes(
-            tagged_and_collapsed(raw.select(*columns), order_by, row_id, rules, null_keys),
-            run.attendances,
-        ),
-    )
-    timed("report", lambda: write_report_csv(run.dq_report(), run.report_path))
+    corrupt = [CORRUPT] if CORRUPT in raw.columns else []
+    columns = [*a.RAW_COLUMNS, *corrupt, *dict.fromkeys([*order_by, row_id])]
+
+    def clean_and_store() -> None:
+        tagged = tagged_and_deduplicated(raw.select(*columns), order_by, row_id, rules, null_keys)
+        tables.write_outcomes(tagged, run.attendances)
+
+    def count() -> None:
+        """The rows of the feed, and all else in one aggregate over the stored rows.
+        A count that a retried stage repeats is still right, unlike an accumulator."""
+        run.outcomes().agg(
+            *_stage_counts(F.lit(raw.count())), *report.rule_counts(rules)
+        ).write.mode("overwrite").parquet(run.counts_path)
+
+    timed("clean_and_store", clean_and_store)
+    timed("count", count)
+    timed("report", lambda: write_report_csv(run.dq_report(include_zero), run.report_path))
     if truth is not None:
         timed(
             "reconcile",
@@ -129,8 +189,9 @@ def full_run(
             .write.mode("overwrite")
             .parquet(f"{folder}/reconciliation"),
         )
-    kpi.register_views(run.clean(), a.BREACH_MINUTES)
-    timed("metrics", lambda: run_metrics(run).write.mode("append").parquet(run.metrics_path))
+    kpi.register_views(run.clean(), breach_minutes)
+    run.seconds["total"] = time.perf_counter() - began
+    run_metrics(run).write.mode("append").parquet(run.metrics_path)
     return run
 
 
@@ -146,12 +207,14 @@ def found_reasons(tagged: DataFrame) -> DataFrame:
 def run_metrics(run: Run) -> DataFrame:
     """Per stage: rows in and out, seconds where it was timed, and the time of
     the run, as the runs of a folder append to one table."""
-    n = {c: F.col(c) for c in ("rows_read", "rows_deduplicated", "rows_clean", "rows_quarantined")}
+    n = {c: F.col(c) for c in STAGE_COUNTS}
+    kept = n["rows_deduplicated"]
     flows = [
         ("read", n["rows_read"], n["rows_read"], None),
-        ("deduplicate", n["rows_read"], n["rows_deduplicated"], None),
-        ("keep_clean", n["rows_deduplicated"], n["rows_clean"], None),
-        ("quarantine", n["rows_deduplicated"], n["rows_quarantined"], None),
+        ("deduplicate", n["rows_read"], kept, None),
+        ("keep_clean", kept, n["rows_clean"], None),
+        ("quarantine", kept, n["rows_quarantined"], None),
+        ("load", n["rows_clean"], n["rows_clean"], None),
         *[(s, None, None, sec) for s, sec in run.seconds.items()],
     ]
     lines = [

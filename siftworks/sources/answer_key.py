@@ -12,7 +12,9 @@ from siftworks.sources.text_csv import read_text_csv, write_text_csv
 
 
 def write_answer_key(key: DataFrame, path: str) -> None:
-    write_text_csv(key.select(*a.ANSWER_KEY_COLUMNS), path)
+    """In order of the raw rows, and of the faults of one row."""
+    ordered = key.orderBy("raw_row_number", "error_type")
+    write_text_csv(ordered.select(*a.ANSWER_KEY_COLUMNS), path)
 
 
 def read_answer_key(spark: SparkSession, path: str) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from siftworks.operators.rules import REASONS, is_clean
 
@@ -26,24 +27,35 @@ def write_outcomes(tagged: DataFrame, path: str) -> None:
     """Store clean and quarantined rows side by side in one pass.
 
     ``outcome`` is a partition column: a reader of one side opens only its
-    files, and nothing downstream tags or deduplicates the rows again.
+    files, and nothing downstream tags or deduplicates the rows again.  Rows are
+    rebalanced by it before they are written, so both sides get few, full files.
     """
     outcome = F.when(is_clean(), CLEAN).otherwise(QUARANTINED)
     (
         tagged.withColumn(OUTCOME, outcome)
+        .hint("rebalance", OUTCOME)
         .write.mode("overwrite")
         .partitionBy(OUTCOME)
         .parquet(path)
     )
 
 
-def read_outcomes(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+def read_outcomes(
+    spark: SparkSession, path: str, schema: StructType | str | None = None
+) -> DataFrame:
+    """The stored rows.  With the schema given, a table without rows reads as one,
+    and no job looks the columns up in the files."""
+    return (spark.read.schema(schema) if schema else spark.read).parquet(path)
 
 
-def read_clean(spark: SparkSession, path: str) -> DataFrame:
-    return read_outcomes(spark, path).filter(F.col(OUTCOME) == CLEAN).drop(OUTCOME, REASONS)
+def read_clean(
+    spark: SparkSession, path: str, schema: StructType | str | None = None
+) -> DataFrame:
+    rows = read_outcomes(spark, path, schema)
+    return rows.filter(F.col(OUTCOME) == CLEAN).drop(OUTCOME, REASONS)
 
 
-def read_quarantined(spark: SparkSession, path: str) -> DataFrame:
-    return read_outcomes(spark, path).filter(F.col(OUTCOME) == QUARANTINED).drop(OUTCOME)
+def read_quarantined(
+    spark: SparkSession, path: str, schema: StructType | str | None = None
+) -> DataFrame:
+    return read_outcomes(spark, path, schema).filter(F.col(OUTCOME) == QUARANTINED).drop(OUTCOME)

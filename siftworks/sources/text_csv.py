@@ -10,11 +10,13 @@ from pyspark.sql import types as T
 
 CORRUPT = "_corrupt_record"
 
-# Where a row came from; together they give the order of the rows of a file.
+# Where a row came from; together they give the order of the rows.  The number in a
+# file's name comes first, as text order would put 100000 before 99999.
+SOURCE_NUMBER = "source_number"
 SOURCE_FILE = "source_file"
 SOURCE_BLOCK = "source_block"
 SOURCE_ROW = "source_row"
-SOURCE_ORDER = [SOURCE_FILE, SOURCE_BLOCK, SOURCE_ROW]
+SOURCE_ORDER = [SOURCE_NUMBER, SOURCE_FILE, SOURCE_BLOCK, SOURCE_ROW]
 
 
 def text_schema(columns: Sequence[str]) -> T.StructType:
@@ -28,12 +30,14 @@ def read_text_csv(
     corrupt_column: bool = False,
     multi_line: bool = False,
     with_position: bool = False,
+    header: bool = True,
 ) -> DataFrame:
-    """Read CSV with a header; no type is guessed.
+    """Read CSV, with a header unless said otherwise; no type is guessed.
 
     The header must name the columns in this order, or reading fails.  With
     ``corrupt_column`` a line with too few or too many fields is kept whole in
-    ``_corrupt_record``.  Line breaks inside quotes need ``multi_line``, which
+    ``_corrupt_record``, whichever columns a query then selects: without it such
+    a line is cut or filled up.  Line breaks inside quotes need ``multi_line``, which
     makes every file one task, so it is off by default.  ``with_position``
     adds the file, block and row that a row came from, to order rows by;
     ``source_row`` is unique, and as it follows from the split of the files it
@@ -44,18 +48,23 @@ def read_text_csv(
         schema = schema.add(CORRUPT, T.StringType())
     df = (
         spark.read.schema(schema)
-        .option("header", True)
-        .option("enforceSchema", False)
+        .option("header", header)
+        .option("enforceSchema", not header)
         .option("escape", '"')
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", CORRUPT)
         .option("multiLine", multi_line)
+        # Only a line that is parsed whole is known to be malformed.
+        .option("columnPruning", not corrupt_column)
         .csv(path)
     )
     if not with_position:
         return df
     return df.select(
         "*",
+        F.expr(r"try_cast(regexp_extract(_metadata.file_name, '[0-9]+', 0) AS decimal(38, 0))").alias(
+            SOURCE_NUMBER
+        ),
         F.col("_metadata.file_path").alias(SOURCE_FILE),
         F.col("_metadata.file_block_start").alias(SOURCE_BLOCK),
         F.monotonically_increasing_id().alias(SOURCE_ROW),

@@ -17,7 +17,7 @@ from siftworks import attendance as a
 from siftworks.operators.rules import REASONS, Rule, is_clean, tag_failures
 from siftworks.plans.cleaning import normalised
 from siftworks.sources.tables import CLEAN, OUTCOME, QUARANTINED
-from siftworks.sources.text_csv import text_schema
+from siftworks.sources.text_csv import CORRUPT, text_schema
 
 READ_AT = "read_at"
 
@@ -26,13 +26,17 @@ def read_arrivals(spark: SparkSession, folder: str) -> DataFrame:
     """New files of a folder as rows of text, with the time of their batch.
 
     That time only moves forward, so no row is ever too late and left out, as
-    could happen with the time of a file that was copied in.
+    could happen with the time of a file that was copied in.  Malformed lines are
+    kept whole, as by the batch job.
     """
     return (
-        spark.readStream.schema(text_schema(a.RAW_COLUMNS))
+        spark.readStream.schema(text_schema(a.RAW_COLUMNS).add(CORRUPT, "string"))
         .option("header", True)
         .option("enforceSchema", False)
         .option("escape", '"')
+        .option("mode", "PERMISSIVE")
+        .option("columnNameOfCorruptRecord", CORRUPT)
+        .option("columnPruning", False)
         .csv(folder)
         .select("*", F.current_timestamp().alias(READ_AT))
     )
@@ -42,14 +46,16 @@ def first_arrivals(rows: DataFrame, horizon: str) -> DataFrame:
     """One row per key among the rows read within ``horizon``.
 
     Which of several rows with one key survives is settled by the engine, so
-    this is for exact copies.  Rows without a key are not compared.
+    this is for exact copies.  Rows without a key are not compared: each has a
+    value of its own, so the source is read once for both kinds.  A copy that lands
+    later than ``horizon`` stays; the batch job over the stored rows removes it.
     """
-    keyed = (
-        rows.filter(F.col(a.KEY).isNotNull())
+    return (
+        rows.withColumn("_own", F.when(F.col(a.KEY).isNull(), F.uuid()))
         .withWatermark(READ_AT, horizon)
-        .dropDuplicatesWithinWatermark([a.KEY])
+        .dropDuplicatesWithinWatermark([a.KEY, "_own"])
+        .drop("_own")
     )
-    return keyed.unionByName(rows.filter(F.col(a.KEY).isNull()))
 
 
 def judged_arrivals(rows: DataFrame, rules: Sequence[Rule], horizon: str) -> DataFrame:
@@ -58,6 +64,7 @@ def judged_arrivals(rows: DataFrame, rules: Sequence[Rule], horizon: str) -> Dat
         .transform(tag_failures, rules)
         .select(
             *a.CLEAN_COLUMNS,
+            CORRUPT,
             REASONS,
             F.when(is_clean(), CLEAN).otherwise(QUARANTINED).alias(OUTCOME),
         )

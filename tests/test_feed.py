@@ -53,3 +53,9 @@ def test_ids_are_not_cut_off_when_there_are_many_events(spark):
         "ATT12345670000",
     ]
     assert messy.filter("feed_order < 0").count() == 0
+
+
+def test_keys_that_are_text_are_hashed(spark):
+    df = spark.range(1000).select(F.concat(F.lit("k"), F.col("id")).alias("key"), F.lit("V").alias("x"))
+    picked = with_residues(df, "key", [10]).transform(inject, [Fault("f", ("x",), Pick(10, (3,)), "lower({value})")])
+    assert 60 < picked.filter("x = 'v'").count() < 140

@@ -149,8 +149,10 @@ def test_metrics_of_a_run(spark, run):
     assert stages["clean_and_store"]["seconds"] > 0
     assert set(stages) == {
         "read", "deduplicate", "keep_clean", "quarantine",
-        "clean_and_store", "report", "reconcile",
+        "load", "clean_and_store", "count", "report", "reconcile", "total",
     }
+    assert stages["load"]["rows_out"] == run.clean().count()
+    assert stages["total"]["seconds"] >= stages["clean_and_store"]["seconds"]
 
 
 def test_views_are_registered(spark, run):
@@ -159,7 +161,7 @@ def test_views_are_registered(spark, run):
 
 def test_result_does_not_depend_on_the_partitioning(spark, run, tmp_path):
     other = run_at(spark, tmp_path, partitions=13)
-    columns = [*a.CLEAN_COLUMNS, REASONS, "copies"]
+    columns = [*a.CLEAN_COLUMNS, REASONS]
     mine, its = run.outcomes().select(columns), other.outcomes().select(columns)
     assert mine.exceptAll(its).count() == its.exceptAll(mine).count() == 0
 
@@ -172,3 +174,70 @@ def test_rows_without_a_key_in_a_run(spark, tmp_path):
     one = full_run(source, ["n"], "n", rules, str(tmp_path / "one"), null_keys="collapse")
     assert tuple(kept.stage_counts().first()) == (5, 4, 1, 4, 0)
     assert tuple(one.stage_counts().first()) == (5, 2, 3, 2, 0)
+
+
+MALFORMED = [
+    "A2,P2,2025-01-05 10:00:00,2025-01-05 11:00:00,1,Fall,over, with a comma,E12345",
+    "A3,P3,2025-01-05 10:00:00",
+    "A1,P1,2025-01-05 10:00:00,2025-01-05 11:00:00,1,Fall,Discharged home,E12345,extra",
+]
+
+
+def malformed_feed(spark, tmp_path):
+    good = "A1,P1,2025-01-05 10:00:00,2025-01-05 11:00:00,1,Fall,Discharged home,E12345"
+    lines = [",".join(a.RAW_COLUMNS), MALFORMED[2], good, *MALFORMED[:2]]
+    folder = write(tmp_path / "in", "\n".join(lines) + "\n")
+    return text_csv.read_text_csv(spark, folder, a.RAW_COLUMNS, corrupt_column=True, with_position=True)
+
+
+@pytest.mark.parametrize("null_keys", ["keep", "collapse"])
+def test_no_malformed_line_becomes_a_clean_row(spark, tmp_path, null_keys):
+    rules = a.reject_rules(malformed_line=text_csv.CORRUPT)
+    scanned = malformed_feed(spark, tmp_path)
+    run = full_run(scanned, text_csv.SOURCE_ORDER, text_csv.SOURCE_ROW, rules, str(tmp_path / "out"), null_keys=null_keys)
+    # The malformed line with the id of a good row does not push it out.
+    assert [r[a.KEY] for r in run.clean().collect()] == ["A1"]
+    kept = run.quarantined().collect()
+    assert sorted(r["original"]["line"] for r in kept) == sorted(MALFORMED)
+    assert all(r[REASONS] == ["malformed_line"] and r[a.KEY] is None for r in kept)
+    assert [tuple(r)[:2] for r in run.dq_report().collect()] == [("malformed_line", 3)]
+
+
+def test_malformed_lines_are_found_whatever_is_selected(spark, tmp_path):
+    scanned = malformed_feed(spark, tmp_path)
+    found = scanned.select("disposition", text_csv.CORRUPT).filter(f"{text_csv.CORRUPT} IS NOT NULL")
+    assert sorted(r[1] for r in found.collect()) == sorted(MALFORMED)
+    assert scanned.filter(f"{text_csv.CORRUPT} IS NULL").select("disposition").collect()[0][0] == "Discharged home"
+
+
+@pytest.mark.parametrize("rows", [[], [attendance(triage_category="X")], [attendance()]])
+def test_feeds_without_rows_of_one_kind(spark, tmp_path, rows):
+    source = raw(spark, [{**r, "n": 1} for r in rows], "n int")
+    run = full_run(source, ["n"], "n", a.reject_rules(), str(tmp_path / "out"), include_zero=not rows)
+    bad = len([r for r in rows if r["triage_category"] == "X"])
+    assert tuple(run.stage_counts().first()) == (len(rows), len(rows), 0, len(rows) - bad, bad)
+    assert run.clean().count() == len(rows) - bad and run.quarantined().count() == bad
+    assert run.dq_report().count() == bad
+    rate = spark.table("v_four_hour_breach").first()["breach_rate_pct"]
+    assert (rate is None) == (len(rows) == bad)
+    run_metrics = spark.read.parquet(run.metrics_path)
+    assert run_metrics.filter("stage = 'load'").first()["rows_out"] == len(rows) - bad
+
+
+def test_files_count_by_their_numbers(spark, tmp_path):
+    folder = tmp_path / "in"
+    folder.mkdir()
+    for number in (100000, 99999):
+        (folder / f"part-{number}.csv").write_text(f"a,b\n{number},x\n")
+    df = text_csv.read_text_csv(spark, str(folder), ["a", "b"], with_position=True)
+    assert [r["a"] for r in df.orderBy(*text_csv.SOURCE_ORDER).collect()] == ["99999", "100000"]
+
+
+def test_the_answer_key_is_written_in_order(spark, tmp_path):
+    from siftworks.sources.answer_key import read_answer_key, write_answer_key
+
+    write_answer_key(feed.planted_faults(feed.read_feed(spark, SF)).repartition(5), str(tmp_path / "key"))
+    files = sorted(glob.glob(f"{tmp_path}/key/part-*.csv"))
+    rows = [r for f in files for r in read_answer_key(spark, f).collect()]
+    got = [(int(r["raw_row_number"]), r["error_type"]) for r in rows]
+    assert got == sorted(got) and len(got) > 100

@@ -15,7 +15,7 @@ def _clean(spark, folder):
         f"{folder}/in/*",
         f"{folder}/out",
         f"{folder}/checkpoint",
-        a.reject_rules(),
+        a.reject_rules(malformed_line=text_csv.CORRUPT),
     ).awaitTermination()
     found = tables.read_outcomes(spark, f"{folder}/out").collect()
     return sorted((r[a.KEY] or "", r["outcome"], tuple(r[REASONS])) for r in found)
@@ -46,3 +46,24 @@ def test_rows_without_a_key_are_all_kept(spark, tmp_path):
     folder = str(tmp_path)
     _land(spark, folder, "only", [attendance(attendance_id=m) for m in ("N/A", "-", "null")])
     assert _clean(spark, folder) == [("", "clean", ())] * 3
+
+
+def test_malformed_lines_are_quarantined_whole(spark, tmp_path):
+    folder = str(tmp_path)
+    (tmp_path / "in" / "one").mkdir(parents=True)
+    lines = [",".join(a.RAW_COLUMNS), "A1,too,short", "A2" + "," * 8 + "too long"]
+    (tmp_path / "in" / "one" / "part.csv").write_text("\n".join(lines) + "\n")
+    assert _clean(spark, folder) == [("", "quarantined", ("malformed_line",))] * 2
+    found = tables.read_outcomes(spark, f"{folder}/out").collect()
+    assert sorted(r[text_csv.CORRUPT] for r in found) == lines[1:]
+
+
+def test_the_source_is_read_once(spark, tmp_path):
+    folder = str(tmp_path)
+    rows = [attendance(attendance_id=k) for k in ("A1", "A1", "-", "A2")]
+    _land(spark, folder, "only", rows)
+    query = clean_arrivals(
+        spark, f"{folder}/in/*", f"{folder}/out", f"{folder}/checkpoint", a.reject_rules(malformed_line=text_csv.CORRUPT)
+    )
+    query.awaitTermination()
+    assert sum(p["numInputRows"] for p in query.recentProgress) == len(rows)
