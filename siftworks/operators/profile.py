@@ -80,25 +80,31 @@ def frequencies(df: DataFrame, column: str) -> DataFrame:
 
 
 def column_overview(df: DataFrame) -> DataFrame:
-    """Per column: its place, name, type, rows, NULLs and distinct values."""
+    """Per column: its place, name, type, rows, NULLs and distinct values.
+
+    Values are counted per column first, combined before the shuffle, and the columns
+    then: a row is not copied for each distinct count.  Values are compared as text.
+    """
     fields = df.schema.fields
-    measured = df.agg(
-        F.count(F.lit(1)).alias("rows"),
-        *[F.count_if(F.col(f.name).isNull()).alias(f"nulls_{f.name}") for f in fields],
-        *[_distinct(f.name).cast("bigint").alias(f"values_{f.name}") for f in fields],
+    names = df.sparkSession.createDataFrame(
+        [(i, f.name, f.dataType.simpleString()) for i, f in enumerate(fields, 1)],
+        "position int, column string, type string",
     )
-    lines = [
-        F.struct(
-            F.lit(i).alias("position"),
-            F.lit(f.name).alias("column"),
-            F.lit(f.dataType.simpleString()).alias("type"),
-            F.col("rows").alias("row_count"),
-            F.col(f"nulls_{f.name}").alias("nulls"),
-            F.col(f"values_{f.name}").alias("distinct_values"),
+    per_column = (
+        _values(df.select(*[F.col(f.name).cast("string") for f in fields]), df.columns)
+        .groupBy(F.col("column").alias("_column"), "value")
+        .agg(F.count(F.lit(1)).alias("n"))
+        .groupBy("_column")
+        .agg(
+            F.sum("n").alias("row_count"),
+            F.sum(F.when(F.col("value").isNull(), F.col("n")).otherwise(0)).alias("nulls"),
+            F.count(F.lit(1)).alias("distinct_values"),
         )
-        for i, f in enumerate(fields, 1)
-    ]
-    return measured.select(F.inline(F.array(*lines)))
+    )
+    counts = ["row_count", "nulls", "distinct_values"]
+    return names.join(per_column, F.col("column") == F.col("_column"), "left").select(
+        "position", "column", "type", *[F.coalesce(c, F.lit(0)).alias(c) for c in counts]
+    )
 
 
 def peek(df: DataFrame, order_by: Sequence[str], n: int = 5) -> DataFrame:

@@ -508,8 +508,12 @@ def dedupe_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def duplicate_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Numbered once and stored, as the numbers are read twice."""
+    folder = new_folder(spark, "duplicate_rows")
     numbered = feed.numbered_feed(_raw(spark, sf_dir).select(a.KEY, *feed.FEED_ORDER))
-    return dedupe.later_occurrences(numbered, a.KEY, "raw_row_number").select(
+    numbered.select("raw_row_number", a.KEY).write.parquet(folder)
+    stored = spark.read.schema(f"raw_row_number bigint, {a.KEY} string").parquet(folder)
+    return dedupe.later_occurrences(stored, a.KEY, "raw_row_number").select(
         "raw_row_number", a.KEY
     )
 
