@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from siftworks.llm.frames import BLANKS, ascii_lower, fresh
+from siftworks.llm.frames import BLANKS, ascii_lower, fresh, stored
 
 
 def line_key(line: Column) -> Column:
@@ -83,8 +83,11 @@ def drop_repeated_lines(
         .select("f1", "f2", F.explode("ks").alias("k"))
         .select("f1", "f2", "k.pos", "k.h1", "k.h2")
     )
+    # From a table, so that the join stands between two plain exchanges and the lines of
+    # a hot key can be split.
+    frequent = stored(frequent_lines(docs, text, min_docs, min_chars), "frequent-lines")
     dropped = (
-        hashed.join(frequent_lines(docs, text, min_docs, min_chars), ["h1", "h2"], "left_semi")
+        hashed.join(frequent, ["h1", "h2"], "left_semi")
         .groupBy(F.col("f1").alias(g1), F.col("f2").alias(g2))
         .agg(F.collect_set("pos").alias(gone))
     )
