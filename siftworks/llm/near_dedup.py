@@ -43,26 +43,41 @@ FEW = 16
 BLOCK_NODES = 256
 
 
-def shingles(buffer: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(row, hash, occurrences) of the distinct shingles, and the rows' fingerprints.
-
-    Sorted by row, then hash.  The fingerprint has 16 bytes of the word sequence.
-    """
-    rows = len(offsets) - 1
+def _numbered_words(buffer: np.ndarray, offsets: np.ndarray):
+    """(row, hash, place in its row) of each word, and the words of each row."""
     start, length, row = words.word_spans(buffer, offsets)
-    w = words.hash_spans(buffer, start, length)
-    n = np.bincount(row, minlength=rows)
+    n = np.bincount(row, minlength=len(offsets) - 1)
+    nth = np.arange(len(start)) - (np.cumsum(n) - n)[row]
+    return row, words.hash_spans(buffer, start, length), nth, n
+
+
+def fingerprints(buffer: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """16 bytes for the sequence of words of each row."""
+    return _fingerprints(*_numbered_words(buffer, offsets))
+
+
+def _fingerprints(row: np.ndarray, w: np.ndarray, nth: np.ndarray, n: np.ndarray) -> np.ndarray:
     first = np.cumsum(n) - n
-    nth = (np.arange(len(w)) - first[row]).astype(np.uint64)
-    prints = np.zeros((rows, 2), np.uint64)
+    prints = np.zeros((len(n), 2), np.uint64)
+    place = nth.astype(np.uint64)
     for k, salt in enumerate((0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)):
-        placed = words.mix64(w + words.mix64(nth * np.uint64(salt) + np.uint64(k + 1)))
+        placed = words.mix64(w + words.mix64(place * np.uint64(salt) + np.uint64(k + 1)))
         sums = np.concatenate(([np.uint64(0)], np.cumsum(placed, dtype=np.uint64)))
         prints[:, k] = words.mix64(sums[first + n] - sums[first] + n.astype(np.uint64))
+    return prints
+
+
+def shingles(buffer: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(row, hash, occurrences) of the distinct shingles, and the rows' fingerprints.
+
+    Sorted by row, then hash.
+    """
+    row, w, nth, n = _numbered_words(buffer, offsets)
+    prints = _fingerprints(row, w, nth, n)
     # A shingle begins at every word with four behind it, or at the first of a short text.
-    begins = np.flatnonzero((n[row] - nth.astype(np.int64) >= SHINGLE) | ((n[row] < SHINGLE) & (nth == 0)))
+    begins = np.flatnonzero((n[row] - nth >= SHINGLE) | ((n[row] < SHINGLE) & (nth == 0)))
     h = np.zeros(len(begins), np.uint64)
-    left = np.minimum(n[row[begins]] - nth[begins].astype(np.int64), SHINGLE)
+    left = np.minimum(n[row[begins]] - nth[begins], SHINGLE)
     for j in range(SHINGLE):
         on = left > j
         h[on] = words.mix64(h[on] * np.uint64(0x9E3779B97F4A7C15) + w[begins[on] + j])
@@ -139,7 +154,7 @@ def with_node(docs: DataFrame, text: str, node: str) -> DataFrame:
     def add(batches):
         for batch in batches:
             for a, b, buffer, offsets in _parts(batch.column(place)):
-                found = _prints(shingles(buffer, offsets)[3])
+                found = _prints(fingerprints(buffer, offsets))
                 columns = [c.slice(a, b - a) for c in batch.columns]
                 yield pa.RecordBatch.from_arrays([*columns, found], names=schema.names)
 
@@ -383,7 +398,9 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     rooted = sketched.select("doc_id", "node").join(stars, "node", "left").select(
         "doc_id", "node", F.coalesce("root", "node").alias("root")
     )
-    smallest = rooted.groupBy("root").agg(F.min("doc_id").alias("class_id"))
+    # Stored, so that the join stands between two plain exchanges and the rows of a
+    # large class can be split.
+    smallest = stored(rooted.groupBy("root").agg(F.min("doc_id").alias("class_id")), "near-classes")
     return rooted.join(smallest, "root").select("doc_id", "node", "class_id", "root")
 
 
