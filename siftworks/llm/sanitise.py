@@ -169,8 +169,8 @@ def scan(docs: DataFrame) -> DataFrame:
 def disclosing_terms(docs: DataFrame, found: DataFrame) -> DataFrame:
     """(entity, term, ratio) of the terms that reveal an entity.
 
-    All counts are combined before they are shuffled; only terms that passed the test
-    of contexts are counted in the corpus.
+    All counts are combined before they are shuffled, and joined with the terms that
+    passed the test of contexts as one row per word.
     """
     n = docs.count()
     seen = found.select(
@@ -187,19 +187,14 @@ def disclosing_terms(docs: DataFrame, found: DataFrame) -> DataFrame:
         .drop("contexts")
     )
     pairs = stored(pairs, "pii-pairs")
-    wanted = pairs.select(F.xxhash64("term").alias("h")).distinct()
     words = F.array_distinct(
         F.transform(
             F.regexp_extract_all(F.lower(F.coalesce("text", F.lit(""))), F.lit(TERM), F.lit(0)),
             lambda w: F.xxhash64(w),
         )
     )
-    df = (
-        docs.select(F.explode(words).alias("h"))
-        .join(wanted, "h", "left_semi")
-        .groupBy("h")
-        .agg(F.count(F.lit(1)).alias("df_t"))
-    )
+    # Counted before the join: a frequent word is one row per task.
+    df = docs.select(F.explode(words).alias("h")).groupBy("h").agg(F.count(F.lit(1)).alias("df_t"))
     information = F.log2(F.lit(float(max(n, 1))) / F.col("df_e"))
     pmi = F.log2(F.lit(float(max(n, 1))) * F.col("df_et") / (F.col("df_e") * F.col("df_t").cast("double")))
     return (
