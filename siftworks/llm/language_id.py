@@ -260,6 +260,9 @@ def sample(docs: DataFrame, per_language: int) -> DataFrame:
         .groupBy(F.col("lang").alias("_lang"))
         .agg(F.max("h").alias("_limit"), F.max("nth").alias("_n"))
     )
+    # A row per language: from a table, whose size Spark sees, so that texts beyond the
+    # limit are dropped where they are read and do not travel.
+    limits = stored(limits, "language-limits")
     near = rows.select("text", "lang", h.alias("h")).join(
         limits, (F.col("lang") == F.col("_lang")) & (F.col("h") <= F.col("_limit"))
     )
