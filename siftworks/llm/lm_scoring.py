@@ -34,13 +34,13 @@ from siftworks.llm.frames import remainder_of_id, stored
 HELD_OUT_OF = 10
 HEAD_WORDS = 1 << 20
 ENDINGS = 4096
-ALONE = 40
-CLUSTERS = 23
+ALONE = 16
+CLUSTERS = 15
 CLASSES = 1 + ALONE + CLUSTERS  # class 0 is the unknown token
 ROWS = 1 << 15
 NAMED = 8192  # the most frequent tokens are features themselves, others their endings
 FEATURES = 4
-BATCH = 8192
+BATCH = 16384
 RATE = 0.5
 ROUNDS = 1
 DISCOUNT = 0.5
@@ -254,7 +254,11 @@ def train_round(texts: DataFrame, shared, step: int) -> np.ndarray:
                     z[nth, y] -= 1 - u
                     z[:, 0] -= u
                     z *= -1.0
-                    flat = np.append(f.T.ravel(), np.full(len(y), ROWS, np.int32))
+                    bias = z.sum(axis=0)
+                    spread[ROWS] += (bias**2).mean()
+                    w[ROWS] += RATE * bias / np.sqrt(spread[ROWS])
+                    touched[ROWS] += len(y)
+                    flat = f.T.ravel()
                     order = np.argsort(flat, kind="stable")
                     starts = np.flatnonzero(np.diff(flat[order], prepend=-1))
                     rows = flat[order[starts]]
