@@ -183,20 +183,19 @@ def _bin(value: Column, cuts: list[float]) -> Column:
     return F.size(F.filter(F.array(*[F.lit(t) for t in cuts]), lambda t: t <= value))
 
 
+def _met_by_bins(rule: Rule, cuts: dict[str, list[float]]) -> Column:
+    """``_met`` for rows whose features are bins: the same conditions, as numbers."""
+    out = F.lit(True)
+    for c in rule:
+        nth = cuts[c.feature].index(c.threshold) + 1
+        met = F.col(c.feature) >= nth if c.at_least else F.col(c.feature) < nth
+        out = out & F.coalesce(met, F.lit(False))
+    return out
+
+
 def _best_condition(rows: DataFrame, names: list[str], cuts: dict[str, list[float]], had: Rule):
     """The condition of most gain, from counts per feature and bin."""
-    bins = F.array(
-        *[
-            F.struct(
-                F.lit(f).alias("f"),
-                F.when(
-                    F.col(f).isNotNull(),
-                    _bin(F.col(f), cuts[f]),
-                ).alias("bin"),
-            )
-            for f in names
-        ]
-    )
+    bins = F.array(*[F.struct(F.lit(f).alias("f"), F.col(f).alias("bin")) for f in names])
     counts = (
         rows.select("bad", F.explode(bins).alias("b"))
         .groupBy("b.f", "b.bin")
@@ -225,7 +224,7 @@ def _best_condition(rows: DataFrame, names: list[str], cuts: dict[str, list[floa
 def learn_rules(labelled: DataFrame, max_rules: int = MAX_RULES) -> list[Rule]:
     """Rules that reject, in order, from rows with ``bad``, ``aside`` and features.
 
-    ``labelled`` is read many times: pass a stored table.
+    Features are cut into bins once; every step then reads a narrow stored table.
     """
     names = [c for c in labelled.columns if c not in ("bad", "aside")]
     steps = [i / BINS for i in range(1, BINS)] + [0.99, 0.995, 0.999]
@@ -235,14 +234,16 @@ def learn_rules(labelled: DataFrame, max_rules: int = MAX_RULES) -> list[Rule]:
     ).first()
     cuts = {f: sorted({v for k in (True, False) for v in (found[f"{f}:{k}"] or []) if v is not None}) for f in names}
     names = [f for f in names if cuts[f]]
+    if not names:
+        return []
+    binned = [F.when(F.col(f).isNotNull(), _bin(F.col(f), cuts[f])).alias(f) for f in names]
+    rest = stored(labelled.select("bad", "aside", *binned), "quality-bins")
     rules: list[Rule] = []
-    rest = labelled
-    value = F.col
-    while names and len(rules) < max_rules:
+    while len(rules) < max_rules:
         rule: Rule = ()
         grown = rest.filter(~F.col("aside"))
         while len(rule) < MAX_CONDITIONS:
-            best = _best_condition(grown.filter(_met(rule, value)), names, cuts, rule)
+            best = _best_condition(grown.filter(_met_by_bins(rule, cuts)), names, cuts, rule)
             if best is None:
                 break
             rule = (*rule, best[1])
@@ -255,8 +256,8 @@ def learn_rules(labelled: DataFrame, max_rules: int = MAX_RULES) -> list[Rule]:
         said = (
             rest.filter("aside")
             .agg(
-                *[F.count_if(_met(r, value) & F.col("bad")).alias(f"p{k}") for k, r in enumerate(shorter)],
-                *[F.count_if(_met(r, value) & ~F.col("bad")).alias(f"n{k}") for k, r in enumerate(shorter)],
+                *[F.count_if(_met_by_bins(r, cuts) & F.col("bad")).alias(f"p{k}") for k, r in enumerate(shorter)],
+                *[F.count_if(_met_by_bins(r, cuts) & ~F.col("bad")).alias(f"n{k}") for k, r in enumerate(shorter)],
             )
             .first()
         )
@@ -269,7 +270,7 @@ def learn_rules(labelled: DataFrame, max_rules: int = MAX_RULES) -> list[Rule]:
         if (worth + 1) / 2 < MIN_PRECISION or right < MIN_COVERED:
             break
         rules.append(rule)
-        rest = rest.filter(~_met(rule, value))
+        rest = rest.filter(~_met_by_bins(rule, cuts))
     return rules
 
 
