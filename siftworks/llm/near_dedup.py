@@ -4,9 +4,10 @@ Shingles of five words, weighted by 1 + ln(occurrences), are elements of a Poiss
 process each: arrivals come at exponential gaps divided by the weight and fall on random
 components; a component keeps the element of its first arrival.  An element stops when
 its next arrival is later than all that its document still waits for.  Components agree
-with the probability Jaccard of two documents.  Documents that agree on a band are
-candidates, and links are pairs whose sets of shingles have a Jaccard similarity of at
-least 0.8, counted exactly.
+with the probability Jaccard of two documents.  Links are pairs whose sets of shingles
+have a Jaccard similarity of at least 0.8, counted exactly; repeats would keep some of
+them apart, so documents with repeated shingles also have the bands of equal weights.
+Documents that agree on a band of either kind are candidates.
 
 Texts with the same words (blanks and A-Z case aside) are one node.  Within a bucket all
 nodes are first compared with one hub, the node of most bucket mates.  In buckets that
@@ -35,7 +36,8 @@ from siftworks.llm.frames import fresh, stored
 
 SHINGLE = 5
 THRESHOLD = 0.8
-# A pair of similarity 0.8 misses all bands with probability (1 - 0.8^6)^40 = 5e-6.
+# A pair of similarity 0.8 misses all bands of equal weights with probability
+# (1 - 0.8^6)^40 = 5e-6.
 BANDS = 40
 ROWS = 6
 # Buckets of up to FEW nodes are compared pair by pair, others in blocks.
@@ -133,6 +135,23 @@ def band_hashes(signatures: np.ndarray, bands: int, per_band: int) -> np.ndarray
     return h.view(np.int64)
 
 
+def all_bands(row: np.ndarray, h: np.ndarray, tf: np.ndarray, rows: int) -> tuple[np.ndarray, np.ndarray]:
+    """Bands of equal weights, then those of weights by occurrences, and which of them
+    count: a row has none without shingles, and none twice."""
+    plain = band_hashes(prob_min_hash(row, h, np.ones(len(h)), rows, BANDS * ROWS), BANDS, ROWS)
+    weighted = plain.copy()
+    again = np.unique(row[tf > 1])
+    on = np.isin(row, again)
+    if len(again):
+        signatures = prob_min_hash(
+            np.searchsorted(again, row[on]), h[on], 1.0 + np.log(tf[on]), len(again), BANDS * ROWS
+        )
+        weighted[again] = band_hashes(signatures, BANDS, ROWS)
+    has = np.bincount(row, minlength=rows) > 0
+    keep = np.concatenate([np.repeat(has[:, None], BANDS, axis=1), weighted != plain], axis=1)
+    return np.concatenate([plain, weighted], axis=1), keep
+
+
 def _prints(prints: np.ndarray) -> pa.Array:
     raw = np.ascontiguousarray(prints).tobytes()
     ends = np.arange(0, len(raw) + 1, 16, dtype=np.int32)
@@ -170,11 +189,9 @@ def sketches(docs: DataFrame) -> DataFrame:
         for batch in batches:
             for a, b, buffer, offsets in _parts(batch.column(1)):
                 row, h, tf, prints = shingles(buffer, offsets)
-                signatures = prob_min_hash(row, h, 1.0 + np.log(tf), b - a, BANDS * ROWS)
-                hashes = band_hashes(signatures, BANDS, ROWS)
-                has = np.bincount(row, minlength=b - a) > 0
-                ends = np.concatenate(([0], np.cumsum(has * BANDS))).astype(np.int32)
-                bands = pa.ListArray.from_arrays(pa.array(ends), pa.array(hashes[has].ravel()))
+                hashes, keep = all_bands(row, h, tf, b - a)
+                ends = np.concatenate(([0], np.cumsum(keep.sum(axis=1)))).astype(np.int32)
+                bands = pa.ListArray.from_arrays(pa.array(ends), pa.array(hashes[keep]))
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(a, b - a), _prints(prints), bands], names=schema.names
                 )

@@ -105,6 +105,28 @@ def test_chains_hubs_and_awkward_documents(spark):
     assert got_classes(out) == brute_classes([(i, t) for i, t, *_ in texts])
 
 
+def test_repeated_shingles_keep_no_link_apart(spark):
+    """Pairs alike as sets, one of them with a menu that repeats 10 or 100 times."""
+    texts = []
+    for i in range(20):
+        for j, times in enumerate((10, 100)):
+            shared = [f"s{i}x{j}x{k}" for k in range(100)]
+            menu = [f"m{i}x{j}x{k}" for k in range(19)]
+            at = 4 * i + 2 * j
+            texts += [(at, " ".join(shared), "en", "a"), (at + 1, " ".join(shared + menu * times), "en", "a")]
+    got = got_classes(nd.near_dedup_digest(documents(spark, texts)))
+    assert got == brute_classes([(i, t) for i, t, *_ in texts])
+    assert got == collections.Counter((i, i - i % 2) for i, *_ in texts)
+
+
+def test_no_band_counts_twice():
+    row, h = np.array([1, 1, 2, 2]), np.array([5, 9, 5, 9], np.uint64)
+    hashes, keep = nd.all_bands(row, h, np.array([1, 1, 1, 50]), 3)
+    assert keep.sum(axis=1)[:2].tolist() == [0, nd.BANDS] and keep[2].sum() > nd.BANDS
+    assert len(np.unique(hashes[2][keep[2]])) == keep[2].sum()
+    assert set(hashes[1][keep[1]]) <= set(hashes[2][keep[2]])
+
+
 def test_one_document_of_each_class_stays(spark):
     docs = documents(spark)
     kept = nd.one_of_each(docs)
