@@ -34,13 +34,13 @@ from siftworks.llm.frames import remainder_of_id, stored
 HELD_OUT_OF = 10
 HEAD_WORDS = 1 << 20
 ENDINGS = 4096
-ALONE = 16
-CLUSTERS = 15
+ALONE = 40
+CLUSTERS = 23
 CLASSES = 1 + ALONE + CLUSTERS  # class 0 is the unknown token
 ROWS = 1 << 15
 NAMED = 8192  # the most frequent tokens are features themselves, others their endings
 FEATURES = 4
-BATCH = 16384
+BATCH = 8192
 RATE = 0.5
 ROUNDS = 1
 DISCOUNT = 0.5
@@ -137,7 +137,7 @@ class Model:
             p1,  # the token before
             words.mix64(p1 * _K + p2) | np.uint64(1 << 62),  # the two before
             p2 | np.uint64(1 << 61),  # one skipped
-            before(kind, 3) * np.uint64(64) + before(kind, 4) | np.uint64(1 << 60),  # two skipped
+            before(kind, 3) * np.uint64(CLASSES + 1) + before(kind, 4) | np.uint64(1 << 60),  # two skipped
         )
         return np.stack([(words.mix64(k + _K) % np.uint64(ROWS)).astype(np.int32) for k in keys], axis=1)
 

@@ -51,6 +51,13 @@ def test_nothing_to_train_on(spark):
     assert all(r["n_known"] == 0 and r["score"] == r["base_score"] for r in out)
 
 
+def test_held_out_score_a_token(spark):
+    """With 32 classes and half as many steps it was about -3.23."""
+    docs = given(spark, sf=SF.replace("0.001", "0.01"))
+    held = [r for r in lm_scoring.lm_digest(docs).collect() if r["held_out"]]
+    assert sum(r["score"] for r in held) / sum(r["n_tokens"] for r in held) > -3.215
+
+
 def test_probabilities_add_up_to_one(spark):
     """Over the vocabulary and the unknown token, after some context."""
     texts = given(spark).select("text")
