@@ -1,12 +1,13 @@
 """Personal data: base spans by pattern, and terms that give protected values away.
 
 Every e-mail address, IP address, card and phone number found is a protected entity.
-The corpus tells how much a term near it reveals: with document frequencies as
+The corpus tells how much a term of its documents reveals: with document frequencies as
 probabilities, PMI(term; entity) / IC(entity) is the share of the entity's information
 that the term discloses, 1 if it occurs nowhere else.  Terms from ``GENERALISE`` on are
 replaced by a general word where the entity occurs, from ``REMOVE`` on they go.  A pair
 counts only if it was seen in ``MIN_CONTEXTS`` different surroundings: copies of one
-passage say nothing about a term.
+passage say nothing about a term.  Terms are the distinct words of a whole text, apart
+from its e-mail addresses; only what counts as a surrounding is cut, at ``REACH``.
 
 Built-in expressions only.  Texts are scanned once; a table of the findings, with text
 only where something was found, carries the rest.
@@ -27,7 +28,7 @@ from siftworks.llm.frames import stored
 GENERALISE = 0.85
 REMOVE = 0.95
 MIN_CONTEXTS = 3
-# Code points to each side of an entity in which terms are looked for.
+# Code points to each side of an entity that make its surroundings.
 REACH = 60
 TERM = r"\p{L}{3,}"
 TERM_KIND = "term"
@@ -74,15 +75,15 @@ def _valid(kind: str, text: Column) -> Column:
 
 
 def _located(text: Column, pattern: Column, gate: Column) -> Column:
-    """(start, end, value, before, after) of each match; the gaps between matches give
-    the places, in code points."""
+    """(start, end, value) of each match; the gaps between matches give the places, in
+    code points."""
     matches = F.regexp_extract_all(text, pattern, F.lit(0))
     gaps = F.split(text, pattern, -1)
     cut = F.transform(
         matches,
-        lambda m, i: F.struct(m.alias("value"), F.get(gaps, i).alias("before"), F.get(gaps, i + 1).alias("after")),
+        lambda m, i: F.struct(m.alias("value"), F.get(gaps, i).alias("before")),
     )
-    kind = "array<struct<start:int,end:int,value:string,before:string,after:string>>"
+    kind = "array<struct<start:int,end:int,value:string>>"
     placed = F.aggregate(
         cut,
         F.struct(F.lit(0).alias("at"), F.array().cast(kind).alias("out")),
@@ -95,8 +96,6 @@ def _located(text: Column, pattern: Column, gate: Column) -> Column:
                         (acc["at"] + F.length(m["before"])).alias("start"),
                         (acc["at"] + F.length(m["before"]) + F.length(m["value"])).alias("end"),
                         m["value"].alias("value"),
-                        F.right(m["before"], F.lit(REACH)).alias("before"),
-                        F.left(m["after"], F.lit(REACH)).alias("after"),
                     )
                 ),
             ).alias("out"),
@@ -111,12 +110,20 @@ def _entity(kind: str, value: Column) -> Column:
     return F.concat(F.lit(f"{kind}:"), same)
 
 
-def _terms(before: Column, after: Column) -> Column:
-    """Whole words near a match; the cut ones at the far ends do not count."""
-    left = F.when(F.length(before) >= REACH, F.regexp_replace(before, r"\A[^\x20\x09-\x0D]*", "")).otherwise(before)
-    right = F.when(F.length(after) >= REACH, F.regexp_replace(after, r"[^\x20\x09-\x0D]*\z", "")).otherwise(after)
-    found = F.regexp_extract_all(F.lower(F.concat(left, F.lit(" "), right)), F.lit(TERM), F.lit(0))
-    return F.array_sort(F.array_distinct(found))
+def _words(text: Column) -> Column:
+    """The distinct words of a text, without those of its e-mail addresses."""
+    bare = F.when(F.contains(text, F.lit("@")), F.regexp_replace(text, PATTERNS["email"], " ")).otherwise(text)
+    return F.array_distinct(F.regexp_extract_all(F.lower(bare), F.lit(TERM), F.lit(0)))
+
+
+def _context(text: Column, start: Column, end: Column) -> Column:
+    """Hash of the whole words around a match, whatever else was matched among them; the
+    cut ones at the far ends do not count."""
+    left = F.substring(text, F.greatest(start - REACH, F.lit(0)) + 1, F.least(start, F.lit(REACH)))
+    right = F.substring(text, end + 1, F.lit(REACH))
+    left = F.when(start >= REACH, F.regexp_replace(left, r"\A[^\x20\x09-\x0D]*", "")).otherwise(left)
+    right = F.when(F.length(right) >= REACH, F.regexp_replace(right, r"[^\x20\x09-\x0D]*\z", "")).otherwise(right)
+    return F.xxhash64(F.array_sort(_words(F.concat(left, F.lit(" "), right))))
 
 
 def _checked(kind: str) -> Column:
@@ -137,14 +144,15 @@ def _mentions(kind: str) -> Column:
     return F.transform(
         f"is_{kind}",
         lambda m: F.struct(
-            _entity(kind, m["value"]).alias("entity"), _terms(m["before"], m["after"]).alias("terms")
+            _entity(kind, m["value"]).alias("entity"),
+            _context(F.col("text"), m["start"], m["end"]).alias("context"),
         ),
     )
 
 
 def scan(docs: DataFrame) -> DataFrame:
-    """(doc_id, base, mentions, text): spans of the patterns, entities with the terms
-    around them, and the text of the rows that have any."""
+    """(doc_id, base, mentions, text): spans of the patterns, entities with their
+    surroundings, and the text of the rows that have any."""
     content = F.coalesce(F.col("text"), F.lit(""))
     rows = docs.select("doc_id", content.alias("text"))
     for kind, pattern in PATTERNS.items():
@@ -160,7 +168,7 @@ def scan(docs: DataFrame) -> DataFrame:
             "doc_id",
             "text",
             F.array_sort(F.concat(*spans)).alias("base"),
-            F.concat(*mentions).alias("mentions"),
+            F.array_distinct(F.concat(*mentions)).alias("mentions"),
         )
         .select("doc_id", "base", "mentions", F.when(F.size("base") > 0, F.col("text")).alias("text"))
     )
@@ -169,39 +177,60 @@ def scan(docs: DataFrame) -> DataFrame:
 def disclosing_terms(docs: DataFrame, found: DataFrame) -> DataFrame:
     """(entity, term, ratio) of the terms that reveal an entity.
 
-    All counts are combined before they are shuffled, and joined with the terms that
-    passed the test of contexts as one row per word.
+    A ratio of ``GENERALISE`` bounds a term's document frequency by the entity's, as a pair
+    is in no more documents than its entity.  Only words that pass this for some entity of
+    their row, and entities of enough surroundings, are paired; pairs are counted where
+    they arise before they are shuffled.
     """
-    n = docs.count()
-    seen = found.select(
-        F.monotonically_increasing_id().alias("row"), F.explode("mentions").alias("m")
-    ).select("row", "m.entity", "m.terms", F.xxhash64("m.terms").alias("context"))
-    entities = seen.groupBy("entity").agg(
-        F.count_distinct("row").alias("df_e"), F.count_distinct("context").alias("contexts")
-    )
-    pairs = (
-        seen.select("row", "entity", "context", F.explode("terms").alias("term"))
-        .groupBy("entity", "term")
-        .agg(F.count_distinct("row").alias("df_et"), F.count_distinct("context").alias("contexts"))
+    n = max(docs.count(), 1)
+    rows = found.withColumns({"file": F.xxhash64("_metadata.file_name"), "place": F.col("_metadata.row_index")})
+    key = ["file", "place"]
+    seen = rows.select(*key, F.explode("mentions").alias("m")).select(*key, "m.entity", "m.context")
+    # More surroundings in one row than are asked for tell no more.
+    some = F.slice(F.array_sort(F.collect_set("context")), 1, MIN_CONTEXTS)
+    of_row = seen.groupBy("entity", *key).agg(some.alias("contexts"))
+    entities = (
+        seen.groupBy("entity")
+        .agg(F.count_distinct(*key).alias("df_e"), F.count_distinct("context").alias("contexts"))
         .filter(F.col("contexts") >= MIN_CONTEXTS)
         .drop("contexts")
     )
-    pairs = stored(pairs, "pii-pairs")
-    words = F.array_distinct(
-        F.transform(
-            F.regexp_extract_all(F.lower(F.coalesce("text", F.lit(""))), F.lit(TERM), F.lit(0)),
-            lambda w: F.xxhash64(w),
-        )
-    )
+    entities = stored(entities, "pii-entities")
+    at_most = F.pow(F.col("df_e"), F.lit(GENERALISE)) * F.lit(float(n) ** (1 - GENERALISE)) * (1 + 1e-9)
+    mentions = stored(of_row.join(entities, "entity").withColumn("at_most", at_most), "pii-mentions")
     # Counted before the join: a frequent word is one row per task.
-    df = docs.select(F.explode(words).alias("h")).groupBy("h").agg(F.count(F.lit(1)).alias("df_t"))
-    information = F.log2(F.lit(float(max(n, 1))) / F.col("df_e"))
-    pmi = F.log2(F.lit(float(max(n, 1))) * F.col("df_et") / (F.col("df_e") * F.col("df_t").cast("double")))
-    return (
-        pairs.join(entities, "entity")
+    hashes = F.transform(_words(F.coalesce("text", F.lit(""))), lambda w: F.xxhash64(w))
+    df = docs.select(F.explode(hashes).alias("h")).groupBy("h").agg(F.count(F.lit(1)).alias("df_t"))
+    most = mentions.agg(F.max("at_most")).first()[0] or 0.0
+    df = df.filter(F.col("df_t") <= most)
+    terms = (
+        rows.join(mentions.select(*key).distinct(), key, "left_semi")
+        .select(*key, F.explode(_words(F.col("text"))).alias("term"))
         .withColumn("h", F.xxhash64("term"))
         .join(df, "h")
-        .withColumn("ratio", F.when(information > 0, pmi / information))
+        .groupBy(*key)
+        .agg(F.collect_list(F.struct("term", "df_t")).alias("terms"))
+    )
+    pairs = (
+        mentions.join(terms, key)
+        .select("entity", "df_e", "contexts", F.explode(F.filter("terms", lambda t: t["df_t"] <= F.col("at_most"))).alias("t"))
+        # A row of the first context of each document counts it.
+        .select("entity", "df_e", "t.term", "t.df_t", F.posexplode("contexts").alias("nth", "context"))
+        .groupBy("entity", "term", "context")
+        .agg(F.count_if(F.col("nth") == 0).alias("k"), F.any_value("df_e").alias("df_e"), F.any_value("df_t").alias("df_t"))
+        .groupBy("entity", "term")
+        .agg(
+            F.sum("k").alias("df_et"),
+            F.count(F.lit(1)).alias("contexts"),
+            F.any_value("df_e").alias("df_e"),
+            F.any_value("df_t").alias("df_t"),
+        )
+        .filter(F.col("contexts") >= MIN_CONTEXTS)
+    )
+    information = F.log2(F.lit(float(n)) / F.col("df_e"))
+    pmi = F.log2(F.lit(float(n)) * F.col("df_et") / (F.col("df_e") * F.col("df_t").cast("double")))
+    return (
+        pairs.withColumn("ratio", F.when(information > 0, pmi / information))
         .filter(F.col("ratio") >= GENERALISE)
         .select("entity", "term", "ratio")
     )

@@ -234,5 +234,18 @@ def test_terms_that_give_an_address_away(spark):
     assert "Quimby" not in hidden[0] and "q@x.org" not in hidden[0] and "[EMAIL]" in hidden[0]
 
 
+def test_terms_far_from_a_value_or_behind_a_number(spark):
+    fill = "alpha beta gamma delta epsilon zeta theta iota kappa lambda".split()
+    far = "and then the day went on and on from desk to desk until the day was done"
+    rows = [(i, f"Quimby {fill[i % 10]} 42 {far} card 4111 1111 1111 1111 {fill[i * 3 % 10]} sent", "en", "a") for i in range(10)]
+    rows += [(50 + i, f"Zorblatt, 42 {fill[i % 10]} card 5500 0000 0000 0004 {fill[i * 3 % 10]} sent", "en", "a") for i in range(10)]
+    rows += [(100 + i, f"{fill[i % 10]} card sent {far} {fill[i * 7 % 10]}", "en", "a") for i in range(400)]
+    out = {r["doc_id"]: r["spans"] for r in sanitise.sanitise_digest(documents(spark, rows)).collect()}
+    for i in range(10):
+        assert "term:0:6" in out[i].split(",") and out[i].count("term") == 1
+        assert "term:0:8" in out[50 + i].split(",") and out[50 + i].count("term") == 1
+    assert all(out[100 + i] == "" for i in range(400))
+
+
 def test_nothing_to_sanitise(spark):
     assert sanitise.sanitise_digest(documents(spark, [])).count() == 0
