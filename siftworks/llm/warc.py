@@ -10,7 +10,8 @@ is the response, a null page_id comes last, and the first in archive order decid
 among equal ids; an empty table gives no archives; null urls have no target header;
 line breaks in urls are escaped; an archive holds at most ``ARCHIVE_BYTES`` of payload
 (or one larger record) and ``ARCHIVE_RECORDS`` records, so no task needs more.
-Files are written under another name and then renamed: a task that runs twice leaves
+Ids are any 64-bit integers: rows travel as Arrow columns, which hold them exactly
+beside nulls.  Files are written under another name and then renamed: a task that runs twice leaves
 one complete file.  The folder has to be one that all executors reach by its URI.
 """
 
@@ -23,7 +24,6 @@ import uuid
 import zlib
 from collections.abc import Iterator
 
-import pandas as pd
 import pyarrow as pa
 import pyarrow.fs
 from pyspark import TaskContext
@@ -144,6 +144,12 @@ def records(chunks: Iterator[bytes]) -> Iterator[tuple[dict[str, str], bytes]]:
         at += size + 4
 
 
+def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
+    """Rows of Python values as Arrow, column by column."""
+    columns = list(zip(*rows, strict=True)) if rows else [()] * len(schema)
+    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
+
+
 def write_archives(pages: DataFrame, folder: str) -> DataFrame:
     """Write archives of one gzip stream each; returns a row per record.
 
@@ -151,7 +157,9 @@ def write_archives(pages: DataFrame, folder: str) -> DataFrame:
     """
     rows = pages.select("page_id", "url", "html")
     schema = "archive string, nth int, page_id long, payload_bytes long, digest string"
-    names = [part.split()[0] for part in schema.split(", ")]
+    arrow = pa.schema(
+        {"archive": pa.string(), "nth": pa.int32(), "page_id": pa.int64(), "payload_bytes": pa.int64(), "digest": pa.string()}
+    )
 
     def write(batches):
         task = TaskContext.get().partitionId()
@@ -160,15 +168,15 @@ def write_archives(pages: DataFrame, folder: str) -> DataFrame:
         def finish():
             out.write(gz.flush())
             out.done()
-            return pd.DataFrame(listed, columns=names)
+            return _batch(listed, arrow)
 
         for batch in batches:
             for at in range(batch.num_rows):
                 page_id, url, html = (batch.column(c)[at].as_py() for c in range(3))
                 payload = (html or "").encode()
                 if out is not None and (size + len(payload) > ARCHIVE_BYTES or len(listed) >= ARCHIVE_RECORDS):
-                    done, out = finish(), None
-                    yield from as_batches(done)
+                    yield finish()
+                    out = None
                 if out is None:
                     name = f"part-{task:06d}-{number:04d}"
                     out, gz, size, listed = _Renamed(folder, f"{name}.warc.gz"), zlib.compressobj(LEVEL, wbits=31), 0, []
@@ -178,15 +186,7 @@ def write_archives(pages: DataFrame, folder: str) -> DataFrame:
                 size += len(payload)
                 listed.append((name, len(listed), page_id, len(payload), digest))
         if out is not None:
-            yield from as_batches(finish())
-
-    types = [pa.string(), pa.int32(), pa.int64(), pa.int64(), pa.string()]
-
-    def as_batches(frame):
-        columns = [
-            pa.array([None if pd.isna(x) else x for x in frame[n]], t) for n, t in zip(names, types, strict=True)
-        ]
-        yield pa.RecordBatch.from_arrays(columns, names=names)
+            yield finish()
 
     return stored(rows.mapInArrow(write, schema), "warc-records")
 
@@ -219,14 +219,12 @@ def normalise(marked: DataFrame, folder: str, target: str) -> DataFrame:
     A group is the records of one archive, whose number is bounded.
     """
     schema = "archive string, nth int, offset long, length long"
+    arrow = pa.schema({"archive": pa.string(), "nth": pa.int32(), "offset": pa.int64(), "length": pa.int64()})
 
-    def rewrite(group: pd.DataFrame) -> pd.DataFrame:
-        name = group["archive"].iloc[0]
-        revisits = {
-            int(n): (None if pd.isna(r) else int(r))
-            for n, v, r in zip(group["nth"], group["revisit"], group["refers_to"], strict=True)
-            if v
-        }
+    def rewrite(group: pa.Table) -> pa.Table:
+        name = group["archive"][0].as_py()
+        marks = zip(*(group[c].to_pylist() for c in ("nth", "revisit", "refers_to")), strict=True)
+        revisits = {nth: refers_to for nth, revisit, refers_to in marks if revisit}
         fs, root = _open(folder)
         out, index, offset = _Renamed(target, f"{name}.warc.gz"), [], 0
         with fs.open_input_stream(f"{root}/{name}.warc.gz", compression=None) as stream:
@@ -242,28 +240,38 @@ def normalise(marked: DataFrame, folder: str, target: str) -> DataFrame:
                 index.append((name, nth, offset, len(member)))
                 offset += len(member)
         out.done()
-        if len(index) != len(group):
-            raise ValueError(f"{name} holds {len(index)} records, {len(group)} were written")
+        if len(index) != group.num_rows:
+            raise ValueError(f"{name} holds {len(index)} records, {group.num_rows} were written")
         sidecar = _Renamed(target, f"{name}.index.jsonl")
         for _, nth, start, length in index:
             sidecar.write((json.dumps({"nth": nth, "offset": start, "length": length}) + "\n").encode())
         sidecar.done()
-        return pd.DataFrame(index, columns=["archive", "nth", "offset", "length"])
+        return pa.Table.from_batches([_batch(index, arrow)])
 
     slim = marked.select("archive", "nth", "revisit", "refers_to")
-    return stored(slim.groupBy("archive").applyInPandas(rewrite, schema), "warc-index")
+    return stored(slim.groupBy("archive").applyInArrow(rewrite, schema), "warc-index")
 
 
 def read_back(index: DataFrame, folder: str) -> DataFrame:
     """Every record of the normalised archives, each found by its offset."""
     schema = "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long"
 
-    def read(group: pd.DataFrame) -> pd.DataFrame:
+    arrow = pa.schema(
+        {
+            "page_id": pa.int64(),
+            "payload_bytes": pa.int64(),
+            "payload_digest": pa.string(),
+            "record_type": pa.string(),
+            "refers_to": pa.int64(),
+        }
+    )
+
+    def read(group: pa.Table) -> pa.Table:
         fs, root = _open(folder)
-        rows = []
-        with fs.open_input_file(f"{root}/{group['archive'].iloc[0]}.warc.gz") as file:
-            for offset, length in sorted(zip(group["offset"], group["length"], strict=True)):
-                raw = zlib.decompress(file.read_at(int(length), int(offset)), wbits=31)
+        name, rows = group["archive"][0].as_py(), []
+        with fs.open_input_file(f"{root}/{name}.warc.gz") as file:
+            for offset, length in sorted(zip(group["offset"].to_pylist(), group["length"].to_pylist(), strict=True)):
+                raw = zlib.decompress(file.read_at(length, offset), wbits=31)
                 head = raw.index(END)
                 headers = parse_headers(raw[:head])
                 block = raw[head + 4 : head + 4 + int(headers["Content-Length"])]
@@ -272,12 +280,11 @@ def read_back(index: DataFrame, folder: str) -> DataFrame:
                 size = int(parse_headers(block[:http])["Content-Length"])
                 kind = headers["WARC-Type"]
                 if kind == "response" and (payload_digest(payload) != digest or len(payload) != size):
-                    raise ValueError(f"a payload of {group['archive'].iloc[0]} is damaged")
+                    raise ValueError(f"a payload of {name} is damaged")
                 rows.append((_page(headers.get("WARC-Record-ID")), size, digest, kind, _page(headers.get("WARC-Refers-To"))))
-        out = pd.DataFrame(rows, columns=["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"])
-        return out.astype({"page_id": "Int64", "refers_to": "Int64"})
+        return pa.Table.from_batches([_batch(rows, arrow)])
 
-    return index.groupBy("archive").applyInPandas(read, schema)
+    return index.groupBy("archive").applyInArrow(read, schema)
 
 
 def archived(pages: DataFrame, folder: str, min_bytes: int = MIN_REVISIT_BYTES) -> DataFrame:

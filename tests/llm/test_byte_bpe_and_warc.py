@@ -136,3 +136,12 @@ def test_small_payloads_may_all_be_responses(spark, tmp_path):
     pages = spark.createDataFrame([(1, "u", "ab"), (2, "u", "ab"), (3, "u", "abcd"), (4, "u", "abcd")], "page_id long, url string, html string")
     got = {r["page_id"]: r["record_type"] for r in warc.archived(pages, str(tmp_path), min_bytes=3).collect()}
     assert got == {1: "response", 2: "response", 3: "response", 4: "revisit"}
+
+
+def test_ids_of_64_bits(spark, tmp_path):
+    # Revisits and responses side by side, with a missing id in the archive.
+    big = 2**60
+    rows = [(big + k, "u", "same" if k % 2 else f"own {k}") for k in range(1, 12)]
+    rows += [(None, "u", "own"), (-(2**63), "u", "least"), (2**63 - 1, "u", "same"), (None, "u", "same")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1)
+    assert rows_of(warc.archived(pages, str(tmp_path))) == expected_pages([(i, h) for i, _, h in rows])
