@@ -319,14 +319,22 @@ def judged(docs: DataFrame, rules: list[Rule]) -> tuple[DataFrame, dict[str, str
     return out, names, failed, ~failed & verdict(rules, names)
 
 
+def with_verdict(docs: DataFrame, rules: list[Rule]) -> tuple[DataFrame, str]:
+    """The documents with one boolean column more, and its name."""
+    out, _, _, kept = judged(docs, rules)
+    (passes,) = fresh(docs, "_passes")
+    return out.select(*docs.columns, kept.alias(passes)), passes
+
+
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The documents that pass, with their columns as they are."""
-    out, _, _, kept = judged(docs, fit(docs, labels))
-    (passes,) = fresh(out, "_passes")
-    # rand() >= 0 always holds; it keeps the filter from being pushed below the measures,
-    # where each mention of one would compute it again.
-    judged_rows = out.withColumn(passes, kept & (F.rand(0) >= F.lit(0.0)))
-    return judged_rows.filter(F.col(passes)).select(*docs.columns)
+    """The documents that pass, with their columns as they are.
+
+    Verdicts are written with the rows and the filter reads them there.  A filter in
+    the same plan would be pushed below the measures and compute each of them again
+    for every condition that mentions it.
+    """
+    judged_rows, passes = with_verdict(docs, fit(docs, labels))
+    return stored(judged_rows, "quality-verdicts").filter(F.col(passes)).select(*docs.columns)
 
 
 def quality_digest(docs: DataFrame, labels: DataFrame) -> DataFrame:

@@ -88,3 +88,18 @@ def test_documents_that_pass_are_unchanged(spark):
     kept = q.keep_good(docs, given(spark, "labels"))
     assert kept.columns == docs.columns
     assert {r["doc_id"] for r in kept.collect()} <= {9, 6, 8}
+
+
+def test_each_measure_is_computed_once_a_row(spark):
+    docs = given(spark)
+    names = q.features(dict.fromkeys(q.MEASURES, "x"))
+    rules = [tuple(q.Condition(f, at_least, 0.5 + k) for f in names) for k, at_least in enumerate([True, False, True])]
+    out, passes = q.with_verdict(docs, rules)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    alone = q.with_measures(docs)[0]._jdf.queryExecution().executedPlan().toString()
+    for name in ("regexp_extract_all", "xxhash64", "array_distinct"):
+        assert 0 < plan.count(name) <= alone.count(name)
+    # The filter that follows reads the stored verdict and no text.
+    kept = q.keep_good(docs, given(spark, "labels"))
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert "regexp" not in plan and f"PushedFilters: [IsNotNull({passes}), EqualTo({passes},true)]" in plan
