@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from siftworks.llm import (
     byte_bpe,
+    chat_format,
+    collocations,
     language_id,
     line_dedup,
     lm_scoring,
@@ -17,6 +19,7 @@ from siftworks.llm import (
     sanitise,
     topk_search,
     warc,
+    whitening,
 )
 from siftworks.llm.frames import table
 
@@ -63,6 +66,18 @@ def op10_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk_search.topk_digest(table(spark, sf_dir, "embeddings"))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitening_digest(table(spark, sf_dir, "embeddings"))
+
+
+def op12_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat_format.chat_digest(table(spark, sf_dir, "conversations"))
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocation_digest(table(spark, sf_dir, "documents"))
+
+
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_lm_scoring": op1_lm_scoring,
@@ -75,6 +90,9 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_near_dedup": op8_near_dedup,
         "op9_quality_rules": op9_quality_rules,
         "op10_topk_search": op10_topk_search,
+        "op11_whitening": op11_whitening,
+        "op12_chat_format": op12_chat_format,
+        "op13_collocations": op13_collocations,
     }
 
 
@@ -83,4 +101,5 @@ def all_oracles() -> dict[str, str]:
         "op3_line_dedup": line_dedup.ORACLE,
         "op6_mixing": mixing.ORACLE,
         "op10_topk_search": topk_search.ORACLE,
+        "op13_collocations": collocations.ORACLE,
     }

@@ -25,7 +25,7 @@ def stages(spark):
 
 def test_all_are_registered():
     names = entry.queries()
-    assert {f"op{n}_" for n in range(1, 11)} == {k[: k.index("_") + 1] for k in names if k.startswith("op")}
+    assert {f"op{n}_" for n in range(1, 14)} == {k[: k.index("_") + 1] for k in names if k.startswith("op")}
     assert names["pipeline"] is corpus_pipeline.run
     assert "pipeline" not in entry.oracle_sql()
 
