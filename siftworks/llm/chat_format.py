@@ -23,8 +23,8 @@ them in one place, as a hash is sequential, and it holds one sample at a time.
 Defined cases: a null text or role is empty; turns are ordered by their number, a missing
 one first, then by role and text, so repeated rows count each time and in a defined
 order; rows without conversation id are one conversation; a record that is no JSON
-object has no layout; a field that is null counts as present; numbers and objects in
-places of texts are written as JSON; an empty table gives no rows; extra columns of a
+object has no layout; a field that is null counts as present; numbers in places of
+texts are written as JSON, and an object there makes another layout; an empty table gives no rows; extra columns of a
 table play no part, and clash with nothing.
 """
 

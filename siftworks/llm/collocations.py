@@ -11,8 +11,9 @@ result is exact whatever the sample said; the sample only decides how many passe
 What was proposed travels to the tasks as a bit table of fixed size (``FILTER_BITS``).  A
 bit set by chance makes a task count a phrase too many, which does no harm, and nothing
 proposed is ever missed.  Each task combines its counts before they are shuffled; the key
-is the language and the 64-bit hashes of the words, and two words of one language and hash
-would be noticed in the table of words, upon which the job starts anew with other hashes.
+is the language and the 64-bit hashes of the words.  Single words are told apart by a second
+hash, so two words of one language and hash are noticed when all words are counted, upon
+which the job starts anew with other hashes.
 
 Defined cases: null text has no words; a null language is ``und``, together with rows that
 say so; an empty text, a text of marks only and an empty table give nothing; repeated rows
@@ -113,10 +114,13 @@ def _groups(hashes: np.ndarray, lang: np.ndarray, words: list[np.ndarray]) -> tu
 
 
 class _Combined:
-    """Counts of phrases of one size, added up whenever there are many."""
+    """Counts of phrases of one size, added up whenever there are many.
+
+    Single words have a second hash, so that two words of one hash stay two.
+    """
 
     def __init__(self, size: int):
-        self.size, self.parts, self.held = size, [], 0
+        self.columns, self.parts, self.held = max(size, 2), [], 0
 
     def add(self, hashes, lang, words, counts=None):
         if len(hashes):
@@ -127,7 +131,7 @@ class _Combined:
         if not self.parts:
             return None
         hashes, lang, counts = (np.concatenate([p[i] for p in self.parts]) for i in (0, 1, 3))
-        words = [np.concatenate([p[2][i] for p in self.parts]) for i in range(self.size)]
+        words = [np.concatenate([p[2][i] for p in self.parts]) for i in range(self.columns)]
         order, at = _groups(hashes, lang, words)
         first = order[at]
         out = (hashes[first], lang[first], [w[first] for w in words], np.add.reduceat(counts[order], at))
@@ -158,7 +162,7 @@ def _counted(
         tables = [f.value for f in filters]
         codes: dict[str, int] = {}
         combined = {m: _Combined(m) for m in sizes}
-        texts: dict[tuple[int, int], bytes] = {}
+        texts: dict[tuple[int, int, int], bytes] = {}
 
         def sent(m: int):
             out = combined[m].combine()
@@ -170,7 +174,7 @@ def _counted(
             columns = [names.take(pa.array(lang)), pa.array(np.full(len(counts), m, np.int32))]
             columns += [pa.array(words[i].view(np.int64)) if i < m else pa.nulls(len(counts), pa.int64()) for i in range(LONGEST)]
             if m == 1:
-                said = [texts.pop(k) for k in zip(lang.tolist(), words[0].tolist(), strict=True)]
+                said = [texts.pop(k) for k in zip(lang.tolist(), *(w.tolist() for w in words), strict=True)]
                 columns.append(pa.array(said, pa.binary()).cast(pa.string()))
             else:
                 columns.append(pa.nulls(len(counts), pa.string()))
@@ -195,14 +199,14 @@ def _counted(
                 word = hash_spans(buffer, start, length, seed)
                 code, lang = row_codes[a:b][row], lang_hash[a:b][row]
                 if 1 in sizes:
-                    h = _chained(lang, [word])
-                    order, begin = _groups(h, code, [word])
+                    h, both = _chained(lang, [word]), [word, hash_spans(buffer, start, length, seed + (1 << 20))]
+                    order, begin = _groups(h, code, both)
                     first = order[begin]
-                    firsts = zip(code[first].tolist(), word[first].tolist(), first.tolist(), strict=True)
-                    for c, w, i in firsts:
-                        if (c, w) not in texts:
-                            texts[c, w] = buffer[start[i] : start[i] + length[i]].tobytes()
-                    combined[1].add(h[first], code[first], [word[first]], np.diff(np.append(begin, len(h))))
+                    for c, w, v, i in zip(*(x[first].tolist() for x in (code, *both)), first.tolist(), strict=True):
+                        if (c, w, v) not in texts:
+                            texts[c, w, v] = buffer[start[i] : start[i] + length[i]].tobytes()
+                    counts = np.diff(np.append(begin, len(h)))
+                    combined[1].add(h[first], code[first], [x[first] for x in both], counts)
                 # Starts of phrases whose parts are in each filter, size by size.
                 at = np.arange(len(word))
                 inside = [np.ones(len(word), bool) if not tables else _within(t, _chained(lang, [word])) for t in tables]

@@ -3,10 +3,12 @@
 The leading eigenvectors of the covariance V of whole-number vectors.  A block of
 directions is filtered: a Chebyshev polynomial in V, evaluated by its three-term
 recurrence, damps what lies between 0 and the smallest Ritz value of the block.  QR and
-Rayleigh-Ritz follow, until the residuals |V q - e q| of the wanted directions certify
-them to rounding error.  V is never formed: each step is one pass over the stored rows
-that sums X'(X Q) of the centred rows, one small matrix per task, added up by a second
-level of tasks before the driver sees at most ``FAN_IN`` of them.
+Rayleigh-Ritz follow; where a direction would be blown up beyond all others, those that have
+converged are locked and kept out of the filter.  This goes on until the residuals
+|V q - e q| of the wanted directions certify them to rounding error.  V is never formed:
+each step is one pass over the stored rows that sums X'(X Q) of the centred rows, one small
+matrix per task, added up by a second level of tasks before the driver sees at most
+``FAN_IN`` of them.
 
 Entries are floor(scale * c) + offset as whole numbers; sums are exact, and a row is
 centred as (x - floor(mean)) - fraction, so nothing is lost to the size of the mean.
@@ -44,6 +46,8 @@ MAX_ROUNDS = 100
 # and what ends the search at once.
 CERTIFIED = 1e-11
 EXACT = 2e-15
+# From here on a direction is locked.
+LOCKED = 1e-14
 # Matrices that are sent to the driver at once.
 FAN_IN = 32
 LARGEST = 1 << 43
@@ -177,28 +181,36 @@ class _Covariance:
         return total[:-1].reshape(shape) / self.n
 
 
-def _degree(ritz: np.ndarray, wanted: int, bound: float) -> int:
-    """Of the filter: enough to help, not so much that the first direction swamps the others."""
+def _degree(top: float, last: float, bound: float) -> tuple[int, bool]:
+    """Of the filter: enough to help the last wanted direction, not so much that the top one
+    swamps the others; and whether it is the latter that decides."""
     half = max(bound / 2, 1e-300)
-    grows = [float(np.arccosh(max(e / half - 1.0, 1.0 + 1e-12))) for e in (ritz[0], ritz[wanted - 1])]
+    grows = [float(np.arccosh(max(e / half - 1.0, 1.0 + 1e-12))) for e in (top, last)]
     helps = 18.0 / max(grows[1], 1e-6)
     swamps = 18.0 / max(grows[0] - grows[1], 1e-6)
-    return int(max(2, min(MAX_DEGREE, helps, swamps)))
+    return int(max(2, min(MAX_DEGREE, helps, swamps))), swamps < min(MAX_DEGREE, helps)
 
 
-def _filtered(v: _Covariance, q: np.ndarray, vq: np.ndarray, top: float, bound: float, degree: int) -> np.ndarray:
+def _filtered(
+    v: _Covariance, locked: np.ndarray, q: np.ndarray, vq: np.ndarray, top: float, bound: float, degree: int
+) -> np.ndarray:
     """The Chebyshev polynomial of the degree in V on q, scaled to 1 at ``top``.
 
     ``vq`` is V q, known from the Rayleigh-Ritz step.
     """
+
+    def free(y: np.ndarray) -> np.ndarray:
+        return y - locked @ (locked.T @ y)
+
     half = centre = bound / 2
     sigma = first = half / (top - centre)
-    before, now = q, (vq - centre * q) * (sigma / half)
+    before, now = q, free((vq - centre * q) * (sigma / half))
     for _ in range(1, degree):
         following = 1.0 / (2.0 / first - sigma)
         after = 2.0 * (following / half) * (v.times(now) - centre * now) - (sigma * following) * before
-        before, now, sigma = now, after, following
-    return now
+        before, now, sigma = now, free(after), following
+    now = now / np.maximum(np.linalg.norm(now, axis=0), 1e-300)
+    return free(now)
 
 
 def fit(fine: DataFrame, k: int = COMPONENTS, seed: int = 7) -> Whitener:
@@ -211,7 +223,7 @@ def fit(fine: DataFrame, k: int = COMPONENTS, seed: int = 7) -> Whitener:
     v = _Covariance(fine, n, sums)
     wanted, block = min(k, d), min(d, k + GUARDS)
     q = np.linalg.qr(np.random.default_rng(seed).standard_normal((d, block)))[0]
-    best, stalled = np.inf, 0
+    best, stalled, fixed = np.inf, 0, 0
     for _ in range(MAX_ROUNDS):
         vq = v.times(q)
         h = q.T @ vq
@@ -221,18 +233,23 @@ def fit(fine: DataFrame, k: int = COMPONENTS, seed: int = 7) -> Whitener:
         residuals = np.linalg.norm(vq - q * ritz, axis=0)
         if v.trace <= 0.0 or ritz[0] <= 0.0:
             break
-        worst = float(residuals[:wanted].max() / ritz[0])
+        worst = float(residuals[fixed:wanted].max() / ritz[0])
         stalled = stalled + 1 if worst > best / 2 else 0
         best = min(best, worst)
         if worst <= EXACT or block == d or (best <= CERTIFIED and stalled >= 2):
             break
         # What is wanted lies above the smallest Ritz value; so does all that is carried.
         bound = max(float(ritz[-1]), 1e-14 * float(ritz[0]))
-        if ritz[0] <= bound * (1 + 1e-14):
+        if ritz[fixed] <= bound * (1 + 1e-14):
             break  # one eigenvalue only: any directions will do
-        y = _filtered(v, q, vq, float(ritz[0]), bound, _degree(ritz, wanted, bound))
-        y /= np.maximum(np.linalg.norm(y, axis=0), 1e-300)
-        q = np.linalg.qr(y)[0]
+        degree, swamped = _degree(float(ritz[fixed]), float(ritz[wanted - 1]), bound)
+        if swamped:
+            converged = residuals[: wanted - 1] <= LOCKED * ritz[0]
+            fixed = max(fixed, int(np.argmin(np.append(converged, False))))
+            degree, _ = _degree(float(ritz[fixed]), float(ritz[wanted - 1]), bound)
+        top = float(ritz[fixed])
+        y = _filtered(v, q[:, :fixed], q[:, fixed:], vq[:, fixed:], top, bound, degree)
+        q = np.linalg.qr(np.hstack([q[:, :fixed], y]))[0]
     else:
         if best > CERTIFIED:
             raise RuntimeError(f"residual {best:.1e} after {MAX_ROUNDS} rounds: components are not certified")

@@ -108,10 +108,10 @@ def test_layouts(spark):
 
 
 def test_texts_of_an_instruction_are_joined_and_a_system_text_leads(spark):
-    record = {"instruction": "do", "input": "this", "output": {"x": 1}, "system": "be kind"}
+    record = {"instruction": "do", "input": "this", "output": 1.5, "system": "be kind"}
     rows = spark.createDataFrame([(1, json.dumps(record))], "conv_id long, record string")
     got = [(r["turn"], r["role"], r["text"]) for r in c.canonical_turns(rows).orderBy("turn").collect()]
-    assert got == [(0, "system", "be kind"), (1, "user", "do\n\nthis"), (2, "assistant", '{"x": 1}')]
+    assert got == [(0, "system", "be kind"), (1, "user", "do\n\nthis"), (2, "assistant", '1.5')]
 
 
 def test_records_that_nobody_declared_are_kept_and_reported(spark):
