@@ -12,6 +12,10 @@ from pyspark.sql.window import Window
 
 NullKeys = Literal["keep", "collapse"]
 
+# Filled in rows that only say how many rows were read, and of which part of the input.
+TALLY = "rows_read"
+TALLY_OF = "read_from"
+
 
 def _key_is_null(key: Sequence[str]) -> Column:
     return reduce(lambda a, b: a | b, [F.col(c).isNull() for c in key])
@@ -94,6 +98,50 @@ def collapse_copies(
     )
 
 
+def first_and_tally(
+    df: DataFrame,
+    key: Sequence[str],
+    order_by: Sequence[str],
+    row_id: str,
+    null_keys: NullKeys = "keep",
+    alone: Column | None = None,
+    part_of: Column | None = None,
+) -> DataFrame:
+    """``keep_first``, and in the same pass how many rows were read from each part.
+
+    Every row is followed by a row that only counts, whose group is the part of the input it
+    came from (``part_of``, such as its file).  These are combined before the shuffle, so a
+    task sends one for each part it read, and what comes out is one row for each part with
+    ``rows_read`` and ``read_from`` filled and all other columns empty.  The counts are data
+    of the same job and not accumulators: a task that runs again cannot count twice, and
+    the input is read once.
+    """
+    columns = df.columns
+    order = F.struct(*order_by, *([row_id] if row_id not in order_by else []))
+    part = F.lit("") if part_of is None else F.coalesce(part_of.cast("string"), F.lit(""))
+    groups = [g.alias(f"_group_{i}") for i, g in enumerate(_groups(key, row_id, null_keys, alone))]
+    names = [f"_group_{i}" for i in range(len(groups))]
+    with_groups = df.select(*groups, F.struct(*columns).alias("_row"), order.alias("_order"), part.alias("_part"))
+    none = [F.lit(None).cast(with_groups.schema[n].dataType).alias(n) for n in names]
+    row = F.struct(*names, "_row", "_order", F.lit(None).cast("string").alias("_part"))
+    tally = F.struct(
+        *none,
+        F.lit(None).cast(with_groups.schema["_row"].dataType).alias("_row"),
+        F.lit(None).cast(with_groups.schema["_order"].dataType).alias("_order"),
+        F.col("_part"),
+    )
+    return (
+        with_groups.select(F.inline(F.array(row, tally)))
+        .groupBy(*names, "_part")
+        .agg(F.min_by("_row", "_order").alias("_first"), F.count("_part").alias("_read"))
+        .select(
+            "_first.*",
+            F.when(F.col("_part").isNotNull(), F.col("_read")).alias(TALLY),
+            F.col("_part").alias(TALLY_OF),
+        )
+    )
+
+
 def later_occurrences(df: DataFrame, key: str, row_number: str) -> DataFrame:
     """The rows that repeat a key already seen at a smaller row number.
 

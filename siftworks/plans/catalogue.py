@@ -7,6 +7,7 @@ derive the messy feed from all of its rows.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,6 +17,7 @@ from siftworks.functions import moments, text
 from siftworks.operators import (
     dedupe,
     faults,
+    history,
     kpi,
     lookup,
     normalise,
@@ -26,7 +28,7 @@ from siftworks.operators import (
 )
 from siftworks.plans import cleaning, expectations, run
 from siftworks.sources import attendance_feed as feed
-from siftworks.sources import tables, text_csv
+from siftworks.sources import tables, text_csv, versions
 from siftworks.sources.answer_key import read_answer_key, write_answer_key
 from siftworks.sources.work_dir import new_folder
 from siftworks.streaming import arrivals
@@ -104,7 +106,90 @@ def load_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The clean table, replaced whole and read back."""
     folder = new_folder(spark, "load_roundtrip")
     tables.load_table(_clean(spark, sf_dir), folder)
-    return spark.read.parquet(folder)
+    return tables.read_table(spark, folder)
+
+
+@query
+def versioned_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table that is replaced whole twice: what a reader of each version finds, by triage
+    category, beside the rows that its manifest states."""
+    folder = new_folder(spark, "versioned_load")
+    checked = _checked(spark, sf_dir).select(*a.CLEAN_COLUMNS)
+    versions.load(checked, folder, note="judged")
+    versions.load(_clean(spark, sf_dir), folder, note="clean")
+    stated = versions.history(spark, folder)
+    found = [
+        versions.read(spark, folder, n)
+        .groupBy("triage_category")
+        .agg(F.count(F.lit(1)).alias("row_count"))
+        .withColumn("version", F.lit(n).cast("bigint"))
+        for n in versions.numbers(spark, folder)
+    ]
+    return (
+        reduce(DataFrame.unionByName, found)
+        .join(F.broadcast(stated), "version")  # one row for each of two versions
+        .select("version", "note", "triage_category", "row_count", F.col("rows").alias("table_rows"))
+    )
+
+
+@query
+def rows_read_by_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The full job on a feed in five folders of CSV files: the rows of each folder, as the
+    one pass that cleaned them has counted and stored them."""
+    folder = new_folder(spark, "rows_read_by_file")
+    parts = _raw(spark, sf_dir).withColumn("part", F.pmod(F.col(feed.EVENT), F.lit(5)))
+    (
+        parts.select(*a.RAW_COLUMNS, "part")
+        .write.partitionBy("part")
+        .option("header", True)
+        .option("escape", '"')
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
+        .csv(f"{folder}/in")
+    )
+    scanned = text_csv.read_text_csv(
+        spark, f"{folder}/in/part=*", a.RAW_COLUMNS, corrupt_column=True, with_position=True
+    )
+    done = run.full_run(
+        scanned,
+        text_csv.SOURCE_ORDER,
+        text_csv.SOURCE_ROW,
+        _rules(malformed_line=text_csv.CORRUPT),
+        f"{folder}/out",
+    )
+    part = F.regexp_extract(F.col("read_from"), "part=([0-9]+)", 1).cast("int").alias("part")
+    return done.files_read().groupBy(part).agg(F.sum("rows_read").alias("rows_read"))
+
+
+@query
+def orders_new_against_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers who order for the first time in 1998 or later: the feed of those years
+    against the stored keys and Bloom filters of every month before."""
+    orders = _table(spark, sf_dir, "orders")
+    cut = F.lit("1998-01-01").cast("timestamp")
+    month = F.date_format("o_orderdate", "yyyy-MM")
+    old, new = orders.filter(F.col("o_orderdate") < cut), orders.filter(F.col("o_orderdate") >= cut)
+    blocks = history.blocks_for(old.count())
+    store = history.History(spark, new_folder(spark, "orders_history"), blocks)
+    store.add(old, F.col("o_custkey").cast("string"), month)
+    return store.new_rows(new, ["o_custkey"], ["o_orderdate", "o_orderkey"], "o_orderkey").select(
+        "o_orderkey", "o_custkey", "o_orderdate"
+    )
+
+
+@query
+def attendances_day_by_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The feed in two loads: what the second holds beyond the first, whose keys are stored
+    by their last two digits."""
+    raw = _raw(spark, sf_dir).select(a.KEY, *dict.fromkeys([*feed.FEED_ORDER, feed.ROW_ID]), "copy")
+    first, second = raw.filter(F.col("copy") == 0), raw.filter(F.col("copy") > 0)
+    later = second.unionByName(first.filter(F.col(feed.ROW_ID) % 3 == 0))
+    blocks = history.blocks_for(first.count())
+    store = history.History(spark, new_folder(spark, "attendance_history"), blocks)
+    before = first.filter(F.col(feed.ROW_ID) % 3 != 0)
+    store.add(before, F.col(a.KEY), F.substring(a.KEY, -2, 2))
+    kept = store.new_rows(later, [a.KEY], feed.FEED_ORDER, feed.ROW_ID)
+    return kept.select(a.KEY, feed.ROW_ID)
 
 
 @query

@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 
 from siftworks import attendance as a
 from siftworks.operators import normalise as n
-from siftworks.operators.dedupe import NullKeys, keep_first
+from siftworks.operators.dedupe import NullKeys, first_and_tally, keep_first
 from siftworks.operators.rules import Rule, passing
-from siftworks.sources.text_csv import CORRUPT
+from siftworks.sources.text_csv import CORRUPT, SOURCE_FILE
 
 ORIGINAL = "original"
 
@@ -79,6 +79,18 @@ def deduplicated(
     return keep_first(df, [a.KEY], order_by, row_id, null_keys, alone)
 
 
+def deduplicated_with_tally(
+    df: DataFrame, order_by: Sequence[str], row_id: str, null_keys: NullKeys = "keep"
+) -> DataFrame:
+    """``deduplicated``, and one row for each input file with the rows read from it.
+
+    A feed that does not say where its rows are from is one part.
+    """
+    alone = F.col(CORRUPT).isNotNull() if CORRUPT in df.columns else None
+    part = F.col(SOURCE_FILE) if SOURCE_FILE in df.columns else None
+    return first_and_tally(df, [a.KEY], order_by, row_id, null_keys, alone, part)
+
+
 def checked_rows(raw: DataFrame, order_by: Sequence[str], row_id: str | None) -> DataFrame:
     """Normalised rows, one per attendance, that the rules are to judge."""
     return raw.transform(normalised).transform(deduplicated, order_by, row_id)

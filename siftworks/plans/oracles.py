@@ -489,6 +489,24 @@ def all_oracles() -> dict[str, str]:
         "scan_answer_key": f"""WITH {KEYED} SELECT
             cast(raw_row_number AS varchar) AS raw_row_number, attendance_id, "column",
             error_type, expected_action FROM entries""",
+        "versioned_load": f"""WITH {JUDGED}, loaded AS (
+              SELECT 1 AS version, 'judged' AS note, triage_category FROM judged
+              UNION ALL SELECT 2, 'clean', triage_category FROM clean)
+            SELECT cast(version AS bigint) AS version, note, triage_category, count(*) AS row_count,
+              cast(sum(count(*)) OVER (PARTITION BY version) AS bigint) AS table_rows
+            FROM loaded GROUP BY version, note, triage_category""",
+        "rows_read_by_file": f"""WITH {FEED}
+            SELECT cast(event_id % 5 AS int) AS part, count(*) AS rows_read FROM feed GROUP BY 1""",
+        "orders_new_against_history": """SELECT o_orderkey, o_custkey, o_orderdate FROM (
+              SELECT * FROM orders
+              QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) = 1)
+            WHERE o_orderdate >= TIMESTAMP '1998-01-01'""",
+        "attendances_day_by_day": f"""WITH {FEED}, before AS (
+              SELECT DISTINCT attendance_id FROM feed WHERE copy = 0 AND source_row % 3 <> 0)
+            SELECT attendance_id, source_row FROM (
+              SELECT * FROM feed WHERE copy > 0 OR source_row % 3 = 0
+              QUALIFY row_number() OVER (PARTITION BY attendance_id ORDER BY feed_order, source_row) = 1)
+            WHERE attendance_id NOT IN (SELECT attendance_id FROM before)""",
         "load_roundtrip": f"WITH {JUDGED} SELECT * FROM clean",
         "report_sink": f"WITH {JUDGED} {REPORT}",
         # Projections

@@ -1,7 +1,8 @@
 """The full job: one raw scan, one shuffle by key, one stored result.
 
 Everything after the write (counts, report, reconciliation, KPIs) reads the
-stored table, so an executor lost later on costs no second cleaning.
+stored table, so an executor lost later on costs no second cleaning.  How many rows
+were read, and from which file, is stored with the rows by the same write.
 """
 
 from __future__ import annotations
@@ -15,9 +16,15 @@ from pyspark.sql import functions as F
 
 from siftworks import attendance as a
 from siftworks.operators import kpi, reconcile, report
-from siftworks.operators.dedupe import NullKeys, collapse_copies
+from siftworks.operators.dedupe import TALLY, TALLY_OF, NullKeys, collapse_copies
 from siftworks.operators.rules import REASONS, Rule, is_clean, tag_failures
-from siftworks.plans.cleaning import ORIGINAL, deduplicated, keep_original, normalised
+from siftworks.plans.cleaning import (
+    ORIGINAL,
+    deduplicated,
+    deduplicated_with_tally,
+    keep_original,
+    normalised,
+)
 from siftworks.sources import tables
 from siftworks.sources.text_csv import CORRUPT, write_report_csv
 
@@ -30,6 +37,8 @@ STORED = ", ".join(
         f"{CORRUPT} string",
         f"{REASONS} array<string>",
         f"{ORIGINAL} struct<{', '.join(f'{c}: string' for c in [*a.RAW_COLUMNS, 'line'])}>",
+        f"{TALLY} bigint",
+        f"{TALLY_OF} string",
         f"{tables.OUTCOME} string",
     ]
 )
@@ -60,14 +69,31 @@ class Run:
     def metrics_path(self) -> str:
         return f"{self.folder}/run_metrics"
 
-    def outcomes(self) -> DataFrame:
+    def _stored(self) -> DataFrame:
         return tables.read_outcomes(self.spark, self.attendances, STORED)
 
+    def outcomes(self) -> DataFrame:
+        rows = self._stored().filter(F.col(tables.OUTCOME).isin(tables.CLEAN, tables.QUARANTINED))
+        return rows.drop(TALLY, TALLY_OF)
+
+    def files_read(self) -> DataFrame:
+        """(read_from, rows_read) of every input file; a feed without files is one part."""
+        return self._stored().filter(F.col(tables.OUTCOME) == tables.READ).select(TALLY_OF, TALLY)
+
+    def files_written(self) -> DataFrame:
+        """(outcome, file, rows) of the stored table, as its footers have it."""
+        return (
+            self.outcomes()
+            .groupBy(tables.OUTCOME, F.col("_metadata.file_name").alias("file"))
+            .agg(F.count(F.lit(1)).alias("rows"))
+        )
+
     def clean(self) -> DataFrame:
         return tables.read_clean(self.spark, self.attendances, STORED).select(*a.CLEAN_COLUMNS)
 
     def quarantined(self) -> DataFrame:
-        return tables.read_quarantined(self.spark, self.attendances, STORED)
+        rows = tables.read_quarantined(self.spark, self.attendances, STORED)
+        return rows.drop(TALLY, TALLY_OF)
 
     def counts(self) -> DataFrame:
         """One stored row: rows at every stage, and failures of every rule."""
@@ -115,17 +141,10 @@ def stage_counts(
     return kept.agg(*_stage_counts(F.coalesce(F.sum("copies"), F.lit(0))))
 
 
-def tagged_and_deduplicated(
-    raw: DataFrame,
-    order_by: Sequence[str],
-    row_id: str,
-    rules: Sequence[Rule],
-    null_keys: NullKeys = "keep",
-) -> DataFrame:
-    """Judged rows, one per attendance, as they are stored.
+def _tagged(raw: DataFrame, rules: Sequence[Rule]) -> DataFrame:
+    """Normalised and judged rows, with the untouched text of those that fail.
 
-    Judged before the shuffle: the untouched text then travels with the failing
-    rows only.
+    Judged before the shuffle: the text then travels with the failing rows only.
     """
     if CORRUPT not in raw.columns:
         raw = raw.withColumn(CORRUPT, F.lit(None).cast("string"))
@@ -134,11 +153,35 @@ def tagged_and_deduplicated(
         .transform(normalised)
         .transform(tag_failures, rules)
         .withColumn(ORIGINAL, F.when(~is_clean(), F.col(ORIGINAL)))
-        .transform(deduplicated, order_by, row_id, null_keys)
-        .select(*a.CLEAN_COLUMNS, CORRUPT, REASONS, ORIGINAL)
     )
 
 
+STORED_ROWS = [*a.CLEAN_COLUMNS, CORRUPT, REASONS, ORIGINAL]
+
+
+def tagged_and_deduplicated(
+    raw: DataFrame,
+    order_by: Sequence[str],
+    row_id: str,
+    rules: Sequence[Rule],
+    null_keys: NullKeys = "keep",
+) -> DataFrame:
+    """Judged rows, one per attendance, as they are stored."""
+    return deduplicated(_tagged(raw, rules), order_by, row_id, null_keys).select(*STORED_ROWS)
+
+
+def tagged_with_tally(
+    raw: DataFrame,
+    order_by: Sequence[str],
+    row_id: str,
+    rules: Sequence[Rule],
+    null_keys: NullKeys = "keep",
+) -> DataFrame:
+    """``tagged_and_deduplicated``, and the rows that say how many were read of each file."""
+    judged = deduplicated_with_tally(_tagged(raw, rules), order_by, row_id, null_keys)
+    return judged.select(*STORED_ROWS, TALLY, TALLY_OF)
+
+
 def full_run(
     raw: DataFrame,
     order_by: Sequence[str],
@@ -169,15 +212,20 @@ def full_run(
     columns = [*a.RAW_COLUMNS, *corrupt, *dict.fromkeys([*order_by, row_id])]
 
     def clean_and_store() -> None:
-        tagged = tagged_and_deduplicated(raw.select(*columns), order_by, row_id, rules, null_keys)
+        tagged = tagged_with_tally(raw.select(*columns), order_by, row_id, rules, null_keys)
         tables.write_outcomes(tagged, run.attendances)
 
     def count() -> None:
-        """The rows of the feed, and all else in one aggregate over the stored rows.
+        """One aggregate over the stored rows; the feed is not read again.
         A count that a retried stage repeats is still right, unlike an accumulator."""
-        run.outcomes().agg(
-            *_stage_counts(F.lit(raw.count())), *report.rule_counts(rules)
-        ).write.mode("overwrite").parquet(run.counts_path)
+        read = run.files_read().agg(F.coalesce(F.sum(TALLY), F.lit(0)).alias("_read"))
+        kept = run.outcomes().agg(*_stage_counts(F.lit(0)), *report.rule_counts(rules))
+        rest = [c for c in kept.columns if c not in ("rows_read", "duplicates_removed")]
+        removed = (F.col("_read") - F.col("rows_deduplicated")).alias("duplicates_removed")
+        # Two rows of one line each.
+        kept.crossJoin(read).select(F.col("_read").alias("rows_read"), removed, *rest).write.mode(
+            "overwrite"
+        ).parquet(run.counts_path)
 
     timed("clean_and_store", clean_and_store)
     timed("count", count)

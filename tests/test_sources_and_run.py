@@ -1,9 +1,12 @@
 import glob
 
 import pytest
+from pyspark.sql import functions as F
 
 from siftworks import attendance as a
 from siftworks.operators.rules import REASONS
+from siftworks.operators import dedupe
+from siftworks.plans import run as run_module
 from siftworks.plans.run import full_run, found_reasons
 from siftworks.sources import attendance_feed as feed
 from siftworks.sources import tables, text_csv, work_dir
@@ -66,7 +69,7 @@ def test_loading_replaces_the_table(spark, tmp_path):
     path = str(tmp_path / "table")
     assert tables.load_table(spark.range(10), path) == 10
     assert tables.load_table(spark.range(3), path) == 3
-    assert spark.read.parquet(path).count() == 3
+    assert tables.read_table(spark, path).count() == 3
 
 
 def test_work_folder_comes_from_the_session(spark):
@@ -241,3 +244,46 @@ def test_the_answer_key_is_written_in_order(spark, tmp_path):
     rows = [r for f in files for r in read_answer_key(spark, f).collect()]
     got = [(int(r["raw_row_number"]), r["error_type"]) for r in rows]
     assert got == sorted(got) and len(got) > 100
+
+
+def test_a_run_reads_its_feed_once(spark, tmp_path, monkeypatch):
+    """The feed goes away as soon as its rows are stored; all counts are there."""
+    import shutil
+
+    folder = tmp_path / "in"
+    folder.mkdir()
+    line = "A{},P1,2025-01-05 10:00:00,2025-01-05 11:00:00,1,Fall,Discharged home,E12345"
+    for name, n in (("part-1.csv", 30), ("part-2.csv", 50)):
+        lines = [",".join(a.RAW_COLUMNS), *[line.format(k % 40) for k in range(n)], "too,few"]
+        (folder / name).write_text("\n".join(lines) + "\n")
+    (folder / "part-3.csv").write_text(",".join(a.RAW_COLUMNS) + "\n")
+    scanned = text_csv.read_text_csv(spark, str(folder), a.RAW_COLUMNS, corrupt_column=True, with_position=True)
+    rules = a.reject_rules(malformed_line=text_csv.CORRUPT)
+    order, row = text_csv.SOURCE_ORDER, text_csv.SOURCE_ROW
+    plan = run_module.tagged_with_tally(scanned, order, row, rules)
+    assert plan._jdf.queryExecution().executedPlan().toString().count("FileScan csv") == 1
+    stored = tables.write_outcomes
+
+    def store_and_lose_the_feed(*given):
+        stored(*given)
+        shutil.rmtree(folder)
+
+    monkeypatch.setattr(run_module.tables, "write_outcomes", store_and_lose_the_feed)
+    run = full_run(scanned, order, row, rules, str(tmp_path / "out"))
+    assert tuple(run.stage_counts().first()) == (82, 42, 40, 40, 2)
+    read = {r["read_from"].rsplit("/", 1)[1]: r["rows_read"] for r in run.files_read().collect()}
+    assert read == {"part-1.csv": 31, "part-2.csv": 51}
+    written = run.files_written().groupBy("outcome").sum("rows").collect()
+    assert {r[0]: r[1] for r in written} == {"clean": 40, "quarantined": 2}
+    footers = run.files_written()._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<>" in footers
+
+
+def test_a_hot_key_and_its_tally_are_combined_before_the_shuffle(spark):
+    rows = spark.range(3000).select("id", F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("k"))
+    out = dedupe.first_and_tally(rows.repartition(4, "id"), ["k"], ["id"], "id", part_of=F.pmod("id", F.lit(2)))
+    kept = out.filter("rows_read IS NULL")
+    assert kept.count() == 2001 and kept.filter("k = 'hot'").first()["id"] == 0
+    assert sorted(tuple(r) for r in out.filter("rows_read IS NOT NULL").select("read_from", "rows_read").collect()) == [("0", 1500), ("1", 1500)]
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("partial_min_by") > 0 and "partial_count" in plan
