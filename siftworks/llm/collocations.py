@@ -1,19 +1,19 @@
 """Phrase collocations by Toivonen mining.
 
-A sample of the documents proposes the phrases that are likely to be frequent.  One full
-pass then counts exactly both these and their negative border: all phrases whose first
-and last words but one (the two phrases that are one word shorter) were proposed.  Single
-words have an empty border below them, so all of them are counted.  A border phrase that
-turns out to be frequent is a failure of the sample: phrases that contain it may have been
-missed, so further full passes count what the failures opened, until none is left.  The
-result is exact whatever the sample said; the sample only decides how many passes it takes.
-
-What was proposed travels to the tasks as a bit table of fixed size (``FILTER_BITS``).  A
-bit set by chance makes a task count a phrase too many, which does no harm, and nothing
-proposed is ever missed.  Each task combines its counts before they are shuffled; the key
-is the language and the 64-bit hashes of the words.  Single words are told apart by a second
-hash, so two words of one language and hash are noticed when all words are counted, upon
-which the job starts anew with other hashes.
+A sample of the texts proposes the phrases that are likely to be frequent.  One full
+pass then counts both these and their negative border: all phrases that were not proposed,
+but whose first and last words but one (the two phrases that are one word shorter) were.
+All single words are counted, as nothing is shorter.  A border phrase that turns out to be
+frequent is a failure of the sample: phrases that contain it may have been missed.  Further
+full passes count the failures and what they open, until there is none.  The result is exact
+whatever the sample said; the sample only decides how many passes it takes.
+
+Proposed phrases are counted by language and text.  Border phrases, which are many and
+nearly all rare, are counted by a 64-bit hash: two that share one can only look too
+frequent, and then the next pass counts both by their text.  What was proposed travels to the
+tasks as a bit table of fixed size (``FILTER_BITS``); a bit set by chance makes a task count a
+phrase by its text that need not have been, and nothing proposed is ever missed.  Each task
+combines its counts before they are shuffled, in memory of a fixed bound.
 
 Defined cases: null text has no words; a null language is ``und``, together with rows that
 say so; an empty text, a text of marks only and an empty table give nothing; repeated rows
@@ -27,12 +27,12 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark import Broadcast
+from pyspark import Broadcast, TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from siftworks.llm.frames import stored
+from siftworks.llm.frames import arrow_rows, stored
 from siftworks.llm.words import hash_spans, mix64, padded, pieces, utf8
 
 LONGEST = 4
@@ -40,17 +40,22 @@ MIN_COUNT = 30
 SCALE = 2_000_000
 ABSORBED_PERCENT = 80
 TOP = 2000
-# The sample: one document of so many, and the count there that proposes a phrase.
+# The sample: one stretch of text of so many, and the count there that proposes a phrase.
+# Stretches and not documents, as a phrase may occur in one document or in copies only.
 SAMPLE = 4
+STRETCH = 1024
 PROPOSED = 3
 FILTER_BITS = 1 << 26
-_FILTER_PARTS = 64
-# Entries that a task holds before it combines them, and before it sends them on.
-HELD = 1 << 21
+_FILTER_PARTS = 16
+# Rows and bytes of text that are worked on at once, and entries of one kind that a task
+# holds before it combines them, and before it sends them on.
+ROWS = 2048
+PIECE = 1 << 20
+HELD = 1 << 17
 
-WORDS = [f"w{i}" for i in range(1, LONGEST + 1)]
-COUNTED = "lang string, size int, w1 long, w2 long, w3 long, w4 long, word string, part long"
-KEY = ["lang", "size", *WORDS]
+# A border phrase has no language, the number of words of a language has no phrase.
+COUNTED = "h long, lang string, phrase string, part long"
+_COUNTED = pa.schema({"h": pa.int64(), "lang": pa.string(), "phrase": pa.string(), "part": pa.int64()})
 
 _MARK = np.zeros(256, bool)
 _MARK[list(b".,;:!?\n\x0b\x0c\r")] = True
@@ -80,198 +85,227 @@ def _spans(buffer: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
     return start, length, row, next_
 
 
-def _chained(lang: np.ndarray, words: list[np.ndarray]) -> np.ndarray:
-    """One hash of a language and a sequence of words."""
-    h = lang
-    for w in words:
-        h = mix64(h * np.uint64(0x9E3779B97F4A7C15) ^ w)
-    return h
+def _longer(h: np.ndarray, word: np.ndarray) -> np.ndarray:
+    """The hash of a phrase and one more word."""
+    return mix64(h * np.uint64(0x9E3779B97F4A7C15) ^ word)
 
 
-def _bits(h: np.ndarray, n_bits: int) -> tuple[np.ndarray, np.ndarray]:
-    """The two places of a hash in the bit table."""
-    return (h % np.uint64(n_bits)).astype(np.int64), (mix64(h) % np.uint64(n_bits)).astype(np.int64)
+def _place(h: np.ndarray, n_bits: int) -> np.ndarray:
+    """The place of a hash in the bit table, whose size is a power of two."""
+    return (h & np.uint64(n_bits - 1)).astype(np.int64)
 
 
 def _within(table: np.ndarray, h: np.ndarray) -> np.ndarray:
-    found = np.ones(len(h), bool)
-    for at in _bits(h, len(table) * 8):
-        found &= (table[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
-    return found
+    at = _place(h, len(table) * 8)
+    return (table[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
 
 
-def _groups(hashes: np.ndarray, lang: np.ndarray, words: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """An order of the rows, and where a group of equal rows begins in it.
+def _sampled(buffer: np.ndarray, sample: int, rng: np.random.Generator) -> None:
+    """Leave one stretch of ``sample`` in the buffer and write marks over the others."""
+    size = len(buffer) - 8
+    for at in np.flatnonzero(rng.random(-(-size // STRETCH)) * sample >= 1).tolist():
+        buffer[at * STRETCH : min((at + 1) * STRETCH, size)] = ord(".")
 
-    Rows are equal if language and words are; equal hashes alone do not suffice.
+
+def _opened(word, lang, follows, table, before, tested) -> Iterator[tuple]:
+    """Per size: starts and hashes of the phrases that are opened (both shorter phrases are in
+    the table), whether they are in the table, and whether they were counted already.
+
+    Without a table all phrases are opened and none is in it; sizes that the table does not
+    tell about count as in it once they are opened.  ``before`` is the table of the pass before.
     """
-    order = np.argsort(hashes)
-    new = np.ones(len(order), bool)
-    for column in (hashes, lang, *words):
-        there = column[order]
-        new[1:] = (new[1:] & (column is not hashes)) | (there[1:] != there[:-1])
-    return order, np.flatnonzero(new)
+    size = len(word)
+    run, inside, inside_before = np.ones(size, bool), None, None
+    hashes = lang
+    for m in range(1, LONGEST + 1):
+        n = size - m + 1
+        if n <= 0:
+            return
+        if m > 1:
+            run = run[:n] & follows[m - 2 : m - 2 + n]
+        opened = run.copy()
+        opened_before = run.copy() if before is not None else np.zeros(n, bool)
+        if m > 1 and table is not None:
+            opened &= inside[:n] & inside[1 : n + 1]
+        if m > 1 and before is not None:
+            opened_before &= inside_before[:n] & inside_before[1 : n + 1]
+        at = np.flatnonzero(opened)
+        h = _longer(hashes[at], word[at + m - 1])
+        hashes = np.zeros(n, np.uint64)
+        hashes[at] = h
+        asked = table is not None and m in tested
+        here = _within(table, h) if asked else np.full(len(at), table is not None)
+        inside = np.zeros(n, bool)
+        inside[at] = here
+        was_open = opened_before[at]
+        was_in = was_open.copy()
+        if before is not None:
+            was_in[was_open] = _within(before, h[was_open])
+            inside_before = np.zeros(n, bool)
+            inside_before[at] = was_in
+        yield m, at, h, here, was_open, was_in
 
 
 class _Combined:
-    """Counts of phrases of one size, added up whenever there are many.
-
-    Single words have a second hash, so that two words of one hash stay two.
-    """
+    """Counts of equal rows, added up whenever there are many."""
 
-    def __init__(self, size: int):
-        self.columns, self.parts, self.held = max(size, 2), [], 0
+    def __init__(self):
+        self.parts, self.held = [], 0
 
-    def add(self, hashes, lang, words, counts=None):
-        if len(hashes):
-            self.parts.append((hashes, lang, words, np.ones(len(hashes), np.int64) if counts is None else counts))
-            self.held += len(hashes)
+    def add(self, columns: Sequence[np.ndarray], counts: np.ndarray | None = None) -> None:
+        if len(columns[0]):
+            self.parts.append((columns, np.ones(len(columns[0]), np.int64) if counts is None else counts))
+            self.held += len(columns[0])
 
-    def combine(self) -> tuple | None:
+    def combine(self) -> tuple[list[np.ndarray], np.ndarray] | None:
         if not self.parts:
             return None
-        hashes, lang, counts = (np.concatenate([p[i] for p in self.parts]) for i in (0, 1, 3))
-        words = [np.concatenate([p[2][i] for p in self.parts]) for i in range(self.columns)]
-        order, at = _groups(hashes, lang, words)
+        columns = [np.concatenate(c) for c in zip(*(p[0] for p in self.parts), strict=True)]
+        counts = np.concatenate([p[1] for p in self.parts])
+        order, at = _groups(columns)
         first = order[at]
-        out = (hashes[first], lang[first], [w[first] for w in words], np.add.reduceat(counts[order], at))
+        out = ([c[first] for c in columns], np.add.reduceat(counts[order], at))
         self.parts, self.held = [out], len(at)
         return out
 
 
+def _groups(columns: Sequence[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """An order of the rows by the first column, and where a group of rows that are equal in
+    all columns begins in it."""
+    order = np.argsort(columns[0])
+    new = np.zeros(len(order), bool)
+    new[:1] = True
+    for column in columns:
+        there = column[order]
+        new[1:] |= there[1:] != there[:-1]
+    return order, np.flatnonzero(new)
+
+
+def _language_hashes(names: list[str], seed: int) -> np.ndarray:
+    """A 64-bit hash of each language name."""
+    data, offsets = utf8(pa.array(names, pa.string()))
+    return hash_spans(padded(data, 0, len(data)), offsets[:-1], np.diff(offsets), seed)
+
+
 def _counted(
-    docs: DataFrame, seed: int, filters: Sequence[Broadcast], only_new: bool, sizes: Sequence[int]
+    docs: DataFrame,
+    sizes: Sequence[int],
+    table: Broadcast | None = None,
+    before: Broadcast | None = None,
+    tested: Sequence[int] = range(1, LONGEST + 1),
+    exact: bool = False,
+    sample: int = 1,
 ) -> DataFrame:
-    """Counts of phrases, combined by task: (lang, size, words, word, part).
+    """Counts of the opened phrases of some sizes, combined by task, in all of the texts or in
+    one stretch of ``sample``.
 
-    Without filters all phrases of the sizes are counted.  With them, a phrase of two and
-    more words counts if both phrases one word shorter are in the last filter and, with
-    ``only_new``, if no earlier filter holds both.
+    Phrases in the table are counted by their text if ``exact`` is set, and once: not if the
+    pass before has done so.  All others are counted by their hash, unless they were opened
+    in the pass before.  The first pass with ``exact`` counts the words of each language as well.
     """
-    schema = pa.schema(
-        {
-            "lang": pa.string(),
-            "size": pa.int32(),
-            **{w: pa.int64() for w in WORDS},
-            "word": pa.string(),
-            "part": pa.int64(),
-        }
-    )
 
     def count(batches: Iterator[pa.RecordBatch]):
-        tables = [f.value for f in filters]
+        now, old = (None if b is None else b.value for b in (table, before))
         codes: dict[str, int] = {}
-        combined = {m: _Combined(m) for m in sizes}
-        texts: dict[tuple[int, int, int], bytes] = {}
-
-        def sent(m: int):
-            out = combined[m].combine()
-            combined[m] = _Combined(m)
+        totals: dict[int, int] = {}
+        by_hash, by_text = _Combined(), _Combined()
+        texts: dict[tuple[int, int], bytes] = {}
+        rng = np.random.default_rng(TaskContext.get().partitionId())
+
+        def sent(kind: _Combined):
+            out = kind.combine()
+            kind.parts, kind.held = [], 0
             if out is None:
                 return
-            _, lang, words, counts = out
-            names = pa.array(list(codes), pa.string())
-            columns = [names.take(pa.array(lang)), pa.array(np.full(len(counts), m, np.int32))]
-            columns += [pa.array(words[i].view(np.int64)) if i < m else pa.nulls(len(counts), pa.int64()) for i in range(LONGEST)]
-            if m == 1:
-                said = [texts.pop(k) for k in zip(lang.tolist(), *(w.tolist() for w in words), strict=True)]
-                columns.append(pa.array(said, pa.binary()).cast(pa.string()))
+            columns, counts = out
+            if kind is by_text:
+                lang = pa.array(list(codes), pa.string()).take(pa.array(columns[2]))
+                said = [texts[k] for k in zip(columns[0].tolist(), columns[1].tolist(), strict=True)]
+                texts.clear()
+                phrase = pa.array(said, pa.binary()).cast(pa.string())
+                h = pa.array(np.zeros(len(counts), np.int64))
             else:
-                columns.append(pa.nulls(len(counts), pa.string()))
-            columns.append(pa.array(counts))
-            whole = pa.RecordBatch.from_arrays(columns, schema=schema)
+                lang = phrase = pa.nulls(len(counts), pa.string())
+                h = pa.array(columns[0].view(np.int64))
+            whole = pa.RecordBatch.from_arrays([h, lang, phrase, pa.array(counts)], schema=_COUNTED)
             for at in range(0, len(counts), 1 << 16):
                 yield whole.slice(at, 1 << 16)
 
-        for batch in batches:
-            names = ["und" if x is None else x for x in batch.column(1).to_pylist()]
-            for x in names:
-                codes.setdefault(x, len(codes))
-            row_codes = np.array([codes[x] for x in names], np.int64)
-            lang_hash = _language_hashes(names, seed)
-            data, offsets = utf8(batch.column(0))
-            for a, b in pieces(offsets):
-                base = int(offsets[a])
-                buffer = padded(data, base, int(offsets[b]), lower=True)
-                start, length, row, follows = _spans(buffer, offsets[a : b + 1] - base)
-                if not len(start):
-                    continue
-                word = hash_spans(buffer, start, length, seed)
-                code, lang = row_codes[a:b][row], lang_hash[a:b][row]
-                if 1 in sizes:
-                    h, both = _chained(lang, [word]), [word, hash_spans(buffer, start, length, seed + (1 << 20))]
-                    order, begin = _groups(h, code, both)
-                    first = order[begin]
-                    for c, w, v, i in zip(*(x[first].tolist() for x in (code, *both)), first.tolist(), strict=True):
-                        if (c, w, v) not in texts:
-                            texts[c, w, v] = buffer[start[i] : start[i] + length[i]].tobytes()
-                    counts = np.diff(np.append(begin, len(h)))
-                    combined[1].add(h[first], code[first], [x[first] for x in both], counts)
-                # Starts of phrases whose parts are in each filter, size by size.
-                at = np.arange(len(word))
-                inside = [np.ones(len(word), bool) if not tables else _within(t, _chained(lang, [word])) for t in tables]
-                for m in range(2, LONGEST + 1):
-                    n = len(word) - m + 1
-                    if n <= 0:
-                        break
-                    run = np.ones(n, bool)
-                    for i in range(m - 1):
-                        run &= follows[i : i + n]
-                    both = [x[:n] & x[1 : n + 1] & run for x in inside]
-                    wanted = run if not tables else both[-1].copy()
-                    if only_new:
-                        for earlier in both[:-1]:
-                            wanted &= ~earlier
-                    if m in sizes:
-                        at = np.flatnonzero(wanted)
-                        words = [word[at + i] for i in range(m)]
-                        combined[m].add(_chained(lang[at], words), code[at], words)
-                    if m < LONGEST:
-                        nexts = []
-                        for t, x in zip(tables, both, strict=True):
-                            here = np.zeros(n, bool)
-                            at = np.flatnonzero(x)
-                            here[at] = _within(t, _chained(lang[at], [word[at + i] for i in range(m)]))
-                            nexts.append(here)
-                        inside = nexts
-                for m in sizes:
-                    if combined[m].held > HELD:
-                        combined[m].combine()
-                        if combined[m].held > HELD // 2:
-                            yield from sent(m)
-        for m in sizes:
-            yield from sent(m)
-
-    return docs.select("text", "lang").mapInArrow(count, COUNTED)
-
-
-def _language_hashes(names: list[str], seed: int) -> np.ndarray:
-    """A 64-bit hash of each language name."""
-    data, offsets = utf8(pa.array(names, pa.string()))
-    start = offsets[:-1]
-    return hash_spans(padded(data, 0, len(data)), start, np.diff(offsets), seed + 1)
-
-
-def _added(parts: DataFrame) -> DataFrame:
-    """Exact counts; of words also the text, and whether two texts share a hash."""
-    return parts.groupBy(*KEY).agg(
-        F.sum("part").alias("n"), F.min("word").alias("word"), (F.min("word") != F.max("word")).alias("clash")
-    )
+        def texts_of(at, m, h, code, buffer, start, length, second):
+            again = code.astype(np.uint64)
+            for i in range(m):
+                again = _longer(again, second[at + i])
+            columns = [h, again, code]
+            order, begin = _groups(columns)
+            first = order[begin]
+            from_, to = start, start + length
+            for k, at_ in zip(zip(h[first].tolist(), again[first].tolist(), strict=True), at[first].tolist(), strict=True):
+                if k not in texts:
+                    texts[k] = b" ".join([buffer[from_[i] : to[i]].tobytes() for i in range(at_, at_ + m)])
+            by_text.add([c[first] for c in columns], np.diff(np.append(begin, len(h))))
 
-
-def _filter(phrases: DataFrame, seed: int, n_bits: int) -> Broadcast:
-    """The bit table of some phrases, built in parts of equal size by as many tasks."""
+        for batch in batches:
+            for at_row in range(0, batch.num_rows, ROWS):
+                part = batch.slice(at_row, ROWS)
+                names = ["und" if x is None else x for x in part.column(1).to_pylist()]
+                for x in names:
+                    codes.setdefault(x, len(codes))
+                row_codes = np.array([codes[x] for x in names], np.int64)
+                lang_hash = _language_hashes(names, 1)
+                data, offsets = utf8(part.column(0))
+                for a, b in pieces(offsets, PIECE):
+                    base = int(offsets[a])
+                    buffer = padded(data, base, int(offsets[b]), lower=True)
+                    if sample > 1:
+                        _sampled(buffer, sample, rng)
+                    start, length, row, follows = _spans(buffer, offsets[a : b + 1] - base)
+                    if not len(start):
+                        continue
+                    word = hash_spans(buffer, start, length, 2)
+                    code = row_codes[a:b][row]
+                    if exact and old is None:
+                        for c, n in enumerate(np.bincount(code).tolist()):
+                            totals[c] = totals.get(c, 0) + n
+                    second = None
+                    for m, at, h, here, was_open, was_in in _opened(word, lang_hash[a:b][row], follows, now, old, tested):
+                        if m not in sizes:
+                            continue
+                        if exact:
+                            told = here & ~was_in
+                            if told.any():
+                                if second is None:
+                                    second = hash_spans(buffer, start, length, 3)
+                                places = at[told]
+                                texts_of(places, m, h[told], code[places], buffer, start, length, second)
+                            h = h[~here & ~was_open]
+                        by_hash.add([h])
+                    for kind in (by_hash, by_text):
+                        if kind.held > HELD:
+                            kind.combine()
+                            if kind.held > HELD // 2:
+                                yield from sent(kind)
+        for kind in (by_hash, by_text):
+            yield from sent(kind)
+        known = list(codes)
+        rows = [(0, known[c], None, n) for c, n in totals.items() if n]
+        if rows:
+            columns = list(zip(*rows, strict=True))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, f.type) for c, f in zip(columns, _COUNTED, strict=True)], schema=_COUNTED
+            )
+
+    # The tasks have combined their counts: rows go straight to the shuffle.
+    parts = docs.select("text", "lang").mapInArrow(count, COUNTED).repartition("h", "phrase")
+    return parts.groupBy("h", "lang", "phrase").agg(F.sum("part").alias("n"))
+
+
+def _filter(hashes: DataFrame, n_bits: int) -> np.ndarray:
+    """The bit table of a column of hashes, built in parts of equal size by as many tasks."""
     part_bits = n_bits // _FILTER_PARTS
 
     def places(batches):
         for batch in batches:
-            lang = _language_hashes(batch.column(0).to_pylist(), seed)
-            size = batch.column(1).to_numpy()
-            words = [batch.column(2 + i).fill_null(0).to_numpy().view(np.uint64) for i in range(LONGEST)]
-            h = lang
-            for i, w in enumerate(words):
-                h = np.where(size > i, _chained(h, [w]), h)
-            at = np.unique(np.concatenate(_bits(h, n_bits)))
+            at = np.unique(_place(batch.column(0).to_numpy().view(np.uint64), n_bits))
             yield pa.RecordBatch.from_arrays([pa.array(at // part_bits), pa.array(at % part_bits)], names=["part", "at"])
 
     def table(batches):
@@ -279,16 +313,14 @@ def _filter(phrases: DataFrame, seed: int, n_bits: int) -> Broadcast:
         for batch in batches:
             part, at = batch.column(0).to_numpy(), batch.column(1).to_numpy()
             for p in np.unique(part).tolist():
-                here = bits.setdefault(p, np.zeros(part_bits, bool))
-                here[at[part == p]] = True
+                bits.setdefault(p, np.zeros(part_bits, bool))[at[part == p]] = True
         for p, here in bits.items():
             packed = np.packbits(here, bitorder="little").tobytes()
             yield pa.RecordBatch.from_arrays([pa.array([p], pa.int64()), pa.array([packed], pa.binary())], names=["part", "bits"])
 
     built = (
-        phrases.select(*KEY)
+        hashes.select("h")
         .mapInArrow(places, "part long, at long")
-        .dropDuplicates()
         .repartition(_FILTER_PARTS, "part")
         .mapInArrow(table, "part long, bits binary")
     )
@@ -297,41 +329,19 @@ def _filter(phrases: DataFrame, seed: int, n_bits: int) -> Broadcast:
     for r in built.collect():
         begin = r["part"] * part_bits // 8
         whole[begin : begin + part_bits // 8] |= np.frombuffer(r["bits"], np.uint8)
-    return phrases.sparkSession.sparkContext.broadcast(whole)
-
-
-class HashClash(Exception):
-    """Two words of a language have one hash."""
-
-
-def _closed_counts(docs: DataFrame, min_count: int, sample: int, proposed: int, seed: int, n_bits: int):
-    """Stored exact counts of all frequent phrases, and of words per language."""
-    in_sample = F.pmod(F.xxhash64("text", F.lit(seed)), F.lit(sample)) == 0
-    likely = _added(_counted(docs.filter(in_sample), seed, [], False, range(1, LONGEST + 1)))
-    likely = stored(likely.filter(F.col("n") >= proposed).select(*KEY), "phrases-proposed")
-    filters = [_filter(likely, seed, n_bits)]
-    counts = stored(_added(_counted(docs, seed, filters, False, range(1, LONGEST + 1))), "phrases-counted")
-    if counts.filter("clash").limit(1).count():
-        raise HashClash
-    totals = counts.filter(F.col("size") == 1).groupBy("lang").agg(F.sum("n").alias("total"))
-    frequent = [stored(counts.filter(F.col("n") >= min_count).drop("clash"), "phrases-frequent")]
-    same = [F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}")) for c in KEY]
-    border = frequent[0].alias("a").join(likely.alias("b"), same, "left_anti")
-    failures = border.filter(F.col("size") < LONGEST).groupBy().agg(F.min("size")).first()[0]
-    while failures is not None:
-        # A frequent border phrase of some size opens phrases that are longer.
-        known = frequent[0]
-        for more in frequent[1:]:
-            known = known.unionByName(more)
-        filters.append(_filter(known, seed, n_bits))
-        sizes = range(failures + 1, LONGEST + 1)
-        more = _added(_counted(docs, seed, filters, True, sizes)).filter(F.col("n") >= min_count).drop("clash")
-        frequent.append(stored(more, "phrases-more"))
-        failures = frequent[-1].filter(F.col("size") < LONGEST).groupBy().agg(F.min("size")).first()[0]
-    known = frequent[0]
-    for more in frequent[1:]:
-        known = known.unionByName(more)
-    return known, totals, len(frequent)
+    return whole
+
+
+def proposals(docs: DataFrame, sample: int, proposed: int, n_bits: int) -> np.ndarray:
+    """The bit table of what is frequent in the sample: words and pairs first, then longer
+    phrases of which all pairs are."""
+    likely = lambda parts, name: stored(parts.filter(F.col("n") >= proposed).select("h"), name)
+    short = _filter(likely(_counted(docs, (1, 2), sample=sample), "phrases-short"), n_bits)
+    table = docs.sparkSession.sparkContext.broadcast(short)
+    longer = _counted(docs, range(3, LONGEST + 1), table, tested=(1, 2), sample=sample)
+    whole = short | _filter(likely(longer, "phrases-longer"), n_bits)
+    table.unpersist()
+    return whole
 
 
 def frequent_phrases(
@@ -341,111 +351,94 @@ def frequent_phrases(
     proposed: int = PROPOSED,
     n_bits: int = FILTER_BITS,
 ) -> tuple[DataFrame, DataFrame, int]:
-    """(lang, size, words, n, word) of all phrases that occur often enough, the number of
-    words of each language, and how many full passes it took."""
-    for seed in range(1, 10):
-        try:
-            return _closed_counts(docs, min_count, sample, proposed, seed, n_bits)
-        except HashClash:
-            continue
-    raise RuntimeError("words share hashes under every seed")
-
-
-def _part(first: int, size: int) -> Column:
-    """The words of a part of a phrase as a key: (size, w1, ..)."""
-    words = [F.col(WORDS[first + i]) if i < size else F.lit(None).cast("long") for i in range(LONGEST)]
-    return F.struct(F.lit(size).alias("size"), *[w.alias(n) for w, n in zip(words, WORDS, strict=True)])
-
-
-def _by_key(df: DataFrame, key: str) -> DataFrame:
-    """A hash of the key columns, for joins whose keys hold nulls."""
-    return df.withColumn(key, F.concat_ws(":", "size", *WORDS))
+    """(lang, phrase, n) of all phrases that occur often enough, (lang, total) words of each
+    language, and how many full passes it took."""
+    spark = docs.sparkSession
+    with arrow_rows(spark, ROWS):
+        return _closed_counts(docs, min_count, sample, proposed, n_bits)
+
+
+def _closed_counts(docs: DataFrame, min_count: int, sample: int, proposed: int, n_bits: int):
+    context = docs.sparkSession.sparkContext
+    table, before = context.broadcast(proposals(docs, sample, proposed, n_bits)), None
+    known, totals, passes = None, None, 0
+    while True:
+        counts = _counted(docs, range(1, LONGEST + 1), table, before, exact=True)
+        counts = stored(counts.filter((F.col("n") >= min_count) | F.col("phrase").isNull() & F.col("lang").isNotNull()), "phrases-counted")
+        passes += 1
+        found = counts.filter(F.col("phrase").isNotNull()).select("lang", "phrase", "n")
+        known = found if known is None else known.unionByName(found)
+        if totals is None:
+            totals = counts.filter(F.col("lang").isNotNull() & F.col("phrase").isNull()).select("lang", F.col("n").alias("total"))
+        failures = counts.filter(F.col("lang").isNull())
+        opened = _filter(failures, n_bits)
+        if not opened.any():
+            return known, totals, passes
+        before, table = table, context.broadcast(table.value | opened)
 
 
 def scored(known: DataFrame, absorbed_percent: int = ABSORBED_PERCENT) -> DataFrame:
     """Frequent phrases with l, r and score, without those that longer ones absorb."""
-    phrases = _by_key(known, "key")
-    several = phrases.filter(F.col("size") >= 2)
-
-    def parts(cuts: bool) -> Column:
-        """Parts of each phrase: of its cuts, or all shorter ones of two and more words."""
-        found = F.lit(None)
-        for m in range(2, LONGEST + 1):
-            if cuts:
-                here = [
-                    F.struct(F.lit(k).alias("cut"), F.lit(left).alias("left"), p.alias("p"))
-                    for k in range(1, m)
-                    for left, p in ((True, _part(0, k)), (False, _part(k, m - k)))
-                ]
-            else:
-                here = [
-                    F.struct(F.lit(s).alias("cut"), F.lit(True).alias("left"), _part(s, n).alias("p"))
-                    for n in range(2, m)
-                    for s in range(m - n + 1)
-                ]
-            if here:
-                found = F.when(F.col("size") == m, F.array(*here)).otherwise(found)
-        return found
-
-    counts = phrases.select(F.col("lang").alias("_lang"), F.col("key").alias("_key"), F.col("n").alias("_n"))
+    words = F.split("phrase", " ")
+    sized = known.select("lang", "phrase", "n", words.alias("words"), F.size(words).alias("size"))
+    several = sized.filter(F.col("size") >= 2)
+    counts = known.select(F.col("lang").alias("_lang"), F.col("phrase").alias("_phrase"), F.col("n").alias("_n"))
+
+    def joined(start: Column | int, length: Column) -> Column:
+        return F.array_join(F.slice("words", start, length), " ")
+
     cuts = (
-        several.select("lang", "key", "n", F.explode(parts(True)).alias("x"))
-        .select("lang", "key", "n", "x.cut", "x.left", F.concat_ws(":", "x.p.size", *[f"x.p.{w}" for w in WORDS]).alias("part"))
-        .join(counts, (F.col("lang") == F.col("_lang")) & (F.col("part") == F.col("_key")))
-        .groupBy("lang", "key", "n", "cut")
-        .agg(F.max(F.when(F.col("left"), F.col("_n"))).alias("l"), F.max(F.when(~F.col("left"), F.col("_n"))).alias("r"))
+        several.select("lang", "phrase", "n", "words", "size", F.explode(F.sequence(F.lit(1), F.col("size") - 1)).alias("cut"))
+        .select(
+            "lang",
+            "phrase",
+            "n",
+            "cut",
+            F.explode(
+                F.array(
+                    F.struct(F.lit(True).alias("left"), joined(1, F.col("cut")).alias("part")),
+                    F.struct(F.lit(False).alias("left"), joined(F.col("cut") + 1, F.col("size")).alias("part")),
+                )
+            ).alias("x"),
+        )
+        .join(counts, (F.col("lang") == F.col("_lang")) & (F.col("x.part") == F.col("_phrase")))
+        .groupBy("lang", "phrase", "n", "cut")
+        .agg(F.max(F.when(F.col("x.left"), F.col("_n"))).alias("l"), F.max(F.when(~F.col("x.left"), F.col("_n"))).alias("r"))
     )
     # Decimals hold the products; the quotient is at most SCALE / 2.
-    value = F.expr(f"cast(cast({SCALE} as decimal(10,0)) * cast(n as decimal(19,0)) div (cast(l as decimal(19,0)) + cast(r as decimal(19,0))) as bigint)")
+    value = F.expr(
+        f"cast(cast({SCALE} as decimal(10,0)) * cast(n as decimal(19,0))"
+        " div (cast(l as decimal(19,0)) + cast(r as decimal(19,0))) as bigint)"
+    )
     lowest = (
         cuts.withColumn("score", value)
-        .groupBy("lang", "key")
+        .groupBy("lang", "phrase", "n")
         .agg(F.min(F.struct("score", "cut", "l", "r")).alias("low"))
     )
+    shorter = F.explode(F.sequence(F.lit(2), F.col("size") - 1))
     within = (
-        several.filter(F.col("size") > 2)
-        .select("lang", "n", F.explode(parts(False)).alias("x"))
-        .select(F.col("lang").alias("_lang"), "n", F.concat_ws(":", "x.p.size", *[f"x.p.{w}" for w in WORDS]).alias("_key"))
-        .groupBy("_lang", "_key")
+        sized.filter(F.col("size") > 2)
+        .select("lang", "n", "words", "size", shorter.alias("length"))
+        .select("*", F.explode(F.sequence(F.lit(1), F.col("size") - F.col("length") + 1)).alias("start"))
+        .select(F.col("lang").alias("_lang"), "n", joined(F.col("start"), F.col("length")).alias("_phrase"))
+        .groupBy("_lang", "_phrase")
         .agg(F.max("n").alias("longer"))
     )
     absorbed = F.expr(f"cast(longer as decimal(19,0)) * 100 >= cast(n as decimal(19,0)) * {absorbed_percent}")
     return (
-        several.join(lowest, ["lang", "key"])
-        .join(within, (F.col("lang") == F.col("_lang")) & (F.col("key") == F.col("_key")), "left")
+        lowest.join(within, (F.col("lang") == F.col("_lang")) & (F.col("phrase") == F.col("_phrase")), "left")
         .filter(~F.coalesce(absorbed, F.lit(False)))
-        .select("lang", "size", *WORDS, F.col("n").alias("a"), F.col("low.l").alias("l"), F.col("low.r").alias("r"), F.col("low.score").alias("score"))
-    )
-
-
-def with_text(phrases: DataFrame, known: DataFrame) -> DataFrame:
-    """Add the phrase as text: its words, one space between."""
-    words = known.filter(F.col("size") == 1).select(F.col("lang").alias("_lang"), F.col("w1").alias("_w"), "word")
-    numbered = phrases.withColumn("_id", F.struct("size", *WORDS))
-    said = (
-        numbered.select("lang", "_id", F.posexplode(F.array(*WORDS)).alias("at", "w"))
-        .filter(F.col("w").isNotNull())
-        .join(words, (F.col("lang") == F.col("_lang")) & (F.col("w") == F.col("_w")))
-        .groupBy("lang", "_id")
-        .agg(F.array_sort(F.collect_list(F.struct("at", "word"))).alias("said"))
-        .select(F.col("lang").alias("_lang"), F.col("_id").alias("_that"), F.array_join(F.col("said.word"), " ").alias("phrase"))
+        .select("lang", "phrase", F.col("n").alias("a"), F.col("low.l").alias("l"), F.col("low.r").alias("r"), F.col("low.score").alias("score"))
     )
-    same = (F.col("lang") == F.col("_lang")) & F.col("_id").eqNullSafe(F.col("_that"))
-    return numbered.join(said, same).drop("_lang", "_that", "_id")
 
 
 def collocations(docs: DataFrame, top: int = TOP, **options) -> DataFrame:
     """The best phrases of each language."""
     known, totals, _ = frequent_phrases(docs, **options)
-    known = stored(known, "phrases-known")
-    found = stored(scored(known), "phrases-scored")
-    best = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"))
-    # Only what can be among the first needs its text; ties stay until the text decides.
-    near = found.withColumn("rank", F.rank().over(best)).filter(F.col("rank") <= top).drop("rank")
-    told = with_text(near, known)
-    final = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
+    best = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
     return (
-        told.withColumn("rank", F.row_number().over(final))
+        scored(stored(known, "phrases-known"))
+        .withColumn("rank", F.row_number().over(best))
         .filter(F.col("rank") <= top)
         .join(totals.withColumnRenamed("lang", "_lang"), F.col("lang") == F.col("_lang"))
         .select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", F.col("total").alias("n"), "score")
