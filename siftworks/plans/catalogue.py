@@ -25,6 +25,7 @@ from siftworks.operators import (
     reconcile,
     report,
     rules,
+    spelling,
 )
 from siftworks.plans import cleaning, expectations, run
 from siftworks.sources import attendance_feed as feed
@@ -825,6 +826,34 @@ def damaged_document_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _damaged_table(spark, sf_dir, "documents", "doc_id", planted)
 
 
+@query
+def misspelt_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Market segments of all customers with a letter lost, doubled or swapped by the key,
+    and the segment that each spelling was meant to be."""
+    segment, key = F.col("c_mktsegment"), F.col("c_custkey")
+    at = (F.pmod(key, F.length(segment) - 1) + 1).cast("int")
+    head, tail = F.substring(segment, F.lit(1), at), F.substring(segment, at + 1, F.length(segment))
+    damaged = (
+        F.when(F.pmod(key, F.lit(3)) == 0, F.concat(F.substring(segment, F.lit(1), at - 1), tail))
+        .when(F.pmod(key, F.lit(3)) == 1, F.concat(head, F.substring(segment, at, F.lit(1)), F.lower(tail)))
+        .otherwise(F.concat(head, F.lit("xyz"), tail))
+    )
+    customers = _table(spark, sf_dir, "customer")
+    return spelling.meant(customers.select(damaged.alias("v")), "v", customers, "c_mktsegment")
+
+
+@query
+def customers_with_alike_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs of a customer's name with a character lost and the names within one edit of it."""
+    customers = _table(spark, sf_dir, "customer")
+    at = (F.pmod(F.col("c_custkey"), F.lit(9)) + 1).cast("int")
+    name = F.col("c_name")
+    lost = F.concat(F.substring(name, F.lit(1), at - 1), F.substring(name, at + 1, F.length(name)))
+    return spelling.neighbours(
+        customers.select(lost.alias("v")), "v", customers, "c_name", within=1, fold_case=False
+    )
+
+
 # --- Whole jobs -------------------------------------------------------------
 
 

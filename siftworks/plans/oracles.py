@@ -489,6 +489,24 @@ def all_oracles() -> dict[str, str]:
         "scan_answer_key": f"""WITH {KEYED} SELECT
             cast(raw_row_number AS varchar) AS raw_row_number, attendance_id, "column",
             error_type, expected_action FROM entries""",
+        "misspelt_segments": """WITH v AS (
+              SELECT DISTINCT CASE c_custkey % 3
+                WHEN 0 THEN c_mktsegment[1:pos - 1] || c_mktsegment[pos + 1:]
+                WHEN 1 THEN c_mktsegment[1:pos] || c_mktsegment[pos:pos] || lower(c_mktsegment[pos + 1:])
+                ELSE c_mktsegment[1:pos] || 'xyz' || c_mktsegment[pos + 1:] END AS value
+              FROM (SELECT *, c_custkey % (length(c_mktsegment) - 1) + 1 AS pos FROM customer)),
+            k AS (SELECT DISTINCT c_mktsegment AS known FROM customer),
+            near AS (SELECT value, known, cast(levenshtein(lower(trim(value)), lower(trim(known))) AS int) AS distance
+              FROM v, k WHERE levenshtein(lower(trim(value)), lower(trim(known))) <= 2),
+            best AS (SELECT * FROM near
+              QUALIFY distance = min(distance) OVER (PARTITION BY value))
+            SELECT value, CASE WHEN count(*) = 1 THEN min(known) END AS known, distance,
+              count(*) AS candidates FROM best GROUP BY value, distance""",
+        "customers_with_alike_names": """WITH v AS (
+              SELECT DISTINCT c_name[1:pos - 1] || c_name[pos + 1:] AS value
+              FROM (SELECT *, c_custkey % 9 + 1 AS pos FROM customer))
+            SELECT DISTINCT value, c_name AS known, cast(levenshtein(value, c_name) AS int) AS distance
+            FROM v, customer WHERE levenshtein(value, c_name) <= 1""",
         "versioned_load": f"""WITH {JUDGED}, loaded AS (
               SELECT 1 AS version, 'judged' AS note, triage_category FROM judged
               UNION ALL SELECT 2, 'clean', triage_category FROM clean)
