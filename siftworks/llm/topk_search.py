@@ -9,10 +9,11 @@ Scores are integers; bounds are widened by a margin far above rounding error, an
 node is left out only if it cannot even tie.
 
 Defined cases: vectors that are null or hold null or non-finite components and rows
-without id take no part; rows repeated whole count once; rows of another length are no
-candidates; an id that repeats with other vectors is several rows, of which a query
-skips all with its own id; an empty table gives no rows.  Components are at most
-2^24 in size, so that products fit a long.
+without id take no part; a row repeated whole is a candidate as often as it is there, and
+so is a query; rows of another length are no candidates; an id that repeats, with the same
+vector or others, is several rows, of which a query skips all with its own id; an empty
+table gives no rows.  A vector whose products with itself might pass a long (a norm of
+2^31 or more after scaling) raises an error, as scores would be wrong in silence.
 """
 
 from __future__ import annotations
@@ -20,11 +21,13 @@ from __future__ import annotations
 import heapq
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from siftworks.llm.frames import stored
+
 K = 5
 EVERY = 50
 TREE_ROWS = 4096
@@ -124,8 +127,10 @@ class MTree:
                     good = scores >= kth
                     objects, scores = objects[good], scores[good]
                 for o, s in zip(objects.tolist(), scores.tolist(), strict=True):
-                    found = self.ids[o][: k + 1]
-                    best += [(s, i) for i in found.tolist() if i != own][:k]
+                    found = self.ids[o]
+                    begin, end = np.searchsorted(found, [own, own], "left")[0], np.searchsorted(found, own, "right")
+                    others = np.concatenate([found[: min(begin, k)], found[end : end + k]])[:k]
+                    best += [(s, i) for i in others.tolist()]
                 best = sorted(best, key=lambda x: (-x[0], x[1]))[:k]
             else:
                 d = distances(routing[near])
@@ -136,18 +141,20 @@ class MTree:
 
 
 def usable(rows: DataFrame) -> DataFrame:
-    """(vec_id, v, dim): finite vectors scaled to whole numbers, each row once."""
+    """(vec_id, v, dim): finite vectors scaled to whole numbers."""
     fine = F.col("vec_id").isNotNull() & F.col("embedding").isNotNull()
     whole = F.forall(
         "embedding",
         lambda x: F.coalesce(~F.isnan(x.cast("double")) & (F.abs(x.cast("double")) < float("inf")), F.lit(False)),
     )
     scaled = F.transform("embedding", lambda x: F.floor(256 * x.cast("double")).cast("long"))
-    return (
-        rows.filter(fine & whole)
-        .select("vec_id", scaled.alias("v"), F.size("embedding").alias("dim"))
-        .dropDuplicates()
+    # Two norms below 2^31 have a product below 2^62.
+    square = F.aggregate(
+        "embedding", F.lit(0.0), lambda acc, x: acc + F.floor(256 * x.cast("double")).cast("double") * F.floor(256 * x.cast("double"))
     )
+    error = F.raise_error(F.lit("a vector is too long for its scores to be whole numbers of 64 bits"))
+    checked = F.when(square < 2.0**62, scaled).otherwise(error.cast("array<bigint>"))
+    return rows.filter(fine & whole).select("vec_id", checked.alias("v"), F.size("embedding").alias("dim"))
 
 
 def top_k(rows: DataFrame, k: int = K, every: int = EVERY, tree_rows: int = TREE_ROWS) -> DataFrame:
@@ -156,30 +163,38 @@ def top_k(rows: DataFrame, k: int = K, every: int = EVERY, tree_rows: int = TREE
     The stated queries go to every tree, in blocks: a task holds one tree and one
     block of queries, both of bounded size, and returns k rows a query.
     """
-    found = usable(rows)
+    found = stored(usable(rows), "topk-rows")
     n = found.count()
     trees = max(1, -(-n // tree_rows))
-    blocks = max(1, -(-n // every // QUERY_BLOCK))
-    part = lambda salt, m: F.pmod(F.xxhash64("vec_id", "v", F.lit(salt)), F.lit(m)).cast("int")
-    everywhere = lambda m: F.explode(F.sequence(F.lit(0), F.lit(m - 1)))
-    data = found.select("vec_id", "v", "dim", part("tree", trees).alias("tree"), everywhere(blocks).alias("block"))
-    queries = found.filter(F.col("vec_id") % every == 0).select(
-        "vec_id", "v", "dim", part("query", blocks).alias("block"), everywhere(trees).alias("tree")
-    )
-    schema = "query_id long, q binary, vec_id long, score long"
+    # A row is known by its file and its place in it, so rows that are repeated stay apart.
+    place = F.concat_ws(":", "_metadata.file_name", F.col("_metadata.row_index").cast("string"))
+    part = lambda m: F.pmod(F.xxhash64(place), F.lit(m)).cast("int")
+    everywhere = F.explode(F.sequence(F.lit(0), F.lit(trees - 1)))
+    data = found.select("vec_id", "v", "dim", part(trees).alias("tree"))
+    queries = found.filter(F.col("vec_id") % every == 0).select("vec_id", "v", "dim", place.alias("place"))
+    blocks = max(1, -(-queries.count() // QUERY_BLOCK))
+    queries = queries.withColumns({"block": F.pmod(F.xxhash64("place"), F.lit(blocks)).cast("int"), "tree": everywhere})
+    data = data.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+    schema = "query_id long, place string, vec_id long, score long"
+    arrow = pa.schema({"query_id": pa.int64(), "place": pa.string(), "vec_id": pa.int64(), "score": pa.int64()})
     keys = ["dim", "tree", "block"]
 
-    def search(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        out = []
-        if len(left) and len(right):
-            tree = MTree(np.array(left["v"].tolist(), np.int64).reshape(len(left), -1), left["vec_id"].to_numpy())
-            for own, v in zip(right["vec_id"].tolist(), right["v"], strict=True):
-                query = np.asarray(v, np.int64)
-                out += [(own, query.tobytes(), i, s) for s, i in tree.search(query, k, own)]
-        return pd.DataFrame(out, columns=["query_id", "q", "vec_id", "score"])
-
-    local = data.groupBy(*keys).cogroup(queries.groupBy(*keys)).applyInPandas(search, schema)
-    best = Window.partitionBy("query_id", "q").orderBy(F.desc("score"), "vec_id")
+    def matrix(table: pa.Table) -> np.ndarray:
+        lists = table["v"].combine_chunks()
+        return lists.flatten().to_numpy(zero_copy_only=False).reshape(table.num_rows, -1)
+
+    def search(left: pa.Table, right: pa.Table) -> pa.Table:
+        out: list[tuple] = []
+        if left.num_rows and right.num_rows:
+            tree = MTree(matrix(left), left["vec_id"].to_numpy())
+            asked = zip(right["vec_id"].to_pylist(), right["place"].to_pylist(), matrix(right), strict=True)
+            for own, at, query in asked:
+                out += [(own, at, i, s) for s, i in tree.search(query, k, own)]
+        columns = list(zip(*out, strict=True)) if out else [()] * len(arrow)
+        return pa.table([pa.array(c, f.type) for c, f in zip(columns, arrow, strict=True)], schema=arrow)
+
+    local = data.groupBy(*keys).cogroup(queries.groupBy(*keys)).applyInArrow(search, schema)
+    best = Window.partitionBy("query_id", "place").orderBy(F.desc("score"), "vec_id")
     return (
         local.withColumn("rank", F.row_number().over(best))
         .filter(F.col("rank") <= k)
@@ -193,16 +208,16 @@ def topk_digest(embeddings: DataFrame) -> DataFrame:
 
 ORACLE = """
 WITH rows AS (
-  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  SELECT row_number() OVER () AS place, vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
   FROM embeddings
   WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
     AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
 ), scored AS (
-  SELECT q.vec_id AS query_id, c.vec_id,
+  SELECT q.place, q.vec_id AS query_id, c.vec_id,
          CAST(list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2])) AS BIGINT) AS score
   FROM rows q JOIN rows c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id
 )
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM (
-  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored
+  SELECT *, row_number() OVER (PARTITION BY place ORDER BY score DESC, vec_id) AS rank FROM scored
 ) WHERE rank <= 5
 """

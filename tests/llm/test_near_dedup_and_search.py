@@ -1,6 +1,7 @@
 import collections
 
 import numpy as np
+import duckdb
 import pytest
 
 from siftworks.llm import near_dedup as nd
@@ -159,11 +160,11 @@ def test_search_equals_its_sql(spark):
 
 
 def brute_top(rows, k=5):
-    fine = {
+    fine = [
         (i, tuple(int(np.floor(256 * float(x))) for x in v))
         for i, v in rows
         if i is not None and v is not None and all(x is not None and np.isfinite(x) for x in v)
-    }
+    ]
     out = []
     for i, q in fine:
         if i % 50 == 0:
@@ -177,13 +178,29 @@ def test_search_with_awkward_vectors(spark):
     rows = [(i, [float(x) for x in rng.normal(size=6)]) for i in range(400)]
     rows += [(1000 + i, [0.5] * 6) for i in range(300)]  # one common vector
     rows += [(2000, None), (2050, [1.0, None, 0.0, 0.0, 0.0, 0.0]), (2100, [float("nan")] * 6), (2150, [float("inf")] * 6)]
-    rows += [(50, rows[50][1]), (None, [1.0] * 6), (3000, [1.0, 2.0]), (3001, [2.0, 1.0]), (4000, [])]
+    # Candidates and queries that are there more than once.
+    rows += [(50, rows[50][1]), (50, rows[50][1]), (1003, [0.5] * 6), (1003, [0.5] * 6), (100, rows[7][1]), (None, [1.0] * 6), (3000, [1.0, 2.0]), (3001, [2.0, 1.0]), (4000, [])]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
     given_rows = [(r["vec_id"], r["embedding"]) for r in df.collect()]
     for tree_rows in (64, 100_000):
         assert sorted(map(tuple, topk_search.top_k(df, tree_rows=tree_rows).collect())) == brute_top(given_rows)
 
 
+def test_repeated_rows_by_the_sql(spark, tmp_path):
+    rows = [(0, [1.0, 0.0]), (0, [1.0, 0.0])] + [(1, [0.5, 0.5])] * 3 + [(k, [0.1 * k, 0.0]) for k in range(2, 7)] + [(50, [1.0, 1.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    df.coalesce(1).write.parquet(str(tmp_path / "embeddings.parquet"))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW embeddings AS SELECT * FROM read_parquet('{tmp_path}/embeddings.parquet/*.parquet')")
+    assert difference(topk_search.topk_digest(df.repartition(3)), con, topk_search.ORACLE) is None
+
+
+def test_vectors_whose_scores_would_pass_64_bits(spark):
+    rows = [(0, [1e18, 0.0]), (1, [1.0, 0.0])]
+    with pytest.raises(Exception, match="64 bits"):
+        topk_search.topk_digest(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()
+
+
 def test_trees_with_small_pages():
     rng = np.random.default_rng(8)
     v = rng.integers(-5, 6, (500, 4))
