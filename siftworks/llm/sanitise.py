@@ -74,35 +74,53 @@ def _valid(kind: str, text: Column) -> Column:
     return F.when(n.between(12, 19), _luhn(digits)).otherwise(F.lit(False))
 
 
-def _located(text: Column, pattern: Column, gate: Column) -> Column:
-    """(start, end, value) of each match; the gaps between matches give the places, in
-    code points."""
-    matches = F.regexp_extract_all(text, pattern, F.lit(0))
-    gaps = F.split(text, pattern, -1)
-    cut = F.transform(
-        matches,
-        lambda m, i: F.struct(m.alias("value"), F.get(gaps, i).alias("before")),
-    )
-    kind = "array<struct<start:int,end:int,value:string>>"
-    placed = F.aggregate(
-        cut,
-        F.struct(F.lit(0).alias("at"), F.array().cast(kind).alias("out")),
-        lambda acc, m: F.struct(
-            (acc["at"] + F.length(m["before"]) + F.length(m["value"])).alias("at"),
-            F.concat(
-                acc["out"],
-                F.array(
-                    F.struct(
-                        (acc["at"] + F.length(m["before"])).alias("start"),
-                        (acc["at"] + F.length(m["before"]) + F.length(m["value"])).alias("end"),
-                        m["value"].alias("value"),
-                    )
-                ),
-            ).alias("out"),
-        ),
-        lambda acc: acc["out"],
+# Lengths that are added up one by one.
+_BLOCK = 64
+
+
+def _sum(numbers: Column) -> Column:
+    return F.aggregate(numbers, F.lit(0), lambda acc, x: acc + x)
+
+
+def _with_matches(rows: DataFrame, name: str, pattern: Column, gate: Column) -> DataFrame:
+    """Add (start, end, value) of each match of the column ``text``, in code points.
+
+    A match ends where the lengths of all gaps and matches up to it end.  Lengths are added
+    up in blocks: a match adds those of its block to the sum before the block, so no
+    array grows element by element and a text of very many matches takes time in
+    proportion.  Each step is a column of its own, so it is computed once.
+    """
+    text, n = F.col("text"), F.size(f"_{name}_m")
+    numbers = F.array().cast("array<int>")
+    lengths, sums, begins = (f"_{name}_{part}" for part in ("l", "s", "b"))
+    steps = {
+        f"_{name}_m": F.when(gate, F.regexp_extract_all(text, pattern, F.lit(0))).otherwise(F.array().cast("array<string>")),
+        lengths: F.when(
+            n > 0,
+            F.zip_with(
+                F.col(f"_{name}_m"),
+                F.split(text, pattern, -1),
+                lambda m, gap: F.coalesce(F.length(m), F.lit(0)) + F.length(gap),
+            ),
+        ).otherwise(numbers),
+        sums: F.when(
+            n > 0,
+            F.transform(F.sequence(F.lit(1), n, F.lit(_BLOCK)), lambda at: _sum(F.slice(lengths, at, F.lit(_BLOCK)))),
+        ).otherwise(numbers),
+        begins: F.transform(sums, lambda _, i: _sum(F.slice(sums, F.lit(1), i))),
+    }
+    for column, value in steps.items():
+        rows = rows.withColumn(column, value)
+
+    def end(i: Column) -> Column:
+        block = F.floor(i / _BLOCK).cast("int")
+        return F.get(begins, block) + _sum(F.slice(lengths, block * _BLOCK + 1, i - block * _BLOCK + 1))
+
+    ends = F.transform(f"_{name}_m", lambda m, i: F.struct(end(i).alias("end"), m.alias("value")))
+    spans = F.transform(
+        ends, lambda x: F.struct((x["end"] - F.length(x["value"])).alias("start"), x["end"].alias("end"), x["value"].alias("value"))
     )
-    return F.when(gate, placed).otherwise(F.array().cast(kind))
+    return rows.withColumn(name, spans).drop(*steps)
 
 
 def _entity(kind: str, value: Column) -> Column:
@@ -158,7 +176,7 @@ def scan(docs: DataFrame) -> DataFrame:
     for kind, pattern in PATTERNS.items():
         hint = HINTS.get(kind)
         gate = F.contains("text", F.lit(hint)) if hint else F.col("text").rlike("[0-9]")
-        rows = rows.withColumn(f"raw_{kind}", _located(F.col("text"), F.lit(pattern), gate))
+        rows = _with_matches(rows, f"raw_{kind}", F.lit(pattern), gate)
     for kind in PATTERNS:
         rows = rows.withColumn(f"is_{kind}", _checked(kind))
     spans = [_spans(f"is_{kind}", kind) for kind in PATTERNS]
@@ -258,10 +276,9 @@ def all_spans(docs: DataFrame) -> DataFrame:
     pattern = F.concat(
         F.lit(r"(?iu)(?<!\p{L})(?:"), F.array_join(F.map_keys("terms"), "|"), F.lit(r")(?!\p{L})")
     )
-    located = _located(F.col("text"), F.coalesce(F.col("pattern"), F.lit(" ")), F.col("terms").isNotNull())
+    hidden = joined.withColumn("pattern", F.coalesce(pattern, F.lit(" ")))
     return (
-        joined.withColumn("pattern", pattern)
-        .withColumn("located", located)
+        _with_matches(hidden, "located", F.col("pattern"), F.col("terms").isNotNull())
         .withColumn("spans", F.array_sort(F.concat("base", _spans("located", TERM_KIND))))
         .select("doc_id", "base", "terms", "spans", "text")
     )
