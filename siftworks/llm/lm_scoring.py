@@ -1,10 +1,15 @@
 """Score texts with a hashed maximum-entropy language model.
 
-The model gives a token's class from the tokens before it, a softmax over hashed n-gram
-and skip features, and the token within its class by its corpus count.  All training
-documents teach it, in distributed rounds: every task takes gradient steps over its own
-tokens from the weights of the round before, and the rows of the weight table that tasks
-have touched are averaged by how often they touched them.
+A softmax over hashed n-gram and skip features gives a token's class from the tokens
+before it, a second one the group within the class, a third one the leaf within the
+group; all three look at the context.  A frequent token has a leaf of its own; rarer
+tokens of a leaf share it by their corpus counts.
+
+All training documents teach the model, in distributed rounds.  A hash of id and text
+deals them into slices of about equal size, whatever the input's files are.  A round
+takes its share of the slices; every slice takes gradient steps from the weights of the
+round before, and rows of the weight tables are averaged by how often slices touched them.
+Slices and rounds grow with the corpus, and each document is read in one round.
 
 Outcomes are the training vocabulary and one more, any unknown token; probabilities add
 up to one over them.  Classes are the most frequent tokens one by one, clusters of the
@@ -12,7 +17,8 @@ other tokens by the company that their endings keep, and the unknown token, for
 tokens seen once stand in while training.
 
 Counts of all tokens live in a table.  The ``HEAD_WORDS`` most frequent go to every task,
-so that is bounded; the tokens beyond them are counted by a join.
+so that is bounded; the tokens beyond them are counted by a join, and are in the last leaf
+of their class.
 
 Defined cases: null text counts as empty and has the one end token; a null id counts as
 empty text for the split, so it is held out; repeated rows count each time; without
@@ -21,6 +27,7 @@ training tokens every score is that of the base, 0 known; an empty table gives n
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 import numpy as np
@@ -37,12 +44,16 @@ ENDINGS = 4096
 ALONE = 40
 CLUSTERS = 23
 CLASSES = 1 + ALONE + CLUSTERS  # class 0 is the unknown token
+GROUPS = 16  # of a class, and leaves of a group
+LEAVES = GROUPS * GROUPS
 ROWS = 1 << 15
+INNER_ROWS = 64000  # with a row for each class or group still below 2^16
 NAMED = 8192  # the most frequent tokens are features themselves, others their endings
-FEATURES = 4
 BATCH = 8192
+BLOCK = 1024  # rows whose logits stay in a core's cache
 RATE = 0.5
-ROUNDS = 1
+SLICE_TOKENS = 1 << 21
+COMBINED = 1 << 20  # distinct tokens that a task keeps before it passes them on
 DISCOUNT = 0.5
 END = np.uint64(0x9E2C5BD14F1A7731)
 _K = np.uint64(0x9E3779B97F4A7C15)
@@ -82,19 +93,34 @@ def _token_parts(column):
         yield a, b, tokens(buffer, offsets[a : b + 1] - offsets[a])
 
 
+def _count_rows(h: np.ndarray, ending: np.ndarray, c: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(ending), pa.array(c)], names=["h", "ending", "c"])
+
+
 def vocabulary(texts: DataFrame) -> DataFrame:
     """(h, ending, c) of all tokens of a text column, stored."""
 
+    def merged(parts):
+        h, ending, c = (np.concatenate(x) for x in zip(*parts, strict=True))
+        kinds, first, of = np.unique(h, return_index=True, return_inverse=True)
+        return kinds, ending[first], np.bincount(of, c, len(kinds)).astype(np.int64)
+
     def count(batches):
+        parts, held = [], 0
         for batch in batches:
             for _, _, t in _token_parts(batch.column(0)):
-                h, first, c = np.unique(t.h, return_index=True, return_counts=True)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(h.view(np.int64)), pa.array(t.ending[first].astype(np.int32)), pa.array(c)],
-                    names=["h", "ending", "c"],
-                )
-
-    counted = texts.mapInArrow(count, "h long, ending int, c long")
+                parts.append(merged([(t.h, t.ending.astype(np.int32), np.ones(len(t.h), np.int64))]))
+                held += len(parts[-1][0])
+                if held > COMBINED:
+                    parts = [merged(parts)]
+                    held = len(parts[0][0])
+                    if held > COMBINED // 2:
+                        yield _count_rows(*parts[0])
+                        parts, held = [], 0
+        if parts:
+            yield _count_rows(*merged(parts))
+
+    counted = texts.select("text").mapInArrow(count, "h long, ending int, c long")
     return stored(
         counted.groupBy("h").agg(F.any_value("ending").alias("ending"), F.sum("c").alias("c")), "lm-vocabulary"
     )
@@ -109,9 +135,10 @@ class Model:
     index: words.SortedHashes | None
     count: np.ndarray  # of the head, by falling count
     class_of_ending: np.ndarray
-    mass: np.ndarray  # of each class: discounted counts of its tokens
+    leaf: np.ndarray  # of the head's tokens within their class
+    mass: np.ndarray  # of each class and leaf: discounted counts of its tokens
     once_in_tail: float  # share of tokens beyond the head that were seen once
-    weights: np.ndarray
+    weights: list[np.ndarray]  # of classes, groups and leaves
 
     def find(self, t: Tokens) -> np.ndarray:
         return self.index.find(t.h) if self.index else np.full(len(t.h), -1, np.int64)
@@ -121,8 +148,14 @@ class Model:
         alone = (place >= 0) & (place < ALONE)
         return np.where(alone, 1 + place, self.class_of_ending[t.ending])
 
+    def leaves(self, place: np.ndarray) -> np.ndarray:
+        """The leaf of each token within its class."""
+        if not len(self.leaf):
+            return np.full(len(place), LEAVES - 1, np.int64)
+        return np.where(place >= 0, self.leaf[np.maximum(place, 0)], LEAVES - 1).astype(np.int64)
+
     def features(self, t: Tokens, place: np.ndarray, classes: np.ndarray) -> np.ndarray:
-        """Rows of the weight table for each token, from the tokens before it."""
+        """Hashes of what the tokens before each token say about it."""
         name = np.where((place >= 0) & (place < NAMED), place, NAMED + t.ending).astype(np.uint64) + np.uint64(1)
         kind = classes.astype(np.uint64) + np.uint64(1)
 
@@ -139,14 +172,45 @@ class Model:
             p2 | np.uint64(1 << 61),  # one skipped
             before(kind, 3) * np.uint64(CLASSES + 1) + before(kind, 4) | np.uint64(1 << 60),  # two skipped
         )
-        return np.stack([(words.mix64(k + _K) % np.uint64(ROWS)).astype(np.int32) for k in keys], axis=1)
-
-    def logits(self, features: np.ndarray, weights: np.ndarray) -> np.ndarray:
-        z = weights[features[:, 0]] + weights[features[:, 1]]
-        z += weights[features[:, 2]]
-        z += weights[features[:, 3]]
-        z += weights[ROWS]  # bias
-        return z
+        return np.stack([words.mix64(k + _K) for k in keys], axis=1)
+
+    def log_probabilities(self, features, classes, leaves) -> tuple[np.ndarray, np.ndarray]:
+        """Of each token's class and leaf, and of the unknown token, natural logarithms."""
+        of_token, of_unknown = np.empty(len(classes)), np.empty(len(classes))
+        for a in range(0, len(classes), BLOCK):
+            z = _log_softmax(_logits(_class_rows(features[a : a + BLOCK]), self.weights[0]))
+            of_token[a : a + BLOCK] = z[np.arange(len(z)), classes[a : a + BLOCK]]
+            of_unknown[a : a + BLOCK] = z[:, 0]
+        inner = np.flatnonzero(classes > ALONE)
+        for a in range(0, len(inner), BLOCK):
+            on = inner[a : a + BLOCK]
+            for w, (rows, y) in zip(self.weights[1:], _inner_rows(features[on], classes[on], leaves[on]), strict=True):
+                of_token[on] += _log_softmax(_logits(rows, w))[np.arange(len(on)), y]
+        return of_token, of_unknown
+
+
+def _class_rows(features: np.ndarray) -> np.ndarray:
+    """Rows of the first weight table; the last one is the bias."""
+    rows = np.full((len(features), features.shape[1] + 1), ROWS, np.uint16)
+    rows[:, :-1] = features % np.uint64(ROWS)
+    return rows
+
+
+def _inner_rows(features: np.ndarray, classes: np.ndarray, leaves: np.ndarray):
+    """Rows and outcomes in the tables of groups and leaves; a class or group has its own bias."""
+    group, leaf = np.divmod(leaves, GROUPS)
+    for node, y in ((classes, group), (CLASSES + classes * GROUPS + group, leaf)):
+        rows = np.empty((len(features), features.shape[1] + 1), np.uint16)
+        rows[:, :-1] = words.mix64(features + (node.astype(np.uint64) * _K)[:, None]) % np.uint64(INNER_ROWS)
+        rows[:, -1] = INNER_ROWS + (node if node is classes else node - CLASSES)
+        yield rows, y
+
+
+def _logits(rows: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    z = weights[rows[:, 0]]
+    for k in range(1, rows.shape[1]):
+        z += weights[rows[:, k]]
+    return z
 
 
 def _log_softmax(z: np.ndarray) -> np.ndarray:
@@ -155,6 +219,48 @@ def _log_softmax(z: np.ndarray) -> np.ndarray:
     return z
 
 
+def _sums_by_row(z: np.ndarray, rows: np.ndarray, most: int = 32) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Each row that occurs, how often, and the sum of z over the tokens that have it."""
+    flat = rows.T.ravel()
+    order = np.argsort(flat, kind="stable")  # a radix sort, as rows have 16 bits
+    ordered = flat[order]
+    starts = np.flatnonzero(np.concatenate(([True], ordered[1:] != ordered[:-1])))
+    times = np.diff(np.append(starts, len(order)))
+    by_times = np.argsort(-times, kind="stable")
+    starts, times = starts[by_times], times[by_times]
+    token = order % len(z)
+    sums = z[token[starts]]
+    often = int(np.searchsorted(-times, -most, "left"))
+    for k in range(often):
+        sums[k] = z[token[starts[k] : starts[k] + times[k]]].sum(axis=0)
+    for nth in range(1, most):
+        to = int(np.searchsorted(-times, -nth, "left"))  # rows that occur more than nth times
+        if to <= often:
+            break
+        sums[often:to] += z[token[starts[often:to] + nth]]
+    return ordered[starts], times, sums
+
+
+def _step(w: np.ndarray, spread: np.ndarray, touched: np.ndarray, rows: np.ndarray, *targets) -> None:
+    """One gradient step towards (outcome, share) for each token; shares need not add up to one."""
+    z = np.empty((len(rows), w.shape[1]), np.float32)
+    for a in range(0, len(rows), BLOCK):
+        part = _logits(rows[a : a + BLOCK], w)
+        part -= part.max(axis=1, keepdims=True)
+        np.exp(part, out=part)
+        part *= -sum(share[a : a + BLOCK] for _, share in targets)[:, None] / part.sum(axis=1, keepdims=True)
+        z[a : a + BLOCK] = part
+    nth = np.arange(len(z))
+    for outcome, share in targets:
+        z[nth, outcome] += share
+    at, times, step = _sums_by_row(z, rows)
+    # Steps are smaller in rows that have moved much.
+    spread[at] += np.einsum("ij,ij->i", step, step) / step.shape[1]
+    step *= (RATE / np.sqrt(spread[at]))[:, None]
+    w[at] += step
+    touched[at] += times
+
+
 def company(texts: DataFrame, head) -> np.ndarray:
     """How often each ending stands within three tokens of each frequent token."""
 
@@ -177,7 +283,7 @@ def company(texts: DataFrame, head) -> np.ndarray:
         )
 
     sums = (
-        texts.mapInArrow(count, "ending int, near array<long>")
+        texts.select("text").mapInArrow(count, "ending int, near array<long>")
         .groupBy("ending")
         .agg(*[F.sum(F.get("near", F.lit(i))).alias(f"n{i}") for i in range(ALONE)])
     )
@@ -206,8 +312,8 @@ def clusters(near: np.ndarray, weight: np.ndarray, k: int, rounds: int = 25) ->
     return of
 
 
-def _head(vocab: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes and counts of at most HEAD_WORDS tokens, by falling count.
+def _head(vocab: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes, endings and counts of at most HEAD_WORDS tokens, by falling count.
 
     The least count that lets so many in comes from a histogram of counts, so no task
     sorts the vocabulary.
@@ -221,76 +327,115 @@ def _head(vocab: DataFrame) -> tuple[np.ndarray, np.ndarray]:
             break
         least = r["c"]
     if least is None:
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    found = vocab.filter(F.col("c") >= least).select("h", "c").toArrow()
-    h, c = (found.column(i).to_numpy() for i in (0, 1))
+        return np.zeros(0, np.uint64), np.zeros(0, np.int32), np.zeros(0, np.int64)
+    found = vocab.filter(F.col("c") >= least).select("h", "ending", "c").toArrow()
+    h, ending, c = (found.column(i).to_numpy() for i in range(3))
     order = np.lexsort((h, -c))
-    return h[order].view(np.uint64), c[order]
+    return h[order].view(np.uint64), ending[order], c[order]
 
 
-def train_round(texts: DataFrame, shared, step: int) -> np.ndarray:
-    """One pass of gradient steps over all tokens; the averaged weights."""
+def _leaves(classes: np.ndarray, count: np.ndarray, total: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Leaves of the head's tokens, given by falling count, and the mass of each leaf.
+
+    Tokens of a class lie one behind the other on a line as long as its mass, and leaves
+    are equal parts of it; what the head lacks of a class is in its last leaf.
+    """
+    own = count - DISCOUNT
+    order = np.argsort(classes, kind="stable")
+    ends = np.cumsum(own[order])
+    first = np.searchsorted(classes[order], classes[order], "left")
+    before = np.concatenate(([0.0], ends))[first]
+    middle = np.empty(len(own))
+    middle[order] = ends - before - own[order] / 2
+    leaf = np.minimum(middle * LEAVES / np.maximum(total[classes], DISCOUNT), LEAVES - 1).astype(np.uint8)
+    mass = np.bincount(classes * LEAVES + leaf, own, CLASSES * LEAVES).astype(float).reshape(CLASSES, LEAVES)
+    mass[:, -1] += np.maximum(total - np.bincount(classes, own, CLASSES), 0.0)
+    return leaf, mass
+
+
+def _packed(table: np.ndarray) -> np.ndarray:
+    """Rows of a weight table, several of a narrow one together, so that all tables are as wide."""
+    per = CLASSES // table.shape[1]
+    return np.pad(table, ((0, -len(table) % per), (0, 0))).reshape(-1, CLASSES)
+
+
+def train_round(texts: DataFrame, shared) -> list[np.ndarray]:
+    """Gradient steps over all tokens, each partition by itself; the averaged weights."""
+    per_row = CLASSES // GROUPS
 
     def learn(batches):
         model = shared.value
-        w = model.weights.copy()
-        spread = np.full((ROWS + 1, 1), 1e-2, np.float32)
-        touched = np.zeros(ROWS + 1, np.int64)
+        w = [x.copy() for x in model.weights]
+        spread = [np.full(len(x), 1e-2, np.float32) for x in w]
+        touched = [np.zeros(len(x), np.int64) for x in w]
         for batch in batches:
             for _, _, t in _token_parts(batch.column(0)):
                 place = model.find(t)
-                classes = model.classes(t, place)
+                classes, leaves = model.classes(t, place), model.leaves(place)
                 features = model.features(t, place, classes)
                 once = np.where(place >= 0, model.count[np.maximum(place, 0)] == 1, 0.0) if len(model.count) else np.zeros(len(t.h))
                 unknown = np.where(place >= 0, once, model.once_in_tail).astype(np.float32)
                 unknown[t.h == END] = 0
                 for a in range(0, len(t.h), BATCH):
                     f, y, u = features[a : a + BATCH], classes[a : a + BATCH], unknown[a : a + BATCH]
-                    z = model.logits(f, w)
-                    z -= z.max(axis=1, keepdims=True)
-                    np.exp(z, out=z)
-                    z /= z.sum(axis=1, keepdims=True)
-                    nth = np.arange(len(y))
-                    z[nth, y] -= 1 - u
-                    z[:, 0] -= u
-                    z *= -1.0
-                    bias = z.sum(axis=0)
-                    spread[ROWS] += (bias**2).mean()
-                    w[ROWS] += RATE * bias / np.sqrt(spread[ROWS])
-                    touched[ROWS] += len(y)
-                    flat = f.T.ravel()
-                    order = np.argsort(flat, kind="stable")
-                    starts = np.flatnonzero(np.diff(flat[order], prepend=-1))
-                    rows = flat[order[starts]]
-                    grad = np.add.reduceat(z[order % len(y)], starts, axis=0)
-                    # Steps are smaller in rows that have moved much.
-                    spread[rows, 0] += (grad**2).mean(axis=1)
-                    w[rows] += RATE * grad / np.sqrt(spread[rows])
-                    touched[rows] += np.diff(np.append(starts, len(order)))
-        rows = np.flatnonzero(touched)
-        values = pa.FixedSizeListArray.from_arrays(pa.array(w[rows].ravel()), CLASSES).cast(pa.list_(pa.float32()))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(rows.astype(np.int32)), pa.array(touched[rows]), values], names=["r", "n", "w"]
-        )
+                    _step(w[0], spread[0], touched[0], _class_rows(f), (y, 1 - u), (np.zeros_like(y), u))
+                    on = np.flatnonzero((y > ALONE) & (u < 1))
+                    if len(on):
+                        inner = _inner_rows(f[on], y[on], leaves[a : a + BATCH][on])
+                        for k, (rows, outcome) in enumerate(inner, 1):
+                            _step(w[k], spread[k], touched[k], rows, (outcome, 1 - u[on]))
+        for k, (table, times) in enumerate(zip(w, touched, strict=True)):
+            sums = _packed(table * times[:, None].astype(np.float32))
+            per = CLASSES // table.shape[1]
+            times = np.pad(times, (0, -len(times) % per)).reshape(-1, per)
+            times = np.pad(times, ((0, 0), (0, per_row - per)))
+            rows = np.flatnonzero(times.any(axis=1))
+            lists = (
+                pa.FixedSizeListArray.from_arrays(pa.array(x[rows].ravel()), x.shape[1]) for x in (times, sums)
+            )
+            n, values = (x.cast(pa.list_(x.type.value_type)) for x in lists)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.full(len(rows), k, np.int32)), pa.array(rows.astype(np.int32)), n, values],
+                names=["k", "r", "n", "w"],
+            )
 
-    weighted = [F.sum(F.col("n") * F.get("w", F.lit(i))).alias(f"w{i}") for i in range(CLASSES)]
     sums = (
-        texts.mapInArrow(learn, "r int, n long, w array<float>").groupBy("r").agg(F.sum("n").alias("n"), *weighted)
+        texts.mapInArrow(learn, "k int, r int, n array<long>, w array<float>")
+        .groupBy("k", "r")
+        .agg(
+            *[F.sum(F.get("n", F.lit(i))).cast("double").alias(f"n{i}") for i in range(per_row)],
+            *[F.sum(F.get("w", F.lit(i))).alias(f"w{i}") for i in range(CLASSES)],
+        )
     )
-    found = sums.toPandas()  # at most ROWS + 1 rows
-    out = shared.value.weights.copy()
-    if len(found):
-        mean = found[[f"w{i}" for i in range(CLASSES)]].to_numpy() / found[["n"]].to_numpy()
-        out[found["r"].to_numpy()] = mean.astype(np.float32)
+    found = sums.toArrow()  # at most as many rows as the packed tables have
+    k, r = (found.column(i).to_numpy() for i in range(2))
+    n = np.stack([found.column(2 + i).to_numpy() for i in range(per_row)], axis=1)
+    total = np.stack([found.column(2 + per_row + i).to_numpy() for i in range(CLASSES)], axis=1)
+    out = []
+    for layer, old in enumerate(shared.value.weights):
+        on = k == layer
+        packed = _packed(old)
+        times = n[on, :1] if layer == 0 else n[on]
+        mean = total[on].reshape(len(times), times.shape[1], old.shape[1]) / np.maximum(times, 1)[:, :, None]
+        was = packed[r[on]].reshape(mean.shape)
+        packed[r[on]] = np.where(times[:, :, None] > 0, mean, was).reshape(-1, CLASSES)
+        out.append(packed.reshape(-1, old.shape[1])[: len(old)].astype(np.float32))
     return out
 
 
-def fit(texts: DataFrame, vocab: DataFrame, rounds: int = ROUNDS) -> Model | None:
+def _log_shares(mass: np.ndarray) -> np.ndarray:
+    """Logarithms of the shares in each row; what has no mass keeps next to nothing."""
+    share = mass / np.maximum(mass.sum(axis=1, keepdims=True), 1e-9)
+    return np.log(np.maximum(share, 1e-13))
+
+
+def fit(texts: DataFrame, vocab: DataFrame) -> Model | None:
+    """The model of the texts, given with a hash that deals them into slices, ``part``."""
     spark = texts.sparkSession
     n, v = (int(x or 0) for x in vocab.agg(F.sum("c"), F.count(F.lit(1))).first())
     if not n:
         return None
-    h, count = _head(vocab)
+    h, ending, count = _head(vocab)
     index = words.SortedHashes(h) if len(h) else None
     by_ending = vocab.groupBy("ending").agg(
         F.sum("c").alias("n"), F.count(F.lit(1)).alias("v"), F.count_if(F.col("c") == 1).alias("once")
@@ -302,29 +447,44 @@ def fit(texts: DataFrame, vocab: DataFrame, rounds: int = ROUNDS) -> Model | Non
     np.subtract.at(kinds_in, alone["ending"].to_numpy(), 1)
     near = company(texts, spark.sparkContext.broadcast(index)) if index else np.zeros((ENDINGS, ALONE))
     of = 1 + ALONE + clusters(near, words_in, CLUSTERS)
-    mass = np.bincount(of, words_in - DISCOUNT * kinds_in, minlength=CLASSES)
+    total = np.bincount(of, words_in - DISCOUNT * kinds_in, minlength=CLASSES)
+    classes = np.where(np.arange(len(h)) < ALONE, 1 + np.arange(len(h)), of[ending])
+    total[1 : 1 + min(ALONE, len(h))] = count[:ALONE] - DISCOUNT
+    leaf, mass = _leaves(classes, count, total)
     in_tail = n - int(count.sum())
     once = int(by_ending["once"].sum()) - int((count == 1).sum())
-    weights = np.zeros((ROWS + 1, CLASSES), np.float32)
+    by_group = mass.reshape(CLASSES, GROUPS, GROUPS)
+    weights = [
+        np.zeros((ROWS + 1, CLASSES), np.float32),
+        np.zeros((INNER_ROWS + CLASSES, GROUPS), np.float32),
+        np.zeros((INNER_ROWS + CLASSES * GROUPS, GROUPS), np.float32),
+    ]
+    weights[1][INNER_ROWS:] = _log_shares(by_group.sum(axis=2))
+    weights[2][INNER_ROWS:] = _log_shares(by_group.reshape(-1, GROUPS))
     prior = np.bincount(of, words_in, minlength=CLASSES)
     prior[1 : 1 + min(ALONE, len(count))] = count[:ALONE]
     prior[0] = by_ending["once"].sum()
-    weights[ROWS] = np.log((prior + 0.5) / (prior.sum() + 0.5 * CLASSES))
-    model = Model(n, v, index, count, of, mass, once / in_tail if in_tail else 0.0, weights)
-    for step in range(rounds):
+    weights[0][ROWS] = np.log((prior + 0.5) / (prior.sum() + 0.5 * CLASSES))
+    model = Model(n, v, index, count, of, leaf, mass, once / in_tail if in_tail else 0.0, weights)
+    # A slice grows with the root of the corpus, from 10 MB of text to some hundreds at 100 TB.
+    slices = max(1, round(n / max(SLICE_TOKENS, 32 * math.isqrt(n))))
+    rounds = max(1, slices.bit_length() - 1)
+    for nth in range(rounds):
         shared = spark.sparkContext.broadcast(model)
-        model.weights = train_round(texts, shared, step)
+        mine = texts.filter(F.pmod("part", F.lit(rounds)) == nth)
+        dealt = mine.repartition(-(-slices // rounds), "part").sortWithinPartitions("part")
+        model.weights = train_round(dealt.select("text"), shared)
         shared.unpersist()
     return model
 
 
-def score(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
+def score(docs: DataFrame) -> DataFrame:
     """Every document with its counts, its base score and the model's."""
     spark = docs.sparkSession
     rows = docs.select("doc_id", "text", (remainder_of_id("doc_id", HELD_OUT_OF) == 0).alias("held_out"))
-    texts = rows.filter(~F.col("held_out")).select("text")
+    texts = rows.filter(~F.col("held_out")).select("text", F.xxhash64("doc_id", "text").alias("part"))
     vocab = vocabulary(texts)
-    model = fit(texts, vocab, rounds)
+    model = fit(texts, vocab)
     n, v = (model.n, model.v) if model else (0, 0)
     whole = np.log10(n + 0.1 * (v + 1))
     shared = spark.sparkContext.broadcast(model)
@@ -341,18 +501,12 @@ def score(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
                 place = model.find(t) if model else np.full(len(t.h), -1, np.int64)
                 known = place >= 0
                 if model:
-                    classes = model.classes(t, place)
+                    classes, leaves = model.classes(t, place), model.leaves(place)
                     features = model.features(t, place, classes)
-                    of_class = np.empty(len(t.h), np.float32)
-                    of_unknown = np.empty(len(t.h), np.float32)
-                    for i in range(0, len(t.h), BATCH):
-                        z = _log_softmax(model.logits(features[i : i + BATCH], model.weights))
-                        of_class[i : i + BATCH] = z[np.arange(len(z)), classes[i : i + BATCH]]
-                        of_unknown[i : i + BATCH] = z[:, 0]
-                    of_class, of_unknown = of_class / np.log(10), of_unknown / np.log(10)
-                    # What the class gives to a token seen c times is c - DISCOUNT of its mass.
-                    given = of_class - np.where(
-                        classes > ALONE, np.log10(np.maximum(model.mass[classes], 1e-9)), 0.0
+                    of_leaf, of_unknown = (x / np.log(10) for x in model.log_probabilities(features, classes, leaves))
+                    # What the leaf gives to a token seen c times is c - DISCOUNT of its mass.
+                    given = of_leaf - np.where(
+                        classes > ALONE, np.log10(np.maximum(model.mass[classes, leaves], 1e-9)), 0.0
                     )
                     c = model.count[np.maximum(place, 0)] if len(model.count) else np.ones(len(t.h))
                     inside = np.where(classes > ALONE, np.log10(np.maximum(c - DISCOUNT, 1e-9)), 0.0)
