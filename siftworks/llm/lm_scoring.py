@@ -178,7 +178,8 @@ class Model:
         """Of each token's class and leaf, and of the unknown token, natural logarithms."""
         of_token, of_unknown = np.empty(len(classes)), np.empty(len(classes))
         for a in range(0, len(classes), BLOCK):
-            z = _log_softmax(_logits(_class_rows(features[a : a + BLOCK]), self.weights[0]))
+            rows, bias = _class_rows(features[a : a + BLOCK])
+            z = _log_softmax(_logits(rows, self.weights[0], bias))
             of_token[a : a + BLOCK] = z[np.arange(len(z)), classes[a : a + BLOCK]]
             of_unknown[a : a + BLOCK] = z[:, 0]
         inner = np.flatnonzero(classes > ALONE)
@@ -189,27 +190,35 @@ class Model:
         return of_token, of_unknown
 
 
-def _class_rows(features: np.ndarray) -> np.ndarray:
-    """Rows of the first weight table; the last one is the bias."""
-    rows = np.full((len(features), features.shape[1] + 1), ROWS, np.uint16)
-    rows[:, :-1] = features % np.uint64(ROWS)
-    return rows
+def _class_rows(features: np.ndarray) -> tuple[np.ndarray, int]:
+    """Rows of the first weight table, and the bias row of all tokens."""
+    return (features % np.uint64(ROWS)).astype(np.uint16), ROWS
 
 
 def _inner_rows(features: np.ndarray, classes: np.ndarray, leaves: np.ndarray):
-    """Rows and outcomes in the tables of groups and leaves; a class or group has its own bias."""
-    group, leaf = np.divmod(leaves, GROUPS)
-    for node, y in ((classes, group), (CLASSES + classes * GROUPS + group, leaf)):
-        rows = np.empty((len(features), features.shape[1] + 1), np.uint16)
-        rows[:, :-1] = words.mix64(features + (node.astype(np.uint64) * _K)[:, None]) % np.uint64(INNER_ROWS)
-        rows[:, -1] = INNER_ROWS + (node if node is classes else node - CLASSES)
-        yield rows, y
-
+    """Rows, bias rows and outcomes in the tables of groups and leaves.
 
-def _logits(rows: np.ndarray, weights: np.ndarray) -> np.ndarray:
-    z = weights[rows[:, 0]]
-    for k in range(1, rows.shape[1]):
-        z += weights[rows[:, k]]
+    A class or group has its own bias.  Its features are the token before and the one
+    before that.
+    """
+    group, leaf = np.divmod(leaves, GROUPS)
+    near = features[:, [0, 2]]
+    for node, bias, y in (
+        (classes, classes, group),
+        (CLASSES + classes * GROUPS + group, classes * GROUPS + group, leaf),
+    ):
+        rows = words.mix64(near + (node.astype(np.uint64) * _K)[:, None]) % np.uint64(INNER_ROWS)
+        yield np.column_stack([rows, INNER_ROWS + bias.astype(np.uint64)]).astype(np.uint16), y
+
+
+def _logits(rows: np.ndarray, weights: np.ndarray, bias: int | None = None) -> np.ndarray:
+    at = rows.T.astype(np.intp)
+    z = weights.take(at[0], axis=0)
+    other = np.empty_like(z)
+    for k in range(1, len(at)):
+        z += weights.take(at[k], axis=0, out=other, mode="clip")
+    if bias is not None:
+        z += weights[bias]
     return z
 
 
@@ -229,36 +238,45 @@ def _sums_by_row(z: np.ndarray, rows: np.ndarray, most: int = 32) -> tuple[np.nd
     by_times = np.argsort(-times, kind="stable")
     starts, times = starts[by_times], times[by_times]
     token = order % len(z)
-    sums = z[token[starts]]
+    sums = z.take(token[starts], axis=0)
     often = int(np.searchsorted(-times, -most, "left"))
     for k in range(often):
-        sums[k] = z[token[starts[k] : starts[k] + times[k]]].sum(axis=0)
+        sums[k] = z.take(token[starts[k] : starts[k] + times[k]], axis=0).sum(axis=0)
     for nth in range(1, most):
         to = int(np.searchsorted(-times, -nth, "left"))  # rows that occur more than nth times
         if to <= often:
             break
-        sums[often:to] += z[token[starts[often:to] + nth]]
+        sums[often:to] += z.take(token[starts[often:to] + nth], axis=0)
     return ordered[starts], times, sums
 
 
-def _step(w: np.ndarray, spread: np.ndarray, touched: np.ndarray, rows: np.ndarray, *targets) -> None:
+def _move(w: np.ndarray, spread: np.ndarray, touched: np.ndarray, at, times, step: np.ndarray) -> None:
+    """Steps are smaller in rows that have moved much."""
+    for a in range(0, len(at), BLOCK):
+        on, part = at[a : a + BLOCK], step[a : a + BLOCK]
+        moved = spread[on] + np.einsum("ij,ij->i", part, part) / part.shape[1]
+        spread[on] = moved
+        w[on] += part * (RATE / np.sqrt(moved))[:, None]
+    touched[at] += times
+
+
+def _step(w, spread, touched, rows: np.ndarray, bias: int | None, *targets) -> None:
     """One gradient step towards (outcome, share) for each token; shares need not add up to one."""
     z = np.empty((len(rows), w.shape[1]), np.float32)
+    total = -sum(share for _, share in targets)
+    ones = np.ones(w.shape[1], np.float32)
     for a in range(0, len(rows), BLOCK):
-        part = _logits(rows[a : a + BLOCK], w)
+        part = _logits(rows[a : a + BLOCK], w, bias)
         part -= part.max(axis=1, keepdims=True)
         np.exp(part, out=part)
-        part *= -sum(share[a : a + BLOCK] for _, share in targets)[:, None] / part.sum(axis=1, keepdims=True)
-        z[a : a + BLOCK] = part
+        np.multiply(part, (total[a : a + BLOCK] / (part @ ones))[:, None], out=z[a : a + BLOCK])
     nth = np.arange(len(z))
     for outcome, share in targets:
         z[nth, outcome] += share
     at, times, step = _sums_by_row(z, rows)
-    # Steps are smaller in rows that have moved much.
-    spread[at] += np.einsum("ij,ij->i", step, step) / step.shape[1]
-    step *= (RATE / np.sqrt(spread[at]))[:, None]
-    w[at] += step
-    touched[at] += times
+    _move(w, spread, touched, at.astype(np.intp), times, step)
+    if bias is not None:
+        _move(w, spread, touched, np.array([bias]), len(z), z.sum(axis=0, keepdims=True))
 
 
 def company(texts: DataFrame, head) -> np.ndarray:
@@ -378,12 +396,12 @@ def train_round(texts: DataFrame, shared) -> list[np.ndarray]:
                 unknown[t.h == END] = 0
                 for a in range(0, len(t.h), BATCH):
                     f, y, u = features[a : a + BATCH], classes[a : a + BATCH], unknown[a : a + BATCH]
-                    _step(w[0], spread[0], touched[0], _class_rows(f), (y, 1 - u), (np.zeros_like(y), u))
+                    _step(w[0], spread[0], touched[0], *_class_rows(f), (y, 1 - u), (np.zeros_like(y), u))
                     on = np.flatnonzero((y > ALONE) & (u < 1))
                     if len(on):
                         inner = _inner_rows(f[on], y[on], leaves[a : a + BATCH][on])
                         for k, (rows, outcome) in enumerate(inner, 1):
-                            _step(w[k], spread[k], touched[k], rows, (outcome, 1 - u[on]))
+                            _step(w[k], spread[k], touched[k], rows, None, (outcome, 1 - u[on]))
         for k, (table, times) in enumerate(zip(w, touched, strict=True)):
             sums = _packed(table * times[:, None].astype(np.float32))
             per = CLASSES // table.shape[1]
@@ -403,24 +421,23 @@ def train_round(texts: DataFrame, shared) -> list[np.ndarray]:
         texts.mapInArrow(learn, "k int, r int, n array<long>, w array<float>")
         .groupBy("k", "r")
         .agg(
-            *[F.sum(F.get("n", F.lit(i))).cast("double").alias(f"n{i}") for i in range(per_row)],
-            *[F.sum(F.get("w", F.lit(i))).alias(f"w{i}") for i in range(CLASSES)],
+            F.array(*[F.sum(F.get("n", F.lit(i))) for i in range(per_row)]).alias("n"),
+            F.array(*[F.sum(F.get("w", F.lit(i))).cast("float") for i in range(CLASSES)]).alias("w"),
         )
     )
-    found = sums.toArrow()  # at most as many rows as the packed tables have
-    k, r = (found.column(i).to_numpy() for i in range(2))
-    n = np.stack([found.column(2 + i).to_numpy() for i in range(per_row)], axis=1)
-    total = np.stack([found.column(2 + per_row + i).to_numpy() for i in range(CLASSES)], axis=1)
-    out = []
-    for layer, old in enumerate(shared.value.weights):
-        on = k == layer
-        packed = _packed(old)
-        times = n[on, :1] if layer == 0 else n[on]
-        mean = total[on].reshape(len(times), times.shape[1], old.shape[1]) / np.maximum(times, 1)[:, :, None]
-        was = packed[r[on]].reshape(mean.shape)
-        packed[r[on]] = np.where(times[:, :, None] > 0, mean, was).reshape(-1, CLASSES)
-        out.append(packed.reshape(-1, old.shape[1])[: len(old)].astype(np.float32))
-    return out
+    packed = [_packed(old) for old in shared.value.weights]
+    for batch in sums.toArrow().to_batches():  # at most as many rows as the packed tables have
+        k, r = (batch.column(i).to_numpy() for i in range(2))
+        n, w = (batch.column(i).flatten().to_numpy().reshape(len(k), -1) for i in (2, 3))
+        for layer, table in enumerate(packed):
+            on = k == layer
+            times = n[on, : 1 if layer == 0 else per_row, None]
+            mean = w[on].reshape(*times.shape[:2], CLASSES // times.shape[1]) / np.maximum(times, 1)
+            was = table[r[on]].reshape(mean.shape)
+            table[r[on]] = np.where(times > 0, mean, was).reshape(-1, CLASSES)
+    return [
+        table.reshape(-1, old.shape[1])[: len(old)] for table, old in zip(packed, shared.value.weights, strict=True)
+    ]
 
 
 def _log_shares(mass: np.ndarray) -> np.ndarray:
@@ -474,7 +491,7 @@ def fit(texts: DataFrame, vocab: DataFrame) -> Model | None:
         mine = texts.filter(F.pmod("part", F.lit(rounds)) == nth)
         dealt = mine.repartition(-(-slices // rounds), "part").sortWithinPartitions("part")
         model.weights = train_round(dealt.select("text"), shared)
-        shared.unpersist()
+        shared.destroy()
     return model
 
 
