@@ -3,11 +3,16 @@
 Every e-mail address, IP address, card and phone number found is a protected entity.
 The corpus tells how much a term of its documents reveals: with document frequencies as
 probabilities, PMI(term; entity) / IC(entity) is the share of the entity's information
-that the term discloses, 1 if it occurs nowhere else.  Terms from ``GENERALISE`` on are
-replaced by a general word where the entity occurs, from ``REMOVE`` on they go.  A pair
-counts only if it was seen in ``MIN_CONTEXTS`` different surroundings: copies of one
-passage say nothing about a term.  Terms are the distinct words of a whole text, apart
-from its e-mail addresses; only what counts as a surrounding is cut, at ``REACH``.
+that the term discloses, 1 if it occurs nowhere else and often.  P(entity | term) is
+estimated with ``PRIOR`` documents' worth of P(entity) beside the ones seen, so a term
+seen once counts for less than one seen ten times, yet a name that stands beside an address
+in a single document is judged like all others.  Terms from ``GENERALISE`` on are replaced
+by a general word where the entity occurs, from ``REMOVE`` on they go.  Terms are the
+distinct words of a whole text, apart from its e-mail addresses: letters, digits and
+underscores that begin with a letter or underscore, two at least.
+
+Entities that occur in the same documents disclose and are disclosed alike, so they are
+counted as one class: a page of very many addresses is one class, not one per address.
 
 Built-in expressions only.  Texts are scanned once; a table of the findings, with text
 only where something was found, carries the rest.
@@ -27,10 +32,10 @@ from siftworks.llm.frames import stored
 
 GENERALISE = 0.85
 REMOVE = 0.95
-MIN_CONTEXTS = 3
-# Code points to each side of an entity that make its surroundings.
-REACH = 60
-TERM = r"\p{L}{3,}"
+# Documents that P(entity) is worth in the estimate of P(entity | term).
+PRIOR = 0.5
+_INNER = r"\p{L}\p{M}\p{N}_"
+TERM = rf"(?<![{_INNER}])[\p{{L}}_][{_INNER}]++"
 TERM_KIND = "term"
 
 # The matches are those of the plain patterns of the contract.  Possessive loops, and
@@ -134,43 +139,32 @@ def _words(text: Column) -> Column:
     return F.array_distinct(F.regexp_extract_all(F.lower(bare), F.lit(TERM), F.lit(0)))
 
 
-def _context(text: Column, start: Column, end: Column) -> Column:
-    """Hash of the whole words around a match, whatever else was matched among them; the
-    cut ones at the far ends do not count."""
-    left = F.substring(text, F.greatest(start - REACH, F.lit(0)) + 1, F.least(start, F.lit(REACH)))
-    right = F.substring(text, end + 1, F.lit(REACH))
-    left = F.when(start >= REACH, F.regexp_replace(left, r"\A[^\x20\x09-\x0D]*", "")).otherwise(left)
-    right = F.when(F.length(right) >= REACH, F.regexp_replace(right, r"[^\x20\x09-\x0D]*\z", "")).otherwise(right)
-    return F.xxhash64(F.array_sort(_words(F.concat(left, F.lit(" "), right))))
-
-
 def _checked(kind: str) -> Column:
     return F.filter(f"raw_{kind}", lambda m: _valid(kind, m["value"]))
 
 
 def _spans(matches: str, kind: str) -> Column:
+    """Spans with the share that a term discloses, which patterns do not have."""
     rank = KINDS.index(kind)
     return F.transform(
         matches,
         lambda m: F.struct(
-            m["start"].alias("start"), F.lit(rank).alias("rank"), m["end"].alias("end"), F.lit(kind).alias("kind")
+            m["start"].alias("start"),
+            F.lit(rank).alias("rank"),
+            m["end"].alias("end"),
+            F.lit(kind).alias("kind"),
+            F.lit(None).cast("double").alias("ratio"),
         ),
     )
 
 
-def _mentions(kind: str) -> Column:
-    return F.transform(
-        f"is_{kind}",
-        lambda m: F.struct(
-            _entity(kind, m["value"]).alias("entity"),
-            _context(F.col("text"), m["start"], m["end"]).alias("context"),
-        ),
-    )
+def _entities(kind: str) -> Column:
+    return F.transform(f"is_{kind}", lambda m: _entity(kind, m["value"]))
 
 
 def scan(docs: DataFrame) -> DataFrame:
-    """(doc_id, base, mentions, text): spans of the patterns, entities with their
-    surroundings, and the text of the rows that have any."""
+    """(doc_id, base, entities, text): spans of the patterns, the distinct entities, and
+    the text of the rows that have any."""
     content = F.coalesce(F.col("text"), F.lit(""))
     rows = docs.select("doc_id", content.alias("text"))
     for kind, pattern in PATTERNS.items():
@@ -180,108 +174,130 @@ def scan(docs: DataFrame) -> DataFrame:
     for kind in PATTERNS:
         rows = rows.withColumn(f"is_{kind}", _checked(kind))
     spans = [_spans(f"is_{kind}", kind) for kind in PATTERNS]
-    mentions = [_mentions(kind) for kind in PATTERNS]
+    entities = [_entities(kind) for kind in PATTERNS]
     return (
         rows.select(
             "doc_id",
             "text",
             F.array_sort(F.concat(*spans)).alias("base"),
-            F.array_distinct(F.concat(*mentions)).alias("mentions"),
+            F.array_distinct(F.concat(*entities)).alias("entities"),
         )
-        .select("doc_id", "base", "mentions", F.when(F.size("base") > 0, F.col("text")).alias("text"))
+        .select("doc_id", "base", "entities", F.when(F.size("base") > 0, F.col("text")).alias("text"))
     )
 
 
-def disclosing_terms(docs: DataFrame, found: DataFrame) -> DataFrame:
-    """(entity, term, ratio) of the terms that reveal an entity.
+# A row of the scan is known by its file and its place in it, the same on every read.
+ROW = ("file", "place")
 
-    A ratio of ``GENERALISE`` bounds a term's document frequency by the entity's, as a pair
-    is in no more documents than its entity.  Only words that pass this for some entity of
-    their row, and entities of enough surroundings, are paired; pairs are counted where
-    they arise before they are shuffled.
+
+def _rows(found: DataFrame) -> DataFrame:
+    return found.withColumns({"file": F.xxhash64("_metadata.file_name"), "place": F.col("_metadata.row_index")})
+
+
+def entity_classes(found: DataFrame) -> DataFrame:
+    """(entity, class, df_e): entities of the same rows have one class.
+
+    The class is the number of rows and two sums of parts of a 64-bit hash over them.
     """
-    n = max(docs.count(), 1)
-    rows = found.withColumns({"file": F.xxhash64("_metadata.file_name"), "place": F.col("_metadata.row_index")})
-    key = ["file", "place"]
-    seen = rows.select(*key, F.explode("mentions").alias("m")).select(*key, "m.entity", "m.context")
-    # More surroundings in one row than are asked for tell no more.
-    some = F.slice(F.array_sort(F.collect_set("context")), 1, MIN_CONTEXTS)
-    of_row = seen.groupBy("entity", *key).agg(some.alias("contexts"))
-    entities = (
-        seen.groupBy("entity")
-        .agg(F.count_distinct(*key).alias("df_e"), F.count_distinct("context").alias("contexts"))
-        .filter(F.col("contexts") >= MIN_CONTEXTS)
-        .drop("contexts")
+    h = F.xxhash64(*ROW)
+    sums = [F.sum(F.shiftrightunsigned(h, 32)), F.sum(h.bitwiseAND(F.lit(0xFFFFFFFF)))]
+    n = F.count(F.lit(1))
+    return (
+        _rows(found)
+        .select(*ROW, F.explode("entities").alias("entity"))
+        .groupBy("entity")
+        .agg(F.concat_ws(":", n, *sums).alias("class"), n.alias("df_e"))
     )
-    entities = stored(entities, "pii-entities")
-    at_most = F.pow(F.col("df_e"), F.lit(GENERALISE)) * F.lit(float(n) ** (1 - GENERALISE)) * (1 + 1e-9)
-    mentions = stored(of_row.join(entities, "entity").withColumn("at_most", at_most), "pii-mentions")
+
+
+def class_mentions(found: DataFrame, classes: DataFrame) -> DataFrame:
+    """(file, place, class, df_e), one row for each row and class of its entities."""
+    seen = _rows(found).select(*ROW, F.explode("entities").alias("entity"))
+    return seen.join(classes, "entity").select(*ROW, "class", "df_e").distinct()
+
+
+def terms_of_classes(docs: DataFrame, found: DataFrame, mentions: DataFrame) -> DataFrame:
+    """(class, term, ratio) of the terms that reveal the entities of a class.
+
+    A ratio of ``GENERALISE`` bounds a term's document frequency by the entity's, as a pair
+    is in no more documents than its entity.  Only words that pass this for some class of
+    their row are paired; pairs are combined before they are shuffled.
+    """
+    n = float(max(docs.count(), 1))
+    p = F.col("df_e") / F.lit(n)
+    at_most = ((F.col("df_e") + PRIOR * p) / F.pow(p, F.lit(1 - GENERALISE)) - PRIOR) * (1 + 1e-9)
+    bounded = mentions.withColumn("at_most", at_most)
     # Counted before the join: a frequent word is one row per task.
     hashes = F.transform(_words(F.coalesce("text", F.lit(""))), lambda w: F.xxhash64(w))
     df = docs.select(F.explode(hashes).alias("h")).groupBy("h").agg(F.count(F.lit(1)).alias("df_t"))
-    most = mentions.agg(F.max("at_most")).first()[0] or 0.0
+    most = bounded.agg(F.max("at_most")).first()[0] or 0.0
     df = df.filter(F.col("df_t") <= most)
     terms = (
-        rows.join(mentions.select(*key).distinct(), key, "left_semi")
-        .select(*key, F.explode(_words(F.col("text"))).alias("term"))
+        _rows(found)
+        .filter(F.size("entities") > 0)
+        .select(*ROW, F.explode(_words(F.col("text"))).alias("term"))
         .withColumn("h", F.xxhash64("term"))
         .join(df, "h")
-        .groupBy(*key)
+        .groupBy(*ROW)
         .agg(F.collect_list(F.struct("term", "df_t")).alias("terms"))
     )
     pairs = (
-        mentions.join(terms, key)
-        .select("entity", "df_e", "contexts", F.explode(F.filter("terms", lambda t: t["df_t"] <= F.col("at_most"))).alias("t"))
-        # A row of the first context of each document counts it.
-        .select("entity", "df_e", "t.term", "t.df_t", F.posexplode("contexts").alias("nth", "context"))
-        .groupBy("entity", "term", "context")
-        .agg(F.count_if(F.col("nth") == 0).alias("k"), F.any_value("df_e").alias("df_e"), F.any_value("df_t").alias("df_t"))
-        .groupBy("entity", "term")
-        .agg(
-            F.sum("k").alias("df_et"),
-            F.count(F.lit(1)).alias("contexts"),
-            F.any_value("df_e").alias("df_e"),
-            F.any_value("df_t").alias("df_t"),
-        )
-        .filter(F.col("contexts") >= MIN_CONTEXTS)
+        bounded.join(terms, [*ROW])
+        .select("class", "df_e", F.explode(F.filter("terms", lambda t: t["df_t"] <= F.col("at_most"))).alias("t"))
+        .groupBy("class", "t.term")
+        .agg(F.count(F.lit(1)).alias("df_et"), F.any_value("df_e").alias("df_e"), F.any_value("t.df_t").alias("df_t"))
     )
-    information = F.log2(F.lit(float(n)) / F.col("df_e"))
-    pmi = F.log2(F.lit(float(n)) * F.col("df_et") / (F.col("df_e") * F.col("df_t").cast("double")))
+    given = (F.col("df_et") + PRIOR * p) / (F.col("df_t") + PRIOR)
     return (
-        pairs.withColumn("ratio", F.when(information > 0, pmi / information))
+        pairs.withColumn("ratio", F.when(p < 1, F.log2(given / p) / F.log2(1 / p)))
         .filter(F.col("ratio") >= GENERALISE)
-        .select("entity", "term", "ratio")
+        .select("class", "term", "ratio")
     )
 
 
-def all_spans(docs: DataFrame) -> DataFrame:
-    """(doc_id, base, terms, spans, text): the spans of the method added.
+def disclosing_terms(docs: DataFrame, found: DataFrame) -> DataFrame:
+    """(entity, term, ratio) of the terms that reveal an entity; ``found`` is a stored scan."""
+    classes = stored(entity_classes(found), "pii-entities")
+    flagged = terms_of_classes(docs, found, class_mentions(found, classes))
+    return classes.join(flagged, "class").select("entity", "term", "ratio")
 
-    ``terms`` maps each term that is to be hidden in the row to its ratio.
-    """
+
+def all_spans(docs: DataFrame) -> DataFrame:
+    """(doc_id, base, spans, text): the spans of the method added, each term with the
+    greatest share that it discloses of an entity of its row."""
     found = stored(scan(docs), "pii-scan")
-    flagged = disclosing_terms(docs, found)
-    # A row is known by its file and its place in it, the same on every read.
-    rows = found.withColumns({"file": F.xxhash64("_metadata.file_name"), "place": F.col("_metadata.row_index")})
+    classes = stored(entity_classes(found), "pii-entities")
+    mentions = stored(class_mentions(found, classes), "pii-mentions")
     of_row = (
-        rows.select("file", "place", F.explode("mentions").alias("m"))
-        .select("file", "place", "m.entity")
-        .join(flagged, "entity")
-        .groupBy("file", "place", "term")
+        mentions.join(terms_of_classes(docs, found, mentions), "class")
+        .groupBy(*ROW, "term")
         .agg(F.max("ratio").alias("ratio"))
-        .groupBy("file", "place")
-        .agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("term", "ratio")))).alias("terms"))
-    )
-    joined = rows.drop("mentions").join(of_row, ["file", "place"], "left")
-    pattern = F.concat(
-        F.lit(r"(?iu)(?<!\p{L})(?:"), F.array_join(F.map_keys("terms"), "|"), F.lit(r")(?!\p{L})")
     )
-    hidden = joined.withColumn("pattern", F.coalesce(pattern, F.lit(" ")))
-    return (
-        _with_matches(hidden, "located", F.col("pattern"), F.col("terms").isNotNull())
-        .withColumn("spans", F.array_sort(F.concat("base", _spans("located", TERM_KIND))))
-        .select("doc_id", "base", "terms", "spans", "text")
+    of_row = stored(of_row, "pii-terms")
+    # Words are looked up by a join: time follows the words, however many are hidden.
+    rows = _rows(found)
+    texts = rows.select(*ROW, "text").join(of_row.select(*ROW).distinct(), [*ROW], "left_semi")
+    located = (
+        _with_matches(texts, "located", F.lit(TERM), F.lit(True))
+        # Outer: for an inner one the optimiser adds a filter that locates all over again.
+        .select(*ROW, F.explode_outer("located").alias("m"))
+        .select(*ROW, F.lower("m.value").alias("term"), "m.start", "m.end")
+        .join(of_row, [*ROW, "term"])
+        .select(
+            *ROW,
+            F.struct(
+                "start",
+                F.lit(KINDS.index(TERM_KIND)).alias("rank"),
+                "end",
+                F.lit(TERM_KIND).alias("kind"),
+                "ratio",
+            ).alias("span"),
+        )
+        .groupBy(*ROW)
+        .agg(F.collect_list("span").alias("located"))
     )
+    spans = F.when(F.col("located").isNull(), F.col("base")).otherwise(F.array_sort(F.concat("base", "located")))
+    return rows.join(located, [*ROW], "left").select("doc_id", "base", spans.alias("spans"), "text")
 
 
 def _written(spans: Column) -> Column:
@@ -298,8 +314,7 @@ def sanitised(docs: DataFrame) -> DataFrame:
     text = F.col("text")
 
     def tag(s: Column) -> Column:
-        value = F.lower(F.substring(text, s["start"] + 1, s["end"] - s["start"]))
-        out = F.when(F.col("terms")[value] >= REMOVE, F.lit("")).otherwise(F.lit("[TERM]"))
+        out = F.when(s["ratio"] >= REMOVE, F.lit("")).otherwise(F.lit("[TERM]"))
         for kind, name in TAGS.items():
             out = F.when(s["kind"] == kind, F.lit(name)).otherwise(out)
         return out

@@ -6,6 +6,7 @@ import zlib
 
 import numpy as np
 import pytest
+import regex
 from pyspark.sql import functions as F
 
 from siftworks.llm import language_id, lm_scoring, sanitise, words
@@ -266,15 +267,16 @@ def test_terms_that_give_an_address_away(spark):
     fill = "alpha beta gamma delta epsilon zeta theta iota kappa lambda".split()
     told = [(i, f"{fill[i % 10]} the Quimby wrote from q@x.org on {fill[(i * 3 + 1) % 10]} the day", "en", "a") for i in range(10)]
     copied = [(50 + i, "the Zorblatt sent z@x.org to the desk", "en", "a") for i in range(10)]
-    clean = [(100 + i, f"the {fill[i % 10]} wrote from on sent day desk {fill[i * 7 % 10]}", "en", "a") for i in range(400)]
+    clean = [(100 + i, f"the {fill[i % 10]} wrote from on sent to day desk {fill[i * 7 % 10]}", "en", "a") for i in range(400)]
     docs = documents(spark, told + copied + clean + [(900, "a Quimby without address", "en", "a")])
     out = {r["doc_id"]: r["spans"] for r in sanitise.sanitise_digest(docs).collect()}
     for i, text, *_ in told:
         at = text.index("Quimby")
         assert f"term:{at}:{at + 6}" in out[i].split(",")
         assert out[i].count("term") == 1
-    # One passage copied often says nothing; rows without an entity stay as they are.
-    assert all(out[50 + i] == "email:18:25" for i in range(10))
+    # A passage that names a person beside an address gives the person away in each copy;
+    # rows without an entity stay as they are.
+    assert all(out[50 + i] == "term:4:12,email:18:25" for i in range(10))
     assert all(out[i] == "" for i in [900, *range(100, 500)])
     hidden = {r["doc_id"]: r["text"] for r in sanitise.sanitised(docs).collect()}
     assert set(hidden) == {*range(10), *range(50, 60)}
@@ -294,6 +296,58 @@ def test_terms_far_from_a_value_or_behind_a_number(spark):
     assert all(out[100 + i] == "" for i in range(400))
 
 
+def test_names_that_stand_beside_an_address_once(spark):
+    """Each document has its own person, handle and address, and common words."""
+    rows = [(i, f"the xq{chr(97 + i % 26)}{chr(97 + i // 26)}n or r2d_{i} wrote from p{i}@x.org on the day", "en", "a") for i in range(40)]
+    out = {r["doc_id"]: r["spans"] for r in sanitise.sanitise_digest(documents(spark, rows)).collect()}
+    for i, text, *_ in rows:
+        handle, address = f"r2d_{i}", f"p{i}@x.org"
+        at = text.index(address)
+        assert out[i] == f"term:4:9,term:13:{13 + len(handle)},email:{at}:{at + len(address)}"
+    assert "xqaan" not in sanitise.sanitised(documents(spark, rows)).filter("doc_id = 0").first()["text"]
+
+
+def brute_terms(docs):
+    """Terms by entity with their ratios, from dictionaries."""
+    word = regex.compile(r"(?<![\p{L}\p{M}\p{N}_])[\p{L}_][\p{L}\p{M}\p{N}_]+")
+    of_entity, of_term = collections.defaultdict(set), collections.defaultdict(set)
+    for row, (_, text, *_) in enumerate(docs):
+        text = text or ""
+        for start, _, end, kind in base_spans(text):
+            value = text[start:end]
+            same = value.lower() if kind == "email" else value if kind == "ip" else re.sub("[^0-9]", "", value)
+            of_entity[f"{kind}:{same}"].add(row)
+        for term in word.findall(re.sub(PLAIN["email"], " ", text).lower()):
+            of_term[term].add(row)
+    n, out = len(docs), {}
+    for entity, rows in of_entity.items():
+        p = len(rows) / n
+        near = {t for t, places in of_term.items() if places & rows}
+        for term in near if p < 1 else ():
+            given = (len(of_term[term] & rows) + 0.5 * p) / (len(of_term[term]) + 0.5)
+            ratio = math.log(given / p) / math.log(1 / p)
+            if ratio >= sanitise.GENERALISE:
+                out[entity, term] = ratio
+    return out
+
+
+@pytest.mark.parametrize("which", ["made", "given"])
+def test_disclosed_shares_by_brute_force(spark, which):
+    fill = "alpha beta gamma delta of epsilon zeta theta iota no kappa lambda".split()
+    docs = [(i, f"{fill[i % 12]} Al{i % 50} q{i % 9}@x.org {fill[i * 5 % 7]} 10.0.0.{i % 30} b{i}", "en", "a") for i in range(300)]
+    docs += [(i, f"{fill[i % 11]} {fill[i % 5]} Al{i % 70}", "en", "a") for i in range(500)] + docs[:20] + [(None, None, None, None)]
+    # One page with very many addresses, some of them known elsewhere.
+    docs += [(7, " ".join(f"n{k} q{k}@x.org" for k in range(300)), "en", "a")]
+    if which == "given":
+        docs = [(r["doc_id"], r["text"], r["lang"], r["source"]) for r in given(spark).collect()]
+    frame = documents(spark, docs)
+    found = sanitise.stored(sanitise.scan(frame), "test-scan")
+    got = {(r["entity"], r["term"]): r["ratio"] for r in sanitise.disclosing_terms(frame, found).collect()}
+    want = brute_terms(docs)
+    assert len(want) > 10 and set(got) == set(want)
+    assert all(got[k] == pytest.approx(want[k], rel=1e-9) for k in want)
+
+
 def test_a_table_of_numbers_takes_time_in_proportion(spark):
     """A document of 100,000 numbers, each of which the card pattern matches."""
     numbers = " ".join(str(100 + k % 900) for k in range(100_000))
