@@ -27,6 +27,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from siftworks.llm.frames import stored
 
@@ -274,14 +275,20 @@ def all_spans(docs: DataFrame) -> DataFrame:
         .agg(F.max("ratio").alias("ratio"))
     )
     of_row = stored(of_row, "pii-terms")
-    # Words are looked up by a join: time follows the words, however many are hidden.
+    # Words are looked up by a join, and their places are running sums of lengths: time
+    # follows the words, however many are hidden.
     rows = _rows(found)
     texts = rows.select(*ROW, "text").join(of_row.select(*ROW).distinct(), [*ROW], "left_semi")
+    pieces = F.arrays_zip(
+        F.regexp_extract_all("text", F.lit(TERM), F.lit(0)).alias("m"), F.split("text", F.lit(TERM), -1).alias("gap")
+    )
+    so_far = Window.partitionBy(*ROW).orderBy("nth").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    length = F.coalesce(F.length("value"), F.lit(0))
     located = (
-        _with_matches(texts, "located", F.lit(TERM), F.lit(True))
-        # Outer: for an inner one the optimiser adds a filter that locates all over again.
-        .select(*ROW, F.explode_outer("located").alias("m"))
-        .select(*ROW, F.lower("m.value").alias("term"), "m.start", "m.end")
+        texts.select(*ROW, F.posexplode_outer(pieces).alias("nth", "piece"))
+        .select(*ROW, "nth", F.col("piece.m").alias("value"), F.length("piece.gap").alias("gap"))
+        .withColumn("end", F.sum(F.col("gap") + length).over(so_far).cast("int"))
+        .select(*ROW, F.lower("value").alias("term"), (F.col("end") - length).alias("start"), "end")
         .join(of_row, [*ROW, "term"])
         .select(
             *ROW,
