@@ -21,9 +21,11 @@ from siftworks.operators import (
     kpi,
     lookup,
     normalise,
+    numbering,
     profile,
     reconcile,
     report,
+    rollup,
     rules,
     spelling,
 )
@@ -572,6 +574,37 @@ def raw_peek(spark: SparkSession, sf_dir: str) -> DataFrame:
     return profile.peek(_raw(spark, sf_dir), feed.FEED_ORDER).select(*a.RAW_COLUMNS)
 
 
+# --- Rollups by period ------------------------------------------------------
+
+
+def _rolled_up(spark: SparkSession, made: DataFrame, purpose: str) -> DataFrame:
+    folder = new_folder(spark, purpose)
+    rollup.store(made, folder)
+    return rollup.stored(spark, folder, made)
+
+
+@query
+def stay_quantiles_by_month(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exact quantiles of stays per month and triage code, from stored days."""
+    day = F.date_format("arrival_time", "yyyy-MM-dd")
+    days = rollup.value_counts(_clean(spark, sf_dir), day, kpi.stay_minutes(), "triage_category")
+    month = F.substring(rollup.PERIOD, 1, 7).alias("month")
+    found = rollup.quantiles(
+        _rolled_up(spark, days, "stays-by-day"), [0.5, 0.9], month, "triage_category"
+    )
+    at = [F.round(F.col("quantiles")[i], 2).alias(name) for i, name in enumerate(["median", "p90"])]
+    return found.select("month", "triage_category", "n", *at)
+
+
+@query
+def customers_by_year(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct customers with orders per year, from the stored bits of months."""
+    month = F.date_format("o_orderdate", "yyyy-MM")
+    months = rollup.key_bits(_table(spark, sf_dir, "orders"), month, F.col("o_custkey"))
+    year = F.substring(rollup.PERIOD, 1, 4).alias("year")
+    return rollup.distinct_keys(_rolled_up(spark, months, "customers-by-month"), year)
+
+
 # --- Deduplication ----------------------------------------------------------
 
 
@@ -762,6 +795,25 @@ def raw_row_number(spark: SparkSession, sf_dir: str) -> DataFrame:
     return numbered.select("raw_row_number", a.KEY, feed.ROW_ID)
 
 
+@query
+def events_numbered_by_time(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events = _table(spark, sf_dir, "events").select("event_id", "ts")
+    folder = new_folder(spark, "events-by-time")
+    return numbering.number_in_order(events, ["ts", "event_id"], "row_number", folder)
+
+
+@query
+def orders_numbered_by_priority(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """By a text of few values, the last first: each value spans several ranges."""
+    orders = _table(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority", "o_orderdate")
+    return numbering.number_in_order(
+        orders,
+        [F.desc("o_orderpriority"), "o_orderdate", "o_orderkey"],
+        "row_number",
+        new_folder(spark, "orders-by-priority"),
+    ).drop("o_orderdate")
+
+
 @query
 def fault_allocation(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows by how many structural faults they carry: at most one, but for the
@@ -885,7 +937,7 @@ def malformed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     through the full job: outcome and reasons per row, malformed lines whole."""
     folder = new_folder(spark, "malformed_lines")
     fields = F.concat_ws(",", *[F.coalesce(F.col(c), F.lit("")) for c in a.RAW_COLUMNS])
-    raw = _raw(spark, sf_dir).filter(F.col("copy") == 0)
+    raw = _raw(spark, sf_dir)
     line = (
         F.when(F.col("_mod_97").isin(50, 51), F.concat(fields, F.lit(",one more")))
         .when(F.col("_mod_97") == 52, F.regexp_replace(fields, ",[^,]*,[^,]*$", ""))

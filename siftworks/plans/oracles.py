@@ -489,6 +489,21 @@ def all_oracles() -> dict[str, str]:
         "scan_answer_key": f"""WITH {KEYED} SELECT
             cast(raw_row_number AS varchar) AS raw_row_number, attendance_id, "column",
             error_type, expected_action FROM entries""",
+        "stay_quantiles_by_month": f"""WITH {JUDGED}
+            SELECT strftime(arrival_time, '%Y-%m') AS month, triage_category, count(*) AS n,
+              round(quantile_cont(los_minutes, 0.5), 2) AS median,
+              round(quantile_cont(los_minutes, 0.9), 2) AS p90
+            FROM stays WHERE los_minutes IS NOT NULL GROUP BY 1, 2""",
+        "customers_by_year": """SELECT strftime(o_orderdate, '%Y') AS year,
+              count(DISTINCT o_custkey) AS distinct_keys
+            FROM orders WHERE o_custkey IS NOT NULL GROUP BY 1""",
+        "events_numbered_by_time": """SELECT event_id, ts,
+            row_number() OVER (ORDER BY ts NULLS FIRST, event_id NULLS FIRST) AS row_number
+            FROM events""",
+        "orders_numbered_by_priority": """SELECT o_orderkey, o_orderpriority,
+            row_number() OVER (ORDER BY o_orderpriority DESC NULLS LAST,
+              o_orderdate NULLS FIRST, o_orderkey NULLS FIRST) AS row_number
+            FROM orders""",
         "misspelt_segments": """WITH v AS (
               SELECT DISTINCT CASE c_custkey % 3
                 WHEN 0 THEN c_mktsegment[1:pos - 1] || c_mktsegment[pos + 1:]
