@@ -106,7 +106,8 @@ def neighbours(
     Both sides are taken as distinct texts; NULL is in no pair.  With ``fold_case`` texts
     are compared in lower case and without spaces at either end, and returned as they are.
     Common deletions (those of very short texts) are hot keys of a plain join, which Spark
-    splits at run time.
+    splits at run time.  The join is merged: a text has dozens of hashes, which Spark's
+    estimate of a side does not know of, so it would broadcast sides far too large for that.
     """
     form = (lambda c: F.lower(F.trim(c))) if fold_case else (lambda c: c)
     left = (
@@ -119,7 +120,7 @@ def neighbours(
     held = right.select("known", "_k", F.explode(_keys(F.col("_k"), within, False)).alias("_h"))
     distance = F.levenshtein("_v", "_k", within)
     return (
-        asked.join(held, "_h")
+        asked.join(held.hint("merge"), "_h")
         .filter(F.abs(F.length("_v") - F.length("_k")) <= within)
         .withColumn("distance", distance)
         .filter(F.col("distance") >= 0)

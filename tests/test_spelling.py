@@ -5,6 +5,7 @@ import random
 from hypothesis import given as each
 from hypothesis import settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from siftworks.operators import spelling
 
@@ -64,6 +65,15 @@ def test_characters_beyond_the_basic_plane(spark):
     assert found(spark, values, known, 1) == brute(values, known, 1)
 
 
+def test_neither_side_is_broadcast(spark):
+    """A side looks as small as its texts, while its hashes are many times that."""
+    names = spark.range(20_000).select(F.format_string("Customer#%09d", "id").alias("k"))
+    values = names.select(F.expr("substr(k, 2)").alias("v"))
+    pairs = spelling.neighbours(values, "v", names, "k", within=1, fold_case=False)
+    assert pairs.filter("distance = 1 and known = concat('C', value)").count() == pairs.count() == 20_000
+    assert "Broadcast" not in pairs._jdf.queryExecution().executedPlan().toString()
+
+
 @settings(max_examples=5, deadline=None)
 @each(st.lists(st.text(alphabet="ab", max_size=6), min_size=1, max_size=8))
 def test_texts_of_two_letters(spark, texts):
