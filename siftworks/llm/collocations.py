@@ -5,8 +5,10 @@ pass then counts both these and their negative border: all phrases that were not
 but whose first and last words but one (the two phrases that are one word shorter) were.
 All single words are counted, as nothing is shorter.  A border phrase that turns out to be
 frequent is a failure of the sample: phrases that contain it may have been missed.  Further
-full passes count the failures and what they open, until there is none.  The result is exact
-whatever the sample said; the sample only decides how many passes it takes.
+full passes count the failures and what they open, until there is none.  Failures that are
+rare in the texts take one pass more: it takes all that they open for proposed, at every
+length.  Other failures take a pass for each length.  The result is exact whatever the sample
+said; the sample only decides how many passes it takes.
 
 Proposed phrases are counted by language and text.  Border phrases, which are many and
 nearly all rare, are counted by a 64-bit hash: two that share one can only look too
@@ -52,6 +54,9 @@ _FILTER_PARTS = 16
 ROWS = 2048
 PIECE = 1 << 20
 HELD = 1 << 17
+PHRASE_BYTES = 1 << 18
+# Failures are rare in the texts if so many times their occurrences are not more than the words.
+RARE = 16
 
 # A border phrase has no language, the number of words of a language has no phrase.
 COUNTED = "h long, lang string, phrase string, part long"
@@ -107,12 +112,13 @@ def _sampled(buffer: np.ndarray, sample: int, rng: np.random.Generator) -> None:
         buffer[at * STRETCH : min((at + 1) * STRETCH, size)] = ord(".")
 
 
-def _opened(word, lang, follows, table, before, tested) -> Iterator[tuple]:
+def _opened(word, lang, follows, table, before, tested, ahead=False) -> Iterator[tuple]:
     """Per size: starts and hashes of the phrases that are opened (both shorter phrases are in
     the table), whether they are in the table, and whether they were counted already.
 
     Without a table all phrases are opened and none is in it; sizes that the table does not
     tell about count as in it once they are opened.  ``before`` is the table of the pass before.
+    With ``ahead`` all that it had not opened counts as in the table once it is opened.
     """
     size = len(word)
     run, inside, inside_before = np.ones(size, bool), None, None
@@ -138,6 +144,9 @@ def _opened(word, lang, follows, table, before, tested) -> Iterator[tuple]:
         inside = np.zeros(n, bool)
         inside[at] = here
         was_open = opened_before[at]
+        if ahead:
+            here = here | ~was_open
+            inside[at] = here
         was_in = was_open.copy()
         if before is not None:
             was_in[was_open] = _within(before, h[was_open])
@@ -146,25 +155,51 @@ def _opened(word, lang, follows, table, before, tested) -> Iterator[tuple]:
         yield m, at, h, here, was_open, was_in
 
 
+def _phrases(buffer, start, length, at, m: int) -> Iterator[pa.Array]:
+    """The texts of the phrases of ``m`` words that begin at the given words, a space between
+    words, whatever blanks are there; in arrays of about ``PHRASE_BYTES``."""
+    words = at[:, None] + np.arange(m)
+    sizes = length[words] + 1
+    sizes[:, -1] -= 1
+    offsets = np.concatenate(([0], np.cumsum(sizes.sum(axis=1))))
+    for a, b in pieces(offsets, PHRASE_BYTES):
+        if b == a + 1:  # may be a phrase of any length
+            said = b" ".join([buffer[start[i] : start[i] + length[i]].tobytes() for i in words[a].tolist()])
+            yield pa.array([said], pa.large_binary())
+            continue
+        size = sizes[a:b].ravel()
+        ends = np.cumsum(size)
+        data = buffer[np.repeat(start[words[a:b].ravel()] - (ends - size), size) + np.arange(ends[-1])]
+        data[ends.reshape(-1, m)[:, :-1].ravel() - 1] = ord(" ")
+        bounds = pa.py_buffer(offsets[a : b + 1] - offsets[a])
+        yield pa.Array.from_buffers(pa.large_binary(), b - a, [None, bounds, pa.py_buffer(data)])
+
+
 class _Combined:
-    """Counts of equal rows, added up whenever there are many."""
+    """Counts of rows that are equal in their first columns, added up whenever there are many;
+    other columns come from one of the rows."""
 
-    def __init__(self):
-        self.parts, self.held = [], 0
+    def __init__(self, keys: int):
+        self.keys, self.parts, self.held = keys, [], 0
 
     def add(self, columns: Sequence[np.ndarray], counts: np.ndarray | None = None) -> None:
         if len(columns[0]):
-            self.parts.append((columns, np.ones(len(columns[0]), np.int64) if counts is None else counts))
+            self.parts.append((columns, counts))
             self.held += len(columns[0])
 
     def combine(self) -> tuple[list[np.ndarray], np.ndarray] | None:
         if not self.parts:
             return None
         columns = [np.concatenate(c) for c in zip(*(p[0] for p in self.parts), strict=True)]
-        counts = np.concatenate([p[1] for p in self.parts])
-        order, at = _groups(columns)
-        first = order[at]
-        out = ([c[first] for c in columns], np.add.reduceat(counts[order], at))
+        if len(columns) == 1 and all(p[1] is None for p in self.parts):  # sorted without an order
+            ordered = np.sort(columns[0])
+            at = np.flatnonzero(np.concatenate(([True], ordered[1:] != ordered[:-1])))
+            out = ([ordered[at]], np.diff(np.append(at, len(ordered))))
+        else:
+            counts = np.concatenate([np.ones(len(p[0][0]), np.int64) if p[1] is None else p[1] for p in self.parts])
+            order, at = _groups(columns[: self.keys])
+            first = order[at]
+            out = ([c[first] for c in columns], np.add.reduceat(counts[order], at))
         self.parts, self.held = [out], len(at)
         return out
 
@@ -195,6 +230,7 @@ def _counted(
     tested: Sequence[int] = range(1, LONGEST + 1),
     exact: bool = False,
     sample: int = 1,
+    ahead: bool = False,
 ) -> DataFrame:
     """Counts of the opened phrases of some sizes, combined by task, in all of the texts or in
     one stretch of ``sample``.
@@ -208,21 +244,26 @@ def _counted(
         now, old = (None if b is None else b.value for b in (table, before))
         codes: dict[str, int] = {}
         totals: dict[int, int] = {}
-        by_hash, by_text = _Combined(), _Combined()
-        texts: dict[tuple[int, int], bytes] = {}
+        by_hash, by_text = _Combined(1), _Combined(3)
+        texts: list[pa.Array] = []  # the last column of ``by_text`` has places in these
         rng = np.random.default_rng(TaskContext.get().partitionId())
 
-        def sent(kind: _Combined):
+        def combined(kind: _Combined):
             out = kind.combine()
+            if out is not None and kind is by_text:
+                texts[:] = [pa.concat_arrays(texts).take(pa.array(out[0][3]))]
+                out[0][3] = np.arange(kind.held)
+            return out
+
+        def sent(kind: _Combined):
+            out = combined(kind)
             kind.parts, kind.held = [], 0
             if out is None:
                 return
             columns, counts = out
             if kind is by_text:
                 lang = pa.array(list(codes), pa.string()).take(pa.array(columns[2]))
-                said = [texts[k] for k in zip(columns[0].tolist(), columns[1].tolist(), strict=True)]
-                texts.clear()
-                phrase = pa.array(said, pa.binary()).cast(pa.string())
+                phrase = texts.pop().cast(pa.large_string()).cast(pa.string())
                 h = pa.array(np.zeros(len(counts), np.int64))
             else:
                 lang = phrase = pa.nulls(len(counts), pa.string())
@@ -238,11 +279,9 @@ def _counted(
             columns = [h, again, code]
             order, begin = _groups(columns)
             first = order[begin]
-            from_, to = start, start + length
-            for k, at_ in zip(zip(h[first].tolist(), again[first].tolist(), strict=True), at[first].tolist(), strict=True):
-                if k not in texts:
-                    texts[k] = b" ".join([buffer[from_[i] : to[i]].tobytes() for i in range(at_, at_ + m)])
-            by_text.add([c[first] for c in columns], np.diff(np.append(begin, len(h))))
+            place = sum(map(len, texts)) + np.arange(len(first))
+            texts.extend(_phrases(buffer, start, length, at[first], m))
+            by_text.add([*(c[first] for c in columns), place], np.diff(np.append(begin, len(h))))
 
         for batch in batches:
             for at_row in range(0, batch.num_rows, ROWS):
@@ -267,7 +306,7 @@ def _counted(
                         for c, n in enumerate(np.bincount(code).tolist()):
                             totals[c] = totals.get(c, 0) + n
                     second = None
-                    for m, at, h, here, was_open, was_in in _opened(word, lang_hash[a:b][row], follows, now, old, tested):
+                    for m, at, h, here, was_open, was_in in _opened(word, lang_hash[a:b][row], follows, now, old, tested, ahead):
                         if m not in sizes:
                             continue
                         if exact:
@@ -281,7 +320,7 @@ def _counted(
                         by_hash.add([h])
                     for kind in (by_hash, by_text):
                         if kind.held > HELD:
-                            kind.combine()
+                            combined(kind)
                             if kind.held > HELD // 2:
                                 yield from sent(kind)
         for kind in (by_hash, by_text):
@@ -361,9 +400,9 @@ def frequent_phrases(
 def _closed_counts(docs: DataFrame, min_count: int, sample: int, proposed: int, n_bits: int):
     context = docs.sparkSession.sparkContext
     table, before = context.broadcast(proposals(docs, sample, proposed, n_bits)), None
-    known, totals, passes = None, None, 0
+    known, totals, passes, ahead = None, None, 0, False
     while True:
-        counts = _counted(docs, range(1, LONGEST + 1), table, before, exact=True)
+        counts = _counted(docs, range(1, LONGEST + 1), table, before, exact=True, ahead=ahead)
         counts = stored(counts.filter((F.col("n") >= min_count) | F.col("phrase").isNull() & F.col("lang").isNotNull()), "phrases-counted")
         passes += 1
         found = counts.filter(F.col("phrase").isNotNull()).select("lang", "phrase", "n")
@@ -371,9 +410,12 @@ def _closed_counts(docs: DataFrame, min_count: int, sample: int, proposed: int,
         if totals is None:
             totals = counts.filter(F.col("lang").isNotNull() & F.col("phrase").isNull()).select("lang", F.col("n").alias("total"))
         failures = counts.filter(F.col("lang").isNull())
-        opened = _filter(failures, n_bits)
-        if not opened.any():
+        occurrences = failures.agg(F.sum("n")).first()[0]
+        if not occurrences:
             return known, totals, passes
+        # Each opens at most nine phrases, so a pass ahead never counts many by their text.
+        ahead = occurrences * RARE <= totals.agg(F.sum("total")).first()[0]
+        opened = _filter(failures, n_bits)
         before, table = table, context.broadcast(table.value | opened)
 
 

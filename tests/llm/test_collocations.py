@@ -116,3 +116,30 @@ def test_phrases_that_share_a_hash(spark, monkeypatch):
     plain = c._longer
     monkeypatch.setattr(c, "_longer", lambda h, word: plain(h, word) % np.uint64(97))
     assert rows(c.collocations(docs, min_count=3, proposed=10**9)) == want
+
+
+def test_rare_failures_take_one_pass_more(spark):
+    """A phrase that the sample misses opens all that it is in at once."""
+    texts = [(i, "one two three four five " * 400, "en", "s") for i in range(6)]
+    texts += [(10 + i, f"x{i} rare  old\tphrase indeed x{i}. one rare old", "en", "s") for i in range(12)]
+    docs = documents(spark, texts)
+    want = brute([(t, lang) for _, t, lang, _ in texts], min_count=10)
+    assert "rare old phrase indeed" in {r[2] for r in want}
+    known, _, passes = c.frequent_phrases(docs, min_count=10, sample=2, proposed=100)
+    assert passes == 2
+    assert known.groupBy("lang", "phrase").count().filter("count > 1").count() == 0
+    assert rows(c.collocations(docs, min_count=10, sample=2, proposed=100)) == want
+
+
+@pytest.mark.parametrize("limit", [1, 12, 1 << 18])
+def test_texts_of_phrases(monkeypatch, limit):
+    monkeypatch.setattr(c, "PHRASE_BYTES", limit)
+    data = b"ab  c\td\xc3\xa9 f"
+    buffer = np.frombuffer(data + bytes(8), np.uint8)
+    start, length = np.array([0, 4, 6, 10]), np.array([2, 1, 3, 1])
+
+    def said(at, m):
+        return [x for part in c._phrases(buffer, start, length, np.array(at), m) for x in part.to_pylist()]
+
+    assert said([0, 1, 0], 3) == [b"ab c d\xc3\xa9", b"c d\xc3\xa9 f", b"ab c d\xc3\xa9"]
+    assert said([3, 0], 1) == [b"f", b"ab"]
