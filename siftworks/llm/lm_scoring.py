@@ -49,8 +49,10 @@ LEAVES = GROUPS * GROUPS
 ROWS = 1 << 15
 INNER_ROWS = 64000  # with a row for each class or group still below 2^16
 NAMED = 8192  # the most frequent tokens are features themselves, others their endings
-BATCH = 8192
+BATCH = 16384
 BLOCK = 1024  # rows whose logits stay in a core's cache
+FAR = 60.0  # exponentials of numbers up to this size are summed as they are
+LEAST = 1e-30  # powers below this or above its inverse are not used
 RATE = 0.5
 SLICE_TOKENS = 1 << 21
 COMBINED = 1 << 20  # distinct tokens that a task keeps before it passes them on
@@ -102,8 +104,11 @@ def vocabulary(texts: DataFrame) -> DataFrame:
 
     def merged(parts):
         h, ending, c = (np.concatenate(x) for x in zip(*parts, strict=True))
-        kinds, first, of = np.unique(h, return_index=True, return_inverse=True)
-        return kinds, ending[first], np.bincount(of, c, len(kinds)).astype(np.int64)
+        order = np.argsort(h)
+        ordered = h[order]
+        begin = np.flatnonzero(np.concatenate((np.ones(min(len(h), 1), bool), ordered[1:] != ordered[:-1])))
+        sums = np.concatenate(([0], np.cumsum(c[order])))
+        return ordered[begin], ending[order[begin]], np.diff(sums[np.append(begin, len(h))])
 
     def count(batches):
         parts, held = [], 0
@@ -177,16 +182,17 @@ class Model:
     def log_probabilities(self, features, classes, leaves) -> tuple[np.ndarray, np.ndarray]:
         """Of each token's class and leaf, and of the unknown token, natural logarithms."""
         of_token, of_unknown = np.empty(len(classes)), np.empty(len(classes))
+        powers = [_powers(w, *of) for w, of in zip(self.weights, ((ROWS, 4), (INNER_ROWS, 2), (INNER_ROWS, 2)), strict=True)]
         for a in range(0, len(classes), BLOCK):
             rows, bias = _class_rows(features[a : a + BLOCK])
-            z = _log_softmax(_logits(rows, self.weights[0], bias))
-            of_token[a : a + BLOCK] = z[np.arange(len(z)), classes[a : a + BLOCK]]
-            of_unknown[a : a + BLOCK] = z[:, 0]
+            y = classes[a : a + BLOCK]
+            of_token[a : a + BLOCK], of_unknown[a : a + BLOCK] = _log_softmax(self.weights[0], powers[0], rows, bias, y, 0)
         inner = np.flatnonzero(classes > ALONE)
         for a in range(0, len(inner), BLOCK):
             on = inner[a : a + BLOCK]
-            for w, (rows, y) in zip(self.weights[1:], _inner_rows(features[on], classes[on], leaves[on]), strict=True):
-                of_token[on] += _log_softmax(_logits(rows, w))[np.arange(len(on)), y]
+            nodes = _inner_rows(features[on], classes[on], leaves[on])
+            for w, power, (rows, y) in zip(self.weights[1:], powers[1:], nodes, strict=True):
+                of_token[on] += _log_softmax(w, power, rows, None, y)[0]
         return of_token, of_unknown
 
 
@@ -211,23 +217,55 @@ def _inner_rows(features: np.ndarray, classes: np.ndarray, leaves: np.ndarray):
         yield np.column_stack([rows, INNER_ROWS + bias.astype(np.uint64)]).astype(np.uint16), y
 
 
-def _logits(rows: np.ndarray, weights: np.ndarray, bias: int | None = None) -> np.ndarray:
+def _logits(rows: np.ndarray, weights: np.ndarray, bias: int | None = None, put=np.add) -> np.ndarray:
     at = rows.T.astype(np.intp)
     z = weights.take(at[0], axis=0)
     other = np.empty_like(z)
     for k in range(1, len(at)):
-        z += weights.take(at[k], axis=0, out=other, mode="clip")
+        put(z, weights.take(at[k], axis=0, out=other, mode="clip"), out=z)
     if bias is not None:
-        z += weights[bias]
+        put(z, weights[bias], out=z)
     return z
 
 
-def _log_softmax(z: np.ndarray) -> np.ndarray:
-    z -= z.max(axis=1, keepdims=True)
-    z -= np.log(np.exp(z).sum(axis=1, keepdims=True))
+def _within_range(z: np.ndarray) -> np.ndarray:
+    """Logits whose exponentials neither overflow nor all vanish: less the largest of their
+    row, which is only looked for where some are far from zero."""
+    if len(z) and not (z.max() < FAR and z.min() > -FAR):
+        z -= z.max(axis=1, keepdims=True)
     return z
 
 
+def _powers(weights: np.ndarray, features: int, together: int) -> np.ndarray | None:
+    """Powers of all weights, unless a product of ``together`` rows of features could leave the
+    limits of the type before the bias is put to it."""
+    if np.abs(weights[:features]).max() * together > 80 or np.abs(weights[features:]).max() > FAR:
+        return None
+    return np.exp(weights)
+
+
+def _log_softmax(weights, powers: np.ndarray | None, rows, bias: int | None, *outcomes: np.ndarray | int) -> list[np.ndarray]:
+    """The logarithm of each outcome's probability.
+
+    Powers of sums are products of the weights' powers; where these come near the limits of
+    their type the sums are taken.
+    """
+    nth = np.arange(len(rows))
+    ones = np.ones(weights.shape[1], weights.dtype)
+    if powers is not None:
+        with np.errstate(over="ignore", under="ignore"):
+            z = _logits(rows, powers, bias, np.multiply)
+            whole = z @ ones
+        picked = [z[nth, y] for y in outcomes]
+        if whole.max() < 1 / LEAST and all((x > LEAST).all() for x in (whole, *picked)):
+            whole = np.log(whole)
+            return [np.log(x) - whole for x in picked]
+    z = _logits(rows, weights, bias)
+    z -= z.max(axis=1, keepdims=True)
+    whole = np.log(np.exp(z) @ ones)
+    return [z[nth, y] - whole for y in outcomes]
+
+
 def _sums_by_row(z: np.ndarray, rows: np.ndarray, most: int = 32) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Each row that occurs, how often, and the sum of z over the tokens that have it."""
     flat = rows.T.ravel()
@@ -238,25 +276,28 @@ def _sums_by_row(z: np.ndarray, rows: np.ndarray, most: int = 32) -> tuple[np.nd
     by_times = np.argsort(-times, kind="stable")
     starts, times = starts[by_times], times[by_times]
     token = order % len(z)
-    sums = z.take(token[starts], axis=0)
+    sums = np.empty((len(starts), z.shape[1]), z.dtype)
     often = int(np.searchsorted(-times, -most, "left"))
     for k in range(often):
-        sums[k] = z.take(token[starts[k] : starts[k] + times[k]], axis=0).sum(axis=0)
-    for nth in range(1, most):
-        to = int(np.searchsorted(-times, -nth, "left"))  # rows that occur more than nth times
-        if to <= often:
-            break
-        sums[often:to] += z.take(token[starts[often:to] + nth], axis=0)
+        z.take(token[starts[k] : starts[k] + times[k]], axis=0).sum(axis=0, out=sums[k])
+    for a in range(often, len(starts), BLOCK):
+        part, begin, repeats = sums[a : a + BLOCK], starts[a : a + BLOCK], -times[a : a + BLOCK]
+        z.take(token[begin], axis=0, out=part, mode="clip")
+        for nth in range(1, -int(repeats[0])):
+            to = int(np.searchsorted(repeats, -nth, "left"))  # rows that occur more than nth times
+            part[:to] += z.take(token[begin[:to] + nth], axis=0)
     return ordered[starts], times, sums
 
 
 def _move(w: np.ndarray, spread: np.ndarray, touched: np.ndarray, at, times, step: np.ndarray) -> None:
-    """Steps are smaller in rows that have moved much."""
+    """Steps, which are written over, are smaller in rows that have moved much."""
     for a in range(0, len(at), BLOCK):
         on, part = at[a : a + BLOCK], step[a : a + BLOCK]
         moved = spread[on] + np.einsum("ij,ij->i", part, part) / part.shape[1]
         spread[on] = moved
-        w[on] += part * (RATE / np.sqrt(moved))[:, None]
+        part *= (RATE / np.sqrt(moved))[:, None]
+        part += w.take(on, axis=0)
+        w[on] = part
     touched[at] += times
 
 
@@ -266,8 +307,7 @@ def _step(w, spread, touched, rows: np.ndarray, bias: int | None, *targets) -> N
     total = -sum(share for _, share in targets)
     ones = np.ones(w.shape[1], np.float32)
     for a in range(0, len(rows), BLOCK):
-        part = _logits(rows[a : a + BLOCK], w, bias)
-        part -= part.max(axis=1, keepdims=True)
+        part = _within_range(_logits(rows[a : a + BLOCK], w, bias))
         np.exp(part, out=part)
         np.multiply(part, (total[a : a + BLOCK] / (part @ ones))[:, None], out=z[a : a + BLOCK])
     nth = np.arange(len(z))
@@ -279,21 +319,21 @@ def _step(w, spread, touched, rows: np.ndarray, bias: int | None, *targets) -> N
         _move(w, spread, touched, np.array([bias]), len(z), z.sum(axis=0, keepdims=True))
 
 
-def company(texts: DataFrame, head) -> np.ndarray:
-    """How often each ending stands within three tokens of each frequent token."""
+def company(texts: DataFrame, frequent) -> np.ndarray:
+    """How often each ending stands within three tokens of each frequent token, given as the
+    hashes of at most ``ALONE`` tokens."""
 
     def count(batches):
-        index = head.value
+        index = words.SortedHashes(frequent)
         table = np.zeros(ENDINGS * ALONE, np.int64)
         for batch in batches:
             for _, _, t in _token_parts(batch.column(0)):
                 place = index.find(t.h)
-                frequent = (place >= 0) & (place < ALONE)
-                for k in (1, 2, 3):
-                    same = t.row[k:] == t.row[:-k]
-                    for near, far in ((slice(k, None), slice(None, -k)), (slice(None, -k), slice(k, None))):
-                        on = same & frequent[far]
-                        table += np.bincount(t.ending[near][on] * ALONE + place[far][on], minlength=len(table))
+                at = np.flatnonzero(place >= 0)
+                for k in (-3, -2, -1, 1, 2, 3):
+                    far = at[(at + k >= 0) & (at + k < len(place))]
+                    far = far[t.row[far] == t.row[far + k]]
+                    table += np.bincount(t.ending[far + k] * ALONE + place[far], minlength=len(table))
         table = table.reshape(ENDINGS, ALONE)
         rows = np.flatnonzero(table.any(axis=1))
         yield pa.RecordBatch.from_arrays(
@@ -419,6 +459,7 @@ def train_round(texts: DataFrame, shared) -> list[np.ndarray]:
 
     sums = (
         texts.mapInArrow(learn, "k int, r int, n array<long>, w array<float>")
+        .repartition("k", "r")  # a task has each row once, so there is nothing to add up before
         .groupBy("k", "r")
         .agg(
             F.array(*[F.sum(F.get("n", F.lit(i))) for i in range(per_row)]).alias("n"),
@@ -462,7 +503,7 @@ def fit(texts: DataFrame, vocab: DataFrame) -> Model | None:
     alone = vocab.filter(F.col("h").isin([int(x) for x in h[:ALONE].view(np.int64)])).toPandas()
     np.subtract.at(words_in, alone["ending"].to_numpy(), alone["c"].to_numpy())
     np.subtract.at(kinds_in, alone["ending"].to_numpy(), 1)
-    near = company(texts, spark.sparkContext.broadcast(index)) if index else np.zeros((ENDINGS, ALONE))
+    near = company(texts, h[:ALONE]) if index else np.zeros((ENDINGS, ALONE))
     of = 1 + ALONE + clusters(near, words_in, CLUSTERS)
     total = np.bincount(of, words_in - DISCOUNT * kinds_in, minlength=CLASSES)
     classes = np.where(np.arange(len(h)) < ALONE, 1 + np.arange(len(h)), of[ending])
@@ -486,10 +527,14 @@ def fit(texts: DataFrame, vocab: DataFrame) -> Model | None:
     # A slice grows with the root of the corpus, from 10 MB of text to some hundreds at 100 TB.
     slices = max(1, round(n / max(SLICE_TOKENS, 32 * math.isqrt(n))))
     rounds = max(1, slices.bit_length() - 1)
+    a_round = -(-slices // rounds)
     for nth in range(rounds):
         shared = spark.sparkContext.broadcast(model)
-        mine = texts.filter(F.pmod("part", F.lit(rounds)) == nth)
-        dealt = mine.repartition(-(-slices // rounds), "part").sortWithinPartitions("part")
+        # The slice is the partition's number, so there are no more of them in more partitions.
+        dealt_to = F.pmod("part", F.lit(rounds * a_round))
+        mine = texts.filter(F.pmod(dealt_to, F.lit(rounds)) == nth)
+        to = F.floor(dealt_to / rounds).cast("int")
+        dealt = mine.repartitionById(a_round, to).sortWithinPartitions("part")
         model.weights = train_round(dealt.select("text"), shared)
         shared.destroy()
     return model

@@ -113,6 +113,64 @@ def test_sums_by_row():
     assert sums == pytest.approx(want[at])
 
 
+@pytest.mark.parametrize("size", [1.0, 12.0, 100.0])
+def test_logarithms_of_probabilities(size):
+    """By products of powers, and by sums where powers would leave the limits of their type."""
+    rng = np.random.default_rng(6)
+    weights = (rng.normal(size=(60, 5)) * size).astype(np.float32)
+    rows, y = rng.integers(0, 59, (2000, 4)).astype(np.uint16), rng.integers(0, 5, 2000)
+    z = weights.astype(float)[rows].sum(axis=1) + weights[59]
+    top = z.max(axis=1, keepdims=True)
+    want = z - top - np.log(np.exp(z - top).sum(axis=1, keepdims=True))
+    got = lm_scoring._log_softmax(weights, lm_scoring._powers(weights, 59, 4), rows, 59, y, 0)
+    assert got[0] == pytest.approx(want[np.arange(2000), y], rel=1e-4, abs=1e-4)
+    assert got[1] == pytest.approx(want[:, 0], rel=1e-4, abs=1e-4)
+
+
+def test_company_by_brute_force(spark):
+    docs = given(spark).select("text")
+    parts = [t for b in docs.toArrow().to_batches() for _, _, t in lm_scoring._token_parts(b.column(0))]
+    kinds, counts = np.unique(np.concatenate([t.h for t in parts]), return_counts=True)
+    frequent = kinds[np.argsort(-counts, kind="stable")][: lm_scoring.ALONE]
+    place = {h: i for i, h in enumerate(frequent.tolist())}
+    want = collections.Counter()
+    for t in parts:
+        h, ending, row = t.h.tolist(), t.ending.tolist(), t.row.tolist()
+        for i in range(len(h)):
+            for k in range(max(0, i - 3), min(len(h), i + 4)):
+                if k != i and row[k] == row[i] and h[k] in place:
+                    want[ending[i], place[h[k]]] += 1
+    got = lm_scoring.company(docs, frequent)
+    assert {(i, j): got[i, j] for i, j in zip(*np.nonzero(got), strict=True)} == want
+
+
+def test_more_partitions_make_no_more_slices(spark, monkeypatch):
+    """What slices send grows with them, so they follow the texts and not the settings."""
+    monkeypatch.setattr(lm_scoring, "SLICE_TOKENS", 20_000)
+    taught = []
+    plain = lm_scoring.train_round
+
+    def counted(texts, shared):
+        taught.append(texts.groupBy(F.spark_partition_id()).count().count())
+        return plain(texts, shared)
+
+    monkeypatch.setattr(lm_scoring, "train_round", counted)
+    frame = type(spark.range(1))
+    for name in ("repartition", "repartitionById"):
+        plain_deal = getattr(frame, name)
+        monkeypatch.setattr(
+            frame,
+            name,
+            lambda self, n, *by, f=plain_deal: f(self, max(n, 61) if by and isinstance(n, int) else n, *by),
+        )
+    docs = given(spark)
+    texts = docs.select("text", F.xxhash64("doc_id", "text").alias("part"))
+    model = lm_scoring.fit(texts, lm_scoring.vocabulary(texts))
+    slices = round(model.n / 20_000)
+    assert slices > 1
+    assert sum(taught) <= slices + len(taught)
+
+
 def test_scores_do_not_depend_on_the_layout(spark, monkeypatch):
     """Neither on the partitions of the input; several slices and rounds, too."""
     docs = given(spark).select("doc_id", "text")
