@@ -71,6 +71,11 @@ class Tokens:
     rows: int
 
 
+def _remainder(h: np.ndarray, n: int) -> np.ndarray:
+    """h % n by a division, which numpy does several times as fast for one divisor."""
+    return h - h // np.uint64(n) * np.uint64(n)
+
+
 def tokens(buffer: np.ndarray, offsets: np.ndarray) -> Tokens:
     start, length, row = words.word_spans(buffer, offsets)
     rows = len(offsets) - 1
@@ -83,7 +88,7 @@ def tokens(buffer: np.ndarray, offsets: np.ndarray) -> Tokens:
     tail = np.zeros(n, np.uint64)
     for k in range(1, 4):
         tail = tail << np.uint64(8) | np.where(length >= k, buffer[np.maximum(last - k, 0)], 0).astype(np.uint64)
-    ending[at] = (words.mix64(tail + np.uint64(1)) % np.uint64(ENDINGS - 1)).astype(np.int64) + 1
+    ending[at] = _remainder(words.mix64(tail + np.uint64(1)), ENDINGS - 1).astype(np.int64) + 1
     owner = np.repeat(np.arange(rows), np.bincount(row, minlength=rows) + 1)
     return Tokens(h, ending, owner, rows)
 
@@ -198,7 +203,7 @@ class Model:
 
 def _class_rows(features: np.ndarray) -> tuple[np.ndarray, int]:
     """Rows of the first weight table, and the bias row of all tokens."""
-    return (features % np.uint64(ROWS)).astype(np.uint16), ROWS
+    return (features & np.uint64(ROWS - 1)).astype(np.uint16), ROWS
 
 
 def _inner_rows(features: np.ndarray, classes: np.ndarray, leaves: np.ndarray):
@@ -213,7 +218,7 @@ def _inner_rows(features: np.ndarray, classes: np.ndarray, leaves: np.ndarray):
         (classes, classes, group),
         (CLASSES + classes * GROUPS + group, classes * GROUPS + group, leaf),
     ):
-        rows = words.mix64(near + (node.astype(np.uint64) * _K)[:, None]) % np.uint64(INNER_ROWS)
+        rows = _remainder(words.mix64(near + (node.astype(np.uint64) * _K)[:, None]), INNER_ROWS)
         yield np.column_stack([rows, INNER_ROWS + bias.astype(np.uint64)]).astype(np.uint16), y
 
 
@@ -275,7 +280,7 @@ def _sums_by_row(z: np.ndarray, rows: np.ndarray, most: int = 32) -> tuple[np.nd
     times = np.diff(np.append(starts, len(order)))
     by_times = np.argsort(-times, kind="stable")
     starts, times = starts[by_times], times[by_times]
-    token = order % len(z)
+    token = np.tile(np.arange(len(z)), rows.shape[1]).take(order)
     sums = np.empty((len(starts), z.shape[1]), z.dtype)
     often = int(np.searchsorted(-times, -most, "left"))
     for k in range(often):
@@ -558,6 +563,10 @@ def score(docs: DataFrame) -> DataFrame:
 
     def head_scores(batches):
         model = shared.value
+        if model:
+            c = model.count if len(model.count) else np.ones(1)
+            log_mass = np.log10(np.maximum(model.mass, 1e-9)).ravel()
+            log_own, log_base = np.log10(np.maximum(c - DISCOUNT, 1e-9)), np.log10(c + 0.1) - whole
         for batch in batches:
             for a, b, t in _token_parts(batch.column(1)):
                 place = model.find(t) if model else np.full(len(t.h), -1, np.int64)
@@ -567,12 +576,10 @@ def score(docs: DataFrame) -> DataFrame:
                     features = model.features(t, place, classes)
                     of_leaf, of_unknown = (x / np.log(10) for x in model.log_probabilities(features, classes, leaves))
                     # What the leaf gives to a token seen c times is c - DISCOUNT of its mass.
-                    given = of_leaf - np.where(
-                        classes > ALONE, np.log10(np.maximum(model.mass[classes, leaves], 1e-9)), 0.0
-                    )
-                    c = model.count[np.maximum(place, 0)] if len(model.count) else np.ones(len(t.h))
-                    inside = np.where(classes > ALONE, np.log10(np.maximum(c - DISCOUNT, 1e-9)), 0.0)
-                    base = np.log10(c + 0.1) - whole
+                    given = of_leaf - np.where(classes > ALONE, log_mass.take(classes * LEAVES + leaves), 0.0)
+                    at = np.maximum(place, 0)
+                    inside = np.where(classes > ALONE, log_own.take(at), 0.0)
+                    base = log_base.take(at)
                 else:
                     given = of_unknown = inside = base = np.full(len(t.h), np.log10(0.1) - whole)
                 sums = lambda x, on: np.bincount(t.row[on], x[on], minlength=t.rows).astype(float)  # noqa: E731, B023
