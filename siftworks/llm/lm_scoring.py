@@ -49,7 +49,7 @@ LEAVES = GROUPS * GROUPS
 ROWS = 1 << 15
 INNER_ROWS = 64000  # with a row for each class or group still below 2^16
 NAMED = 8192  # the most frequent tokens are features themselves, others their endings
-BATCH = 16384
+BATCH = 8192
 BLOCK = 1024  # rows whose logits stay in a core's cache
 FAR = 60.0  # exponentials of numbers up to this size are summed as they are
 LEAST = 1e-30  # powers below this or above its inverse are not used
