@@ -31,6 +31,7 @@ import math
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -59,6 +60,7 @@ COMBINED = 1 << 20  # distinct tokens that a task keeps before it passes them on
 DISCOUNT = 0.5
 END = np.uint64(0x9E2C5BD14F1A7731)
 _K = np.uint64(0x9E3779B97F4A7C15)
+_LAST = np.array([0, 0xFF0000, 0xFFFF00, 0xFFFFFF], np.uint32)  # of three bytes, those of a word so long
 
 
 @dataclass
@@ -84,10 +86,11 @@ def tokens(buffer: np.ndarray, offsets: np.ndarray) -> Tokens:
     h = np.full(n + rows, END, np.uint64)
     h[at] = words.hash_spans(buffer, start, length)
     ending = np.zeros(n + rows, np.int64)
-    last = start + length
-    tail = np.zeros(n, np.uint64)
-    for k in range(1, 4):
-        tail = tail << np.uint64(8) | np.where(length >= k, buffer[np.maximum(last - k, 0)], 0).astype(np.uint64)
+    fours = np.ndarray((len(buffer) - 3,), "<u4", buffer, strides=(1,))
+    first = start + length - 3  # of the last three bytes
+    tail = fours[np.maximum(first, 0)]
+    tail[:2] <<= 8 * np.maximum(-first[:2], 0).astype(np.uint32)  # only the first two words can begin before the buffer
+    tail = (tail & _LAST.take(np.minimum(length, 3))).astype(np.uint64)
     ending[at] = _remainder(words.mix64(tail + np.uint64(1)), ENDINGS - 1).astype(np.int64) + 1
     owner = np.repeat(np.arange(rows), np.bincount(row, minlength=rows) + 1)
     return Tokens(h, ending, owner, rows)
@@ -109,11 +112,10 @@ def vocabulary(texts: DataFrame) -> DataFrame:
 
     def merged(parts):
         h, ending, c = (np.concatenate(x) for x in zip(*parts, strict=True))
-        order = np.argsort(h)
-        ordered = h[order]
-        begin = np.flatnonzero(np.concatenate((np.ones(min(len(h), 1), bool), ordered[1:] != ordered[:-1])))
-        sums = np.concatenate(([0], np.cumsum(c[order])))
-        return ordered[begin], ending[order[begin]], np.diff(sums[np.append(begin, len(h))])
+        code, kinds = pd.factorize(h)
+        of_kind = np.empty(len(kinds), ending.dtype)
+        of_kind[code] = ending
+        return kinds, of_kind, np.bincount(code, c, len(kinds)).astype(np.int64)
 
     def count(batches):
         parts, held = [], 0
@@ -182,19 +184,24 @@ class Model:
             p2 | np.uint64(1 << 61),  # one skipped
             before(kind, 3) * np.uint64(CLASSES + 1) + before(kind, 4) | np.uint64(1 << 60),  # two skipped
         )
-        return np.stack([words.mix64(k + _K) for k in keys], axis=1)
+        return np.stack([words.mix64(k + _K) for k in keys]).T  # a feature's hashes lie together
 
-    def log_probabilities(self, features, classes, leaves) -> tuple[np.ndarray, np.ndarray]:
+    def powers(self) -> list[np.ndarray | None]:
+        """Powers of the weights, for many calls of ``log_probabilities``."""
+        return [_powers(w, *of) for w, of in zip(self.weights, ((ROWS, 4), (INNER_ROWS, 2), (INNER_ROWS, 2)), strict=True)]
+
+    def log_probabilities(self, features, classes, leaves, powers=None) -> tuple[np.ndarray, np.ndarray]:
         """Of each token's class and leaf, and of the unknown token, natural logarithms."""
         of_token, of_unknown = np.empty(len(classes)), np.empty(len(classes))
-        powers = [_powers(w, *of) for w, of in zip(self.weights, ((ROWS, 4), (INNER_ROWS, 2), (INNER_ROWS, 2)), strict=True)]
+        powers = powers or self.powers()
         for a in range(0, len(classes), BLOCK):
             rows, bias = _class_rows(features[a : a + BLOCK])
             y = classes[a : a + BLOCK]
             of_token[a : a + BLOCK], of_unknown[a : a + BLOCK] = _log_softmax(self.weights[0], powers[0], rows, bias, y, 0)
         inner = np.flatnonzero(classes > ALONE)
-        for a in range(0, len(inner), BLOCK):
-            on = inner[a : a + BLOCK]
+        part_of = _block(self.weights[1])
+        for a in range(0, len(inner), part_of):
+            on = inner[a : a + part_of]
             nodes = _inner_rows(features[on], classes[on], leaves[on])
             for w, power, (rows, y) in zip(self.weights[1:], powers[1:], nodes, strict=True):
                 of_token[on] += _log_softmax(w, power, rows, None, y)[0]
@@ -203,7 +210,7 @@ class Model:
 
 def _class_rows(features: np.ndarray) -> tuple[np.ndarray, int]:
     """Rows of the first weight table, and the bias row of all tokens."""
-    return (features & np.uint64(ROWS - 1)).astype(np.uint16), ROWS
+    return features.astype(np.uint16) & np.uint16(ROWS - 1), ROWS
 
 
 def _inner_rows(features: np.ndarray, classes: np.ndarray, leaves: np.ndarray):
@@ -213,13 +220,16 @@ def _inner_rows(features: np.ndarray, classes: np.ndarray, leaves: np.ndarray):
     before that.
     """
     group, leaf = np.divmod(leaves, GROUPS)
-    near = features[:, [0, 2]]
     for node, bias, y in (
         (classes, classes, group),
         (CLASSES + classes * GROUPS + group, classes * GROUPS + group, leaf),
     ):
-        rows = _remainder(words.mix64(near + (node.astype(np.uint64) * _K)[:, None]), INNER_ROWS)
-        yield np.column_stack([rows, INNER_ROWS + bias.astype(np.uint64)]).astype(np.uint16), y
+        of_node = node.astype(np.uint64) * _K
+        rows = np.empty((3, len(node)), np.uint16)
+        for k, feature in enumerate((0, 2)):
+            rows[k] = _remainder(words.mix64(features[:, feature] + of_node), INNER_ROWS)
+        rows[2] = INNER_ROWS + bias
+        yield rows.T, y
 
 
 def _logits(rows: np.ndarray, weights: np.ndarray, bias: int | None = None, put=np.add) -> np.ndarray:
@@ -278,31 +288,46 @@ def _sums_by_row(z: np.ndarray, rows: np.ndarray, most: int = 32) -> tuple[np.nd
     ordered = flat[order]
     starts = np.flatnonzero(np.concatenate(([True], ordered[1:] != ordered[:-1])))
     times = np.diff(np.append(starts, len(order)))
-    by_times = np.argsort(-times, kind="stable")
+    seldom = (0xFFFF - times).astype(np.uint16) if len(order) <= 0xFFFF else -times  # short keys by a radix sort
+    by_times = np.argsort(seldom, kind="stable")
     starts, times = starts[by_times], times[by_times]
     token = np.tile(np.arange(len(z)), rows.shape[1]).take(order)
     sums = np.empty((len(starts), z.shape[1]), z.dtype)
-    often = int(np.searchsorted(-times, -most, "left"))
-    for k in range(often):
-        z.take(token[starts[k] : starts[k] + times[k]], axis=0).sum(axis=0, out=sums[k])
-    for a in range(often, len(starts), BLOCK):
-        part, begin, repeats = sums[a : a + BLOCK], starts[a : a + BLOCK], -times[a : a + BLOCK]
-        z.take(token[begin], axis=0, out=part, mode="clip")
-        for nth in range(1, -int(repeats[0])):
-            to = int(np.searchsorted(repeats, -nth, "left"))  # rows that occur more than nth times
-            part[:to] += z.take(token[begin[:to] + nth], axis=0)
+    above = np.searchsorted(-times, -np.arange(most + 1), "left")  # rows that occur more than 0, 1, ... times
+    often, part_of = int(above[most]), _block(z)
+    other = np.empty((max(part_of, int(times[0])), z.shape[1]), z.dtype)
+    for k, (start, n) in enumerate(zip(starts[:often].tolist(), times[:often].tolist(), strict=True)):
+        np.add.reduce(z.take(token[start : start + n], axis=0, out=other[:n], mode="clip"), axis=0, out=sums[k])
+    for a in range(often, len(starts), part_of):
+        part, begin = sums[a : a + part_of], starts[a : a + part_of]
+        z.take(token.take(begin), axis=0, out=part, mode="clip")
+        for nth in range(1, int(times[a])):
+            to = min(int(above[nth]) - a, len(part))
+            part[:to] += z.take(token.take(begin[:to] + nth), axis=0, out=other[:to], mode="clip")
     return ordered[starts], times, sums
 
 
+def _block(table: np.ndarray) -> int:
+    """Rows of a table that are worked on together, more of a narrow one."""
+    return max(1, BLOCK * CLASSES // table.shape[1])
+
+
+def _whole_rows(table: np.ndarray) -> np.ndarray:
+    """Rows as single values, which numpy copies at once."""
+    return table.view(np.dtype((np.void, table.shape[1] * table.itemsize)))[:, 0]
+
+
 def _move(w: np.ndarray, spread: np.ndarray, touched: np.ndarray, at, times, step: np.ndarray) -> None:
     """Steps, which are written over, are smaller in rows that have moved much."""
-    for a in range(0, len(at), BLOCK):
-        on, part = at[a : a + BLOCK], step[a : a + BLOCK]
-        moved = spread[on] + np.einsum("ij,ij->i", part, part) / part.shape[1]
-        spread[on] = moved
-        part *= (RATE / np.sqrt(moved))[:, None]
+    to, part_of = _whole_rows(w), _block(w)
+    moved = spread.take(at)
+    for a in range(0, len(at), part_of):
+        on, part, far = at[a : a + part_of], step[a : a + part_of], moved[a : a + part_of]
+        far += np.einsum("ij,ij->i", part, part) / part.shape[1]
+        part *= (RATE / np.sqrt(far))[:, None]
         part += w.take(on, axis=0)
-        w[on] = part
+        to.put(on, _whole_rows(part))
+    spread.put(at, moved)
     touched[at] += times
 
 
@@ -311,13 +336,14 @@ def _step(w, spread, touched, rows: np.ndarray, bias: int | None, *targets) -> N
     z = np.empty((len(rows), w.shape[1]), np.float32)
     total = -sum(share for _, share in targets)
     ones = np.ones(w.shape[1], np.float32)
-    for a in range(0, len(rows), BLOCK):
-        part = _within_range(_logits(rows[a : a + BLOCK], w, bias))
+    part_of = _block(w)
+    for a in range(0, len(rows), part_of):
+        part = _within_range(_logits(rows[a : a + part_of], w, bias))
         np.exp(part, out=part)
-        np.multiply(part, (total[a : a + BLOCK] / (part @ ones))[:, None], out=z[a : a + BLOCK])
-    nth = np.arange(len(z))
+        np.multiply(part, (total[a : a + part_of] / (part @ ones))[:, None], out=z[a : a + part_of])
+    flat, begin = z.reshape(-1), np.arange(0, z.size, z.shape[1])
     for outcome, share in targets:
-        z[nth, outcome] += share
+        flat[begin + outcome] += share
     at, times, step = _sums_by_row(z, rows)
     _move(w, spread, touched, at.astype(np.intp), times, step)
     if bias is not None:
@@ -441,7 +467,7 @@ def train_round(texts: DataFrame, shared) -> list[np.ndarray]:
                 unknown[t.h == END] = 0
                 for a in range(0, len(t.h), BATCH):
                     f, y, u = features[a : a + BATCH], classes[a : a + BATCH], unknown[a : a + BATCH]
-                    _step(w[0], spread[0], touched[0], *_class_rows(f), (y, 1 - u), (np.zeros_like(y), u))
+                    _step(w[0], spread[0], touched[0], *_class_rows(f), (y, 1 - u), (0, u))
                     on = np.flatnonzero((y > ALONE) & (u < 1))
                     if len(on):
                         inner = _inner_rows(f[on], y[on], leaves[a : a + BATCH][on])
@@ -564,6 +590,7 @@ def score(docs: DataFrame) -> DataFrame:
     def head_scores(batches):
         model = shared.value
         if model:
+            powers = model.powers()
             c = model.count if len(model.count) else np.ones(1)
             log_mass = np.log10(np.maximum(model.mass, 1e-9)).ravel()
             log_own, log_base = np.log10(np.maximum(c - DISCOUNT, 1e-9)), np.log10(c + 0.1) - whole
@@ -574,7 +601,9 @@ def score(docs: DataFrame) -> DataFrame:
                 if model:
                     classes, leaves = model.classes(t, place), model.leaves(place)
                     features = model.features(t, place, classes)
-                    of_leaf, of_unknown = (x / np.log(10) for x in model.log_probabilities(features, classes, leaves))
+                    of_leaf, of_unknown = (
+                        x / np.log(10) for x in model.log_probabilities(features, classes, leaves, powers)
+                    )
                     # What the leaf gives to a token seen c times is c - DISCOUNT of its mass.
                     given = of_leaf - np.where(classes > ALONE, log_mass.take(classes * LEAVES + leaves), 0.0)
                     at = np.maximum(place, 0)

@@ -11,10 +11,6 @@ import pyarrow.compute as pc
 # Bytes that are worked on at once; a longer text is a piece of its own.
 PIECE_BYTES = 4 << 20
 
-_BLANK = np.zeros(256, bool)
-_BLANK[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
-_LOWER = np.arange(256, dtype=np.uint8)
-_LOWER[ord("A") : ord("Z") + 1] += 32
 _MASKS = np.array([(1 << (8 * k)) - 1 for k in range(9)], dtype=np.uint64)
 _M1, _M2, _M3 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F))
 
@@ -48,8 +44,12 @@ def pieces(offsets: np.ndarray, limit: int = PIECE_BYTES) -> Iterator[tuple[int,
 def padded(data: np.ndarray, start: int, end: int, lower: bool = False) -> np.ndarray:
     """A copy of the bytes with eight zeros behind, in lower case if wanted."""
     out = np.zeros(end - start + 8, np.uint8)
-    part = data[start:end]
-    out[: end - start] = _LOWER[part] if lower else part
+    text = out[: end - start]
+    text[:] = data[start:end]
+    if lower:
+        upper = (text - np.uint8(ord("A")) < 26).view(np.uint8)  # bytes below A wrap to large ones
+        upper <<= 5
+        text += upper
     return out
 
 
@@ -57,18 +57,17 @@ def hash_spans(buffer: np.ndarray, start: np.ndarray, length: np.ndarray, seed:
     """A 64-bit hash of each span of a padded buffer, eight bytes a step."""
     eights = np.ndarray((len(buffer) - 7,), "<u8", buffer, strides=(1,))
     h = mix64(length.astype(np.uint64) * _M1 + np.uint64(seed))
-    live = np.arange(len(start))
-    done = 0
+    live = np.flatnonzero(length > 0)
+    if 0 < len(live) == len(h):  # most spans are short, so the first step is most of the work
+        h = mix64(h * _M1 ^ eights[start] & _MASKS.take(np.minimum(length, 8)))
+        live = np.flatnonzero(length > 8)
+        start, rest = start[live] + 8, length[live] - 8
+    else:
+        start, rest = start[live], length[live]
     while len(live):
-        rest = length[live] - done
-        more = rest > 0
-        if not more.all():
-            live, rest = live[more], rest[more]
-        if not len(live):
-            break
-        chunk = eights[start[live] + done] & _MASKS[np.minimum(rest, 8)]
-        h[live] = mix64(h[live] * _M1 ^ chunk)
-        done += 8
+        h[live] = mix64(h[live] * _M1 ^ eights[start] & _MASKS.take(np.minimum(rest, 8)))
+        on = np.flatnonzero(rest > 8)
+        live, start, rest = live[on], start[on] + 8, rest[on] - 8
     return h
 
 
@@ -79,7 +78,8 @@ def word_spans(buffer: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.
     """
     size = int(offsets[-1])
     solid = np.zeros(size + 1, bool)
-    solid[:size] = ~_BLANK[buffer[:size]]
+    text = buffer[:size]
+    np.logical_and(text != 0x20, text - np.uint8(0x09) > 4, out=solid[:size])
     begins = solid[:size].copy()
     begins[1:] &= ~solid[: size - 1]
     ends = solid[:size] & ~solid[1:]
@@ -89,7 +89,7 @@ def word_spans(buffer: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.
     ends[after] = solid[after]
     start = np.flatnonzero(begins)
     length = np.flatnonzero(ends) + 1 - start
-    row = np.searchsorted(offsets, start, "right") - 1
+    row = np.repeat(np.arange(len(offsets) - 1), np.diff(np.searchsorted(start, offsets)))
     return start, length, row
 
 
@@ -109,14 +109,15 @@ class SortedHashes:
         if not len(self.hashes):
             return np.full(len(wanted), -1, np.int64)
         bucket = (wanted >> self.shift).astype(np.int64)
-        at, end = self.starts[bucket].astype(np.int64), self.starts[bucket + 1]
-        found = np.full(len(wanted), -1, np.int64)
-        live = np.flatnonzero(at < end)
-        at = at[live]
+        at, end = self.starts.take(bucket), self.starts.take(bucket + 1)
+        # Most buckets have one hash or none; the place past the last hash is never in a bucket.
+        hit = (self.hashes.take(at, mode="clip") == wanted) & (at < end)
+        found = np.where(hit, self.order.take(at, mode="clip"), -1)
+        live = np.flatnonzero(~hit & (at + 1 < end))
+        at, end, wanted = at[live] + 1, end[live], wanted[live]
         while len(live):
-            hit = self.hashes[at] == wanted[live]
+            hit = self.hashes[at] == wanted
             found[live[hit]] = self.order[at[hit]]
-            at += 1
-            on = ~hit & (at < end[live])
-            live, at = live[on], at[on]
+            on = np.flatnonzero(~hit & (at + 1 < end))
+            live, at, end, wanted = live[on], at[on] + 1, end[on], wanted[on]
         return found

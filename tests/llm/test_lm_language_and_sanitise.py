@@ -127,6 +127,70 @@ def test_logarithms_of_probabilities(size):
     assert got[1] == pytest.approx(want[:, 0], rel=1e-4, abs=1e-4)
 
 
+def test_steps_by_brute_force(monkeypatch):
+    """Narrow tables take as many numbers at once as wide ones, so fewer calls."""
+    calls, plain = [], lm_scoring._logits
+    monkeypatch.setattr(lm_scoring, "_logits", lambda *of: calls.append(len(of[0])) or plain(*of))
+    rng = np.random.default_rng(7)
+    n, width = 4 * lm_scoring.BLOCK, lm_scoring.GROUPS
+    w = rng.normal(size=(60, width)).astype(np.float32)
+    spread, touched = np.full(60, 1e-2, np.float32), np.zeros(60, np.int64)
+    rows, y = rng.integers(0, 59, (n, 3)).astype(np.uint16), rng.integers(1, width, n)
+    share = rng.random(n).astype(np.float32)
+    power = np.exp(w.astype(float)[rows].sum(axis=1))
+    z = -power / power.sum(axis=1, keepdims=True)
+    z[np.arange(n), y] += 1 - share
+    z[:, 0] += share
+    sums = np.zeros((60, width))
+    for k in range(3):
+        np.add.at(sums, rows[:, k], z)
+    moved = 1e-2 + (sums**2).mean(axis=1)
+    want = w + lm_scoring.RATE / np.sqrt(moved)[:, None] * sums
+    lm_scoring._step(w, spread, touched, rows, None, (y, 1 - share), (0, share))
+    assert w == pytest.approx(want, rel=1e-3, abs=1e-3)
+    assert spread == pytest.approx(moved, rel=1e-3)
+    assert (touched == np.bincount(rows.ravel(), minlength=60)).all()
+    assert calls == [n]
+
+
+def test_powers_of_weights_serve_many_calls(monkeypatch):
+    rng = np.random.default_rng(8)
+    shapes = (
+        (lm_scoring.ROWS + 1, lm_scoring.CLASSES),
+        (lm_scoring.INNER_ROWS + lm_scoring.CLASSES, lm_scoring.GROUPS),
+        (lm_scoring.INNER_ROWS + lm_scoring.CLASSES * lm_scoring.GROUPS, lm_scoring.GROUPS),
+    )
+    weights = [rng.normal(size=x).astype(np.float32) for x in shapes]
+    model = lm_scoring.Model(1, 1, None, *[np.zeros(0)] * 4, 0.0, weights)
+    features = rng.integers(0, 1 << 62, (5000, 4)).astype(np.uint64)
+    classes, leaves = rng.integers(0, lm_scoring.CLASSES, 5000), rng.integers(0, lm_scoring.LEAVES, 5000)
+    want, powers = model.log_probabilities(features, classes, leaves), model.powers()
+    monkeypatch.setattr(lm_scoring, "_powers", None)
+    got = model.log_probabilities(features, classes, leaves, powers)
+    assert all((x == y).all() for x, y in zip(got, want, strict=True))
+
+
+def test_tokens_and_lookups_by_brute_force():
+    rng = np.random.default_rng(9)
+    letters = np.frombuffer(b" \t\n\x0b\x0c\r\x08\x0e\x00@AZ[`az{\xc3\xff", np.uint8)
+    seen = {}
+    for nth in range(300):
+        texts = [rng.choice(letters[rng.integers(0, 2) * 5 :], rng.integers(0, (3, 12, 70)[nth % 3])).tobytes() for _ in range(4)]
+        data, ends = np.frombuffer(b"".join(texts), np.uint8), np.cumsum([0, *map(len, texts)])
+        t = lm_scoring.tokens(words.padded(data, 0, len(data), lower=True), ends)
+        want = [(row, w) for row, x in enumerate(texts) for w in [*re.findall(rb"[^\x20\x09-\x0D]+", x.lower()), None]]
+        assert t.row.tolist() == [row for row, _ in want]
+        for (_, w), h, ending in zip(want, t.h.tolist(), t.ending.tolist(), strict=True):
+            assert seen.setdefault(w, (h, ending)) == (h, ending)
+            tail = np.array([int.from_bytes((w or b"")[-3:].rjust(3, b"\0"), "little") + 1], np.uint64)
+            assert ending == (0 if w is None else int(words.mix64(tail)[0]) % (lm_scoring.ENDINGS - 1) + 1)
+    assert len({h for h, _ in seen.values()}) == len(seen) > 1000
+    known = np.array([0, 1, 2, 5, 1 << 40, (1 << 64) - 2, (1 << 64) - 1, *rng.integers(0, 1 << 63, 50)], np.uint64)
+    place = {h: k for k, h in enumerate(known.tolist())}
+    wanted = np.concatenate([known, known + np.uint64(1), known ^ np.uint64(4)])
+    assert words.SortedHashes(known).find(wanted).tolist() == [place.get(h, -1) for h in wanted.tolist()]
+
+
 def test_company_by_brute_force(spark):
     docs = given(spark).select("text")
     parts = [t for b in docs.toArrow().to_batches() for _, _, t in lm_scoring._token_parts(b.column(0))]
